@@ -41,11 +41,11 @@ def _steps(n: Column) -> Column:
 
 
 def with_header(body: Column, n_bytes: int = 2) -> Column:
-    """The bytes a leading length announces; everything after it when the length runs past the end."""
+    """The bytes a leading length announces; everything after it when the length runs past the end. No body, no list."""
     declared = number_at(body, 0, n_bytes)
     rest = F.substr(body, F.lit(2 * n_bytes + 1))
     return F.when(declared * 2 <= F.length(rest), F.substring(rest, F.lit(1), (declared * 2).cast("int"))).otherwise(
-        F.when(declared.isNotNull(), rest).otherwise("")
+        F.when(declared.isNotNull(), rest).when(body.isNotNull(), "")
     )
 
 

@@ -269,12 +269,13 @@ def _note(condition: Column, key: str, value: str) -> Column:
 def redact_switches(df: DataFrame) -> DataFrame:
     """Profiles with redacted switches and the substitution written to provenance."""
     r = redacted_switches(F.col("captured.switches"))
-    return df.withColumns(
+    staged = df.withColumns({"_switches": r["switches"], "_notes": _note(r["changed"], "captured.switches", REDACTED_REASON)})
+    return staged.withColumns(
         {
-            "captured": F.col("captured").withField("switches", r["switches"]),
-            "provenance": put(F.col("provenance"), _note(r["changed"], "captured.switches", REDACTED_REASON)),
+            "captured": F.col("captured").withField("switches", F.col("_switches")),
+            "provenance": put(F.col("provenance"), F.col("_notes")),
         }
-    )
+    ).drop("_switches", "_notes")
 
 
 def normalise_headers(http: Column) -> Column:
@@ -293,21 +294,25 @@ def normalise_headers(http: Column) -> Column:
 
     variants = F.transform(http["variants"], lambda v: v.withField("headers", F.transform(v["headers"], fix)))
     hits = F.flatten(F.transform(http["variants"], lambda v: F.filter(v["headers"], marked)))
+    # a header marked in several sets is written once
+    names = F.array_distinct(F.transform(hits, lambda h: h["name"]))
     written = F.transform(
-        hits,
-        lambda h: F.struct(
-            F.concat(F.lit("http.headers."), h["name"]).alias("key"),
-            F.when(h["name"] == "user-agent", f"substituted:{HEADLESS_REASON}")
+        names,
+        lambda n: F.struct(
+            F.concat(F.lit("http.headers."), n).alias("key"),
+            F.when(n == "user-agent", f"substituted:{HEADLESS_REASON}")
             .otherwise(f"unreproducible:{HEADLESS_REASON}")
             .alias("value"),
         ),
     )
-    return F.struct(http.withField("variants", variants).alias("http"), F.array_distinct(written).alias("written"))
+    return F.struct(http.withField("variants", variants).alias("http"), written.alias("written"))
 
 
 def normalise_user_agent(df: DataFrame) -> DataFrame:
-    n = normalise_headers(F.col("http"))
-    return df.withColumns({"http": n["http"], "provenance": put(F.col("provenance"), n["written"])})
+    staged = df.withColumn("_n", normalise_headers(F.col("http")))
+    return staged.withColumns(
+        {"http": F.col("_n.http"), "provenance": put(F.col("provenance"), F.col("_n.written"))}
+    ).drop("_n")
 
 
 def boundary_problems() -> Column:

@@ -365,7 +365,7 @@ def latest_routes(spark, sf_dir):
 def choose_release(spark, sf_dir):
     rel = T.releases(spark, sf_dir)
     out = pointers.choose_release(rel, ["vendor"], "rel_version", "fraction")
-    return out.select("vendor", "version", (F.col("fraction") * 50).cast("bigint").alias("fraction_50"), "highest_known")
+    return out.select("vendor", "version", F.round(F.col("fraction") * 50).cast("bigint").alias("fraction_50"), "highest_known")
 
 
 @query
