@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from calipers.functions import http as H
 from calipers.functions import tls as X
 from calipers.functions.text import hex_list, hex_of, int_list
+from calipers.operators.sizing import WIDE_ROWS, small_side
 
 # Fields that vary from one connection of one build to the next.
 PER_CONNECTION = ("tls.extensions.order", "tls.grease.positions")
@@ -117,13 +118,13 @@ def paired(claimed: DataFrame, observed: DataFrame, on: Sequence[str], key: Sequ
     """Join wide (one rendered array per side) on the pair key, then zip the two arrays.
 
     The join moves one row per profile instead of one per field; the comparison after it
-    is row-local. ``on`` may be a hot route on the observed side: the claimed side has one
-    row per route, and adaptive execution broadcasts it when its measured size allows or
-    splits the hot partition when not.
+    is row-local. The claimed side has one row per route. While it is measured to be small it
+    is broadcast and the observed rows are not shuffled at all; beyond that it is a shuffle
+    join in which adaptive execution splits a hot route.
     """
     c = claimed.select(*on, rendered(profile_fields()).alias("_c"))
     o = observed.select(*on, *[k for k in key if k not in on], rendered(profile_fields()).alias("_o"))
-    return o.join(c, list(on))
+    return o.join(small_side(c, WIDE_ROWS, *on), list(on))
 
 
 def conformance(claimed: DataFrame, observed: DataFrame, on: Sequence[str], key: Sequence[str]) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from calipers.functions.identity import platform_token, profile_path, route_key
 from calipers.functions.text import ascii_lower
 from calipers.functions.versions import version_order, version_parts
+from calipers.operators.sizing import ROUTE_ROWS, small_side
 
 STABLE = "stable"
 
@@ -55,12 +56,13 @@ def pointers_latest(df: DataFrame) -> DataFrame:
 def latest_routes(df: DataFrame, *extra: str) -> DataFrame:
     """Stable profiles with nothing newer on their route under version parts; ties all stay.
 
-    The maximum per route combines map-side and is joined back, so ties of any number
-    are filtered where they are instead of being gathered in one window partition.
+    The maximum per route combines map-side and is joined back (broadcast when measured to
+    be small), so ties of any number are filtered where they are instead of being gathered
+    in one window partition.
     """
     rows = keyed(df, *extra).where(F.col("channel") == STABLE).withColumn("_parts", version_parts("version"))
     top = rows.groupBy("route").agg(F.max("_parts").alias("_top"))
-    return rows.join(top, "route").where("_parts = _top").drop("_parts", "_top")
+    return rows.join(small_side(top, ROUTE_ROWS), "route").where("_parts = _top").drop("_parts", "_top")
 
 
 def choose_release(releases: DataFrame, by: Sequence[str], version: str = "version", fraction: str = "fraction") -> DataFrame:

@@ -41,7 +41,6 @@ STACKS = (
     ("strict", False, False, 0, False),
     ("fixed", False, True, 1, True),
 )
-STACK_SCHEMA = "name string, omits_settings boolean, writes_priority_block boolean, grease_slots int, arbitrary_extension_order boolean"
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -174,10 +173,6 @@ for _name, _f in {
     _check(_name, _f)
 
 
-def stacks(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(STACKS), STACK_SCHEMA)
-
-
 @query
 def check_absence(spark, sf_dir):
     """Each profile against each target stack; the stacks are a literal array, so nothing is joined."""
@@ -719,7 +714,8 @@ def corpus_digest(spark, sf_dir):
 
 @query
 def corpus_digest_tree(spark, sf_dir):
-    return publish.corpus_digest_tree(publish.artefact_manifest(T.documents(spark, sf_dir)), 2)
+    manifest = publish.artefact_manifest(T.documents(spark, sf_dir))
+    return publish.corpus_digest_tree(manifest, publish.digest_depth(publish.digest_lines(manifest).count()))
 
 
 @query

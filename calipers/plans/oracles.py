@@ -660,8 +660,10 @@ prof(
 MAN = f"{DOC}, man AS (SELECT path, sha256(body) AS sha, CAST(strlen(body) AS BIGINT) AS bytes, derived FROM doc)"
 ORACLES["artefact_manifest"] = f"{MAN} SELECT path, sha AS sha256, bytes, derived, sha || '  ' || path AS line FROM man"
 ORACLES["corpus_digest"] = f"{MAN} SELECT sha256(string_agg(path || ' ' || sha || chr(10), '' ORDER BY path)) AS digest, count(*) AS lines, 'flat' AS form FROM man WHERE NOT derived"
-ORACLES["corpus_digest_tree"] = f"""{MAN}, l2 AS (SELECT left(sha256(path), 2) AS node, sha256(string_agg(path || ' ' || sha || chr(10), '' ORDER BY path)) AS d, count(*) AS n FROM man WHERE NOT derived GROUP BY 1),
-  l1 AS (SELECT left(node, 1) AS nd, sha256(string_agg(node || ' ' || d || chr(10), '' ORDER BY node)) AS d, sum(n) AS n FROM l2 GROUP BY 1)
+ORACLES["corpus_digest_tree"] = f"""{MAN}, sz AS (SELECT CASE WHEN count(*) <= 4096 THEN 1 WHEN count(*) <= 65536 THEN 2 ELSE 3 END AS depth FROM man WHERE NOT derived),
+  l3 AS (SELECT left(sha256(path), depth) AS node, sha256(string_agg(path || ' ' || sha || chr(10), '' ORDER BY path)) AS d, count(*) AS n FROM man, sz WHERE NOT derived GROUP BY 1),
+  l2 AS (SELECT left(node, 2) AS node, CASE WHEN any_value(length(node)) = 3 THEN sha256(string_agg(node || ' ' || d || chr(10), '' ORDER BY node)) ELSE any_value(d) END AS d, sum(n) AS n FROM l3 GROUP BY 1),
+  l1 AS (SELECT left(node, 1) AS nd, CASE WHEN any_value(length(node)) = 2 THEN sha256(string_agg(node || ' ' || d || chr(10), '' ORDER BY node)) ELSE any_value(d) END AS d, sum(n) AS n FROM l2 GROUP BY 1)
   SELECT sha256(string_agg(nd || ' ' || d || chr(10), '' ORDER BY nd)) AS digest, CAST(sum(n) AS BIGINT) AS lines FROM l1"""
 ORACLES["duplicate_paths"] = f"{PG} SELECT path, count(*) AS artefacts FROM pg GROUP BY path HAVING count(*) > 1"
 LISTING = """ls AS (SELECT DISTINCT coalesce(array_to_string(ps[1:i], '/'), '') AS directory, ps[i + 1] || CASE WHEN i + 1 < len(ps) THEN '/' ELSE '' END AS entry
