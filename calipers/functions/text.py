@@ -32,12 +32,12 @@ def is_hex(text: Column) -> Column:
 
 
 def hex_number(text: Column) -> Column:
-    """Hex digits -> bigint; null when the text is empty or not hex."""
-    return F.when(text.rlike("^[0-9a-fA-F]{1,15}$"), F.conv(text, 16, 10).try_cast("bigint"))
+    """Hex digits (at most 15) -> bigint. Callers check ``is_hex`` once for the whole text."""
+    return F.conv(text, 16, 10).try_cast("bigint")
 
 
 def byte_count(text: Column) -> Column:
-    return F.floor(F.length(text) / 2).cast("bigint")
+    return F.shiftright(F.octet_length(text), 1).cast("bigint")
 
 
 def bytes_at(text: Column, at, n) -> Column:
@@ -49,8 +49,8 @@ def bytes_at(text: Column, at, n) -> Column:
 
 def number_at(text: Column, at, n: int) -> Column:
     """Big-endian unsigned integer of ``n`` bytes at a byte offset, null if it is not all there."""
-    piece = bytes_at(text, at, n)
-    return F.when(F.length(piece) == 2 * n, hex_number(piece))
+    at = F.lit(at) if not isinstance(at, Column) else at
+    return F.when((at + n) * 2 <= F.octet_length(text), hex_number(bytes_at(text, at, n)))
 
 
 def chunks(text: Column, n_bytes: int) -> Column:

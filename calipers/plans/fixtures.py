@@ -63,6 +63,16 @@ def _http2(frames: str, window: str = "window") -> str:
       'pseudo_header_order', pseudo, 'connection_window', {window})"""
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """Keep the derivation below one point of the plan, as a stored table would be.
+
+    The condition is always true and not deterministic, so predicates over derived columns
+    are not rewritten into copies of the whole derivation above the scan. It costs nothing
+    and moves nothing; columns are still pruned through it.
+    """
+    return df.where(F.spark_partition_id() >= 0)
+
+
 def profiles(spark: SparkSession, sf_dir: str, snapshot: str = "current") -> DataFrame:
     """Profile rows derived from orders, with ``row_key`` as a unique row identifier.
 
@@ -72,7 +82,7 @@ def profiles(spark: SparkSession, sf_dir: str, snapshot: str = "current") -> Dat
     orders = table(spark, sf_dir, "orders")
     if snapshot == "before":
         orders = orders.where("o_orderdate < TIMESTAMP_NTZ '1997-01-01 00:00:00'")
-    return profiles_from(orders, snapshot)
+    return settled(profiles_from(orders, snapshot))
 
 
 def profiles_from(orders: DataFrame, snapshot: str = "current") -> DataFrame:
@@ -111,7 +121,7 @@ def profiles_from(orders: DataFrame, snapshot: str = "current") -> DataFrame:
 def captures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Capture rows derived from events; ``ts`` is kept as the event time."""
     df = _staged(table(spark, sf_dir, "events"), derive.capture_stages(SPARK))
-    return capture_columns(df)
+    return settled(capture_columns(df))
 
 
 def captures_from(events: DataFrame) -> DataFrame:

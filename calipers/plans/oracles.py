@@ -350,7 +350,7 @@ prof(
 prof(
     "vector_check",
     f""", {AFTER}, j AS ({ja4('prof')}), w AS ({ja4('aft')}),
-    c AS (SELECT row_key, p || {section('cs')} || {section('es')} AS d FROM j), e AS (SELECT row_key, p || {section('cs')} || {section('es')} AS d FROM w WHERE row_key % 10 <> 0)
+    c AS (SELECT row_key, p || {section('cs')} || {section('es')} AS d FROM j), e AS (SELECT row_key, p || {section('cs')} || {section('es')} AS d FROM w JOIN aft USING (row_key) WHERE operator <> '')
     SELECT state, count(*) AS profiles FROM (SELECT CASE WHEN e.d IS NULL THEN 'no vector' WHEN c.d IS NULL THEN 'no profile' WHEN c.d = e.d THEN 'match' ELSE 'mismatch' END AS state
       FROM c FULL OUTER JOIN e USING (row_key)) GROUP BY state""",
 )
@@ -422,7 +422,7 @@ prof(
 prof(
     "staleness",
     f""", {pointers('ptr')}, s AS (SELECT vendor, v FROM (SELECT lower(browser_name) AS vendor, version AS v, row_number() OVER (PARTITION BY lower(browser_name) ORDER BY {parts('version')} DESC, version DESC) AS rn
-      FROM prof WHERE row_key % 3 = 0) WHERE rn = 1 AND vendor <> 'opera')
+      FROM prof WHERE channel = 'dev') WHERE rn = 1 AND vendor <> 'opera')
     SELECT key AS route, version AS held, v AS serving, list_resize({parts('version')}, 8, 0) < list_resize({parts('v')}, 8, 0) AS behind
     FROM ptr JOIN s ON s.vendor = split_part(key, '/', 1) WHERE split_part(key, '/', 2) = 'stable'""",
 )
@@ -454,10 +454,10 @@ ORACLES["assemble_profile"] = f"""{CAPS}, {ASSEMBLE} SELECT navigation, id, capt
 ORACLES["assemble_refusals"] = f"{CAPS}, {ASSEMBLE} SELECT navigation, why FROM asm WHERE why IS NOT NULL"
 prof(
     "select_exact",
-    f""", {AFTER} SELECT row_key, {ROUTE} AS route, version FROM prof p WHERE EXISTS (SELECT 1 FROM aft a WHERE a.row_key % 20 = 0 AND lower(a.browser_name) = lower(p.browser_name)
+    f""", {AFTER} SELECT row_key, {ROUTE} AS route, version FROM prof p WHERE EXISTS (SELECT 1 FROM aft a WHERE lower(a.browser_name) = lower(p.browser_name)
     AND a.channel = p.channel AND a.platform = p.platform AND a.version = p.version)""",
 )
-prof("select_latest", f", {pointers('ptr')} SELECT * FROM ptr WHERE key IN (SELECT {ROUTE} FROM prof WHERE row_key % 11 = 0)")
+prof("select_latest", f", {AFTER}, {pointers('ptr')} SELECT * FROM ptr WHERE key IN (SELECT {ROUTE} FROM aft)")
 
 # -- captures --------------------------------------------------------------
 
