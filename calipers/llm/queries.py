@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
-from calipers.llm import license_scan, quality_rules, url_filter
+from calipers.llm import bpe, decontaminate, html_text, license_scan, ngram_join, quality_crf, quality_rules, url_filter
 
 QUERIES = {
+    "op1_bpe": bpe.op1_bpe,
+    "op2_html_text": html_text.op2_html_text,
+    "op3_decontaminate": decontaminate.op3_decontaminate,
+    "op4_ngram_join": ngram_join.op4_ngram_join,
+    "op5_quality_crf": quality_crf.op5_quality_crf,
     "op7_license_scan": license_scan.op7_license_scan,
     "op8_quality_rules": quality_rules.op8_quality_rules,
     "op10_url_filter": url_filter.op10_url_filter,
 }
 ORACLES = {
+    "op3_decontaminate": decontaminate.ORACLE_SQL,
     "op7_license_scan": license_scan.ORACLE_SQL,
     "op8_quality_rules": quality_rules.ORACLE_SQL,
     "op10_url_filter": url_filter.ORACLE_SQL,
