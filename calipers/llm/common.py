@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from calipers.sources.shared import shared_folder
+
 #: Characters that separate words where a contract takes words as runs of other characters.
 BLANKS = " \t\n\v\f\r"
 BLANK_RUN = r"[\x20\x09-\x0D]+"
@@ -16,6 +18,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the given folder. Python workers look for this package where the driver has it, beside their own path."""
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -34,18 +38,6 @@ def folded_words(text: Column) -> Column:
     return F.regexp_extract_all(fold(text), F.lit(FOLDED_WORD), F.lit(0))
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder below spark.checkpoint.dir, which every executor reaches.
-
-    The setting is a static one of the cluster; where nobody set it the caller has to, since a
-    folder of one machine would lose rows on a cluster.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not root:
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return f"{root.rstrip('/')}/calipers-{uuid.uuid4().hex}"
-
-
 def settle(df: DataFrame, files: int | None = None) -> DataFrame:
     """Write df to the shared folder and read it back: cuts lineage, survives lost executors."""
     path = shared_folder(df.sparkSession)

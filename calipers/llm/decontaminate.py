@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from calipers.llm.common import FOLDED_WORD, LOWER, UPPER, fold, settle, table
 
@@ -93,9 +94,9 @@ def _blocks(benchmark: DataFrame, id_col: str, text_col: str, most: int) -> Iter
 
 def search(documents: DataFrame, benchmark: DataFrame, n: int = WINDOW, id_col: str = "doc_id", text_col: str = "text",
            item_col: str = "item_id", item_text_col: str = "text", most: int = BROADCAST_WORDS) -> DataFrame:
-    """(id, text, n_words, hits array<int> of hit word places, items array<string>) per document row."""
-    id_type = documents.schema[id_col].dataType.simpleString()
-    rows = documents.select(F.col(id_col), F.col(text_col).cast("string").alias("text"))
+    """(row: struct of the input's columns, n_words, hits array<int> of hit word places, items array<string>)."""
+    rows = documents.select(F.struct("*").alias("row"), F.col(text_col).cast("string").alias("text"))
+    kinds = T.StructType([rows.schema["row"], T.StructField("n_words", T.LongType()), T.StructField("hits", T.ArrayType(T.IntegerType())), T.StructField("items", T.ArrayType(T.StringType()))])
     parts = []
     for block in _blocks(benchmark, item_col, item_text_col, most):
         shared = documents.sparkSession.sparkContext.broadcast(Windows(block, n))
@@ -110,37 +111,36 @@ def search(documents: DataFrame, benchmark: DataFrame, n: int = WINDOW, id_col:
                     n_words.append(len(words))
                     places.append(np.flatnonzero(hit).astype(np.int32))
                     items.append([windows.names[k] for k in sorted(found)])
-                arrays = [batch.column(0), batch.column(1), pa.array(n_words, pa.int64()), pa.array(places, pa.list_(pa.int32())), pa.array(items, pa.list_(pa.string()))]
-                yield pa.RecordBatch.from_arrays(arrays, [id_col, "text", "n_words", "hits", "items"])
+                arrays = [batch.column(0), pa.array(n_words, pa.int64()), pa.array(places, pa.list_(pa.int32())), pa.array(items, pa.list_(pa.string()))]
+                yield pa.RecordBatch.from_arrays(arrays, ["row", "n_words", "hits", "items"])
 
-        parts.append(rows.mapInArrow(scan, f"`{id_col}` {id_type}, text string, n_words long, hits array<int>, items array<string>"))
+        parts.append(rows.mapInArrow(scan, kinds))
     if len(parts) == 1:
         return parts[0]
     # each block is judged on its own; only rows with hits move, and those are few and narrow
-    key = F.xxhash64(F.col(id_col), F.col("text"))
+    key = [F.col("row")[id_col].alias("_id"), F.xxhash64(F.col("row")[id_col], F.col("row")[text_col]).alias("_key")]
     hits = None
     for part in parts:
-        own = part.filter(F.size("items") > 0).select(F.col(id_col).alias("_id"), key.alias("_key"), "hits", "items")
+        own = part.filter(F.size("items") > 0).select(*key, "hits", "items")
         hits = own if hits is None else hits.unionByName(own)
     hits = settle(hits)
-    places = hits.select("_id", "_key", F.explode("hits").alias("v")).distinct().groupBy("_id", "_key").agg(F.sort_array(F.collect_list("v")).alias("hits"))
-    items = hits.select("_id", "_key", F.explode("items").alias("v")).distinct().groupBy("_id", "_key").agg(F.sort_array(F.collect_list("v")).alias("items"))
-    united = places.join(items, ["_id", "_key"])
-    whole = parts[0].select(id_col, "text", "n_words", key.alias("_k"))
-    joined = whole.join(united, (F.col("_k") == F.col("_key")) & F.col(id_col).eqNullSafe(F.col("_id")), "left")
+    places = hits.select("_key", F.explode("hits").alias("v")).distinct().groupBy("_key").agg(F.sort_array(F.collect_list("v")).alias("hits"))
+    items = hits.select("_key", F.explode("items").alias("v")).distinct().groupBy("_key").agg(F.sort_array(F.collect_list("v")).alias("items"))
+    united = settle(places.join(items, "_key"))
     none = lambda kind: F.array().cast(f"array<{kind}>")
-    return joined.select(id_col, "text", "n_words", F.coalesce("hits", none("int")).alias("hits"), F.coalesce("items", none("string")).alias("items"))
+    joined = parts[0].select("row", "n_words", key[1]).join(united, "_key", "left")
+    return joined.select("row", "n_words", F.coalesce("hits", none("int")).alias("hits"), F.coalesce("items", none("string")).alias("items"))
 
 
-def spans_removed(found: DataFrame) -> DataFrame:
-    """The searched documents with every hit word, and what stands between two hit words, taken out."""
-    folded = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # the same words before folding
+def spans_removed(found: DataFrame, text_col: str = "text") -> DataFrame:
+    """(row, text) of the searched documents without their hit words and what stands between two of them."""
+    word_of = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # the same words before folding
 
     def cut(batches):
-        word = re.compile(folded)
+        word = re.compile(word_of)
         for batch in batches:
             texts = []
-            for text, hits in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for text, hits in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 if text is None or not hits:
                     texts.append(text)
                     continue
@@ -153,17 +153,16 @@ def spans_removed(found: DataFrame) -> DataFrame:
                     else:
                         previous = False
                 texts.append("".join(out) + text[end:])
-            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), *batch.columns[2:]], ["text", *batch.schema.names[2:]])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["row", "text"])
 
-    rest = [c for c in found.columns if c not in ("text", "hits")]
-    kinds = ", ".join(f"`{c}` {found.schema[c].dataType.simpleString()}" for c in rest)
-    return found.select("text", "hits", *rest).mapInArrow(cut, f"text string, {kinds}").select(*[c for c in found.columns if c != "hits"])
+    rows = found.select("row", F.col("row")[text_col].cast("string").alias("text"), "hits")
+    return rows.mapInArrow(cut, T.StructType([rows.schema["row"], T.StructField("text", T.StringType())]))
 
 
 def op3_decontaminate(spark, sf_dir: str) -> DataFrame:
-    found = search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    found = search(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
     return found.select(
-        "doc_id", "n_words", F.size("hits").cast("long").alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        "row.doc_id", "n_words", F.size("hits").cast("long").alias("n_hit"), F.size("items").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", F.sort_array("items")), 256).alias("items_sha256"), (F.size("hits") > 0).alias("contaminated"),
     )
 

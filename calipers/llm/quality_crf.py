@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from calipers.llm.common import table
 
@@ -184,8 +185,8 @@ def train(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     return fit(np.concatenate(features), first, np.array([l for l, _ in parts]))
 
 
-def score(documents: DataFrame, model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, text, score, n_lines, n_bad_lines) of every row."""
+def score(documents: DataFrame, model, text_col: str = "text") -> DataFrame:
+    """(row: struct of the input's columns, score, n_lines, n_bad_lines) of every row."""
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     def chunks(batches: Iterator[pa.RecordBatch]):
@@ -209,14 +210,14 @@ def score(documents: DataFrame, model, id_col: str = "doc_id", text_col: str = "
                 result = np.add.reduceat(good * size, first[:-1]) / np.add.reduceat(size, first[:-1])
                 n, bad = np.diff(first), np.add.reduceat((good < 0.5).astype(np.int64), first[:-1])
             arrays = [pa.array(np.clip(result, 0, 1), pa.float64()), pa.array(n, pa.int64()), pa.array(bad, pa.int64())]
-            yield pa.RecordBatch.from_arrays([*own.columns, *arrays], [*own.schema.names, "score", "n_lines", "n_bad_lines"])
+            yield pa.RecordBatch.from_arrays([own.column(0), *arrays], ["row", "score", "n_lines", "n_bad_lines"])
 
-    kind = documents.schema[id_col].dataType.simpleString()
-    rows = documents.select(F.col(id_col), F.col(text_col).cast("string"))
-    return rows.mapInArrow(work, f"`{id_col}` {kind}, `{text_col}` string, score double, n_lines long, n_bad_lines long")
+    rows = documents.select(F.struct("*").alias("row"), F.col(text_col).cast("string").alias("text"))
+    kinds = T.StructType([rows.schema["row"], *(T.StructField(n, t()) for n, t in (("score", T.DoubleType), ("n_lines", T.LongType), ("n_bad_lines", T.LongType)))])
+    return rows.mapInArrow(work, kinds)
 
 
 def op5_quality_crf(spark, sf_dir: str) -> DataFrame:
     documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    scored = score(documents, train(documents, labels))
-    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "n_lines", "n_bad_lines")
+    scored = score(documents.select("doc_id", "text"), train(documents, labels))
+    return scored.select("row.doc_id", held_out(F.col("row.doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "n_lines", "n_bad_lines")

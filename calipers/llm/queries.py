@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from calipers.llm import bpe, decontaminate, html_text, license_scan, ngram_join, quality_crf, quality_rules, url_filter
+from calipers.llm import bpe, decontaminate, gru_lm, html_text, license_scan, line_templates, ngram_join, quality_crf, quality_rules, url_filter
 
 QUERIES = {
     "op1_bpe": bpe.op1_bpe,
@@ -10,12 +10,15 @@ QUERIES = {
     "op3_decontaminate": decontaminate.op3_decontaminate,
     "op4_ngram_join": ngram_join.op4_ngram_join,
     "op5_quality_crf": quality_crf.op5_quality_crf,
+    "op6_line_templates": line_templates.op6_line_templates,
     "op7_license_scan": license_scan.op7_license_scan,
     "op8_quality_rules": quality_rules.op8_quality_rules,
+    "op9_gru_lm": gru_lm.op9_gru_lm,
     "op10_url_filter": url_filter.op10_url_filter,
 }
 ORACLES = {
     "op3_decontaminate": decontaminate.ORACLE_SQL,
+    "op6_line_templates": line_templates.ORACLE_SQL,
     "op7_license_scan": license_scan.ORACLE_SQL,
     "op8_quality_rules": quality_rules.ORACLE_SQL,
     "op10_url_filter": url_filter.ORACLE_SQL,
