@@ -19,6 +19,7 @@ from calipers.functions.text import hex_of, strip
 from calipers.functions.tls import codepoints, offers_psk
 from calipers.functions.versions import first_component
 from calipers.operators.rules import normalise_headers, put, redacted_switches, REDACTED_REASON
+from calipers.operators.sizing import ROUTE_ROWS, small_side
 
 NAV = ("navigation",)
 
@@ -83,7 +84,10 @@ def _draw(values: Column) -> Column:
 
 
 def sampling_summary(captures: DataFrame, requested: int = 8, by: Sequence[str] = NAV) -> DataFrame:
-    """Accepted, completed, distinct GREASE draws and extension orders, and the shortfall.
+    """Requested, accepted, completed, distinct GREASE draws and extension orders, and the shortfall.
+
+    ``shortfall`` is what the run lacks of ``requested`` (null where every one completed; negative where
+    more completed than were asked for, which is not what was asked for either).
 
     Distinct counting groups by (navigation, draw) first; a hot navigation is combined
     map-side and spread over its draws instead of being collected.
@@ -101,7 +105,12 @@ def sampling_summary(captures: DataFrame, requested: int = 8, by: Sequence[str]
         F.countDistinct("grease").alias("distinct_grease_draws"),
         F.countDistinct("exts").alias("distinct_extension_orders"),
     )
-    return out.withColumn("every_one_completed", F.col("completed") == requested)
+    whole = F.col("completed") == requested
+    return out.withColumns({
+        "requested": F.lit(requested).cast("bigint"),
+        "every_one_completed": whole,
+        "shortfall": F.when(~whole, F.lit(requested).cast("bigint") - F.col("completed")),
+    })
 
 
 def wire_hex(frame: Column) -> Column:
@@ -116,15 +125,19 @@ def wire_hex(frame: Column) -> Column:
 def assemble(captures: DataFrame, identities: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Profiles and refusals: cold TLS half + first HTTP/2 half + declared identity.
 
-    The two halves are picked with ``min_by`` in one aggregation, so at most one struct
-    per task and navigation is shuffled; identities join on the navigation key.
+    A connection id is unique within its navigation. The winners are found on numbers alone
+    (a hash aggregate); then the captures keep only the two wide rows of each navigation, where
+    they are read while the winners are measured to be few. No wide row is sorted or aggregated.
     """
-    tls_half = F.struct("connection", "at", "tls", "raw_hex")
-    h2_half = F.struct("connection", "http2", F.col("termination.plaintext_hex").alias("plaintext_hex"))
-    halves = captures.groupBy("navigation").agg(
-        F.min_by(F.when(is_cold_hello(), tls_half), F.when(is_cold_hello(), F.col("connection"))).alias("t"),
-        F.min_by(F.when(reached_h2(), h2_half), F.when(reached_h2(), F.col("connection"))).alias("h"),
+    picks = select_halves(captures).select("navigation", "tls_from", "http2_from")
+    wanted = picks.select("navigation", F.explode(F.array_distinct(F.array_compact(F.array("tls_from", "http2_from")))).alias("connection"))
+    wide = captures.join(small_side(wanted, ROUTE_ROWS), ["navigation", "connection"], "left_semi")
+    tls_half = wide.select("navigation", F.col("connection").alias("tls_from"), F.struct("connection", "at", "tls", "raw_hex").alias("t"))
+    h2_half = wide.select(
+        "navigation", F.col("connection").alias("http2_from"),
+        F.struct("connection", "http2", F.col("termination.plaintext_hex").alias("plaintext_hex")).alias("h"),
     )
+    halves = picks.join(tls_half, ["navigation", "tls_from"], "left").join(h2_half, ["navigation", "http2_from"], "left").select("navigation", "t", "h")
     refusal = (
         F.when(F.col("t").isNull(), "no cold hello")
         .when(F.col("h").isNull(), "no http2")

@@ -16,6 +16,7 @@ from calipers.functions import tls as X
 from calipers.functions.identity import platform_token
 from calipers.functions.text import ascii_lower, positions_where, strip
 from calipers.operators.rules import KEY, Rule, as_array, finding, provenance, provenance_entries
+from calipers.operators.sizing import ROUTE_ROWS, small_side
 
 CHECKS = ("version", "platform", "brand", "handshake", "grease", "encoding", "absence", "provenance")
 NONE = "array<struct<field:string,kind:string,found:string>>"
@@ -222,18 +223,12 @@ def handshake_digest() -> Column:
     return F.sha2(F.to_json(F.struct(F.col("tls")), {"ignoreNullFields": "false"}), 256)
 
 
-def shared_handshake_groups(df: DataFrame) -> DataFrame:
-    """TLS halves that several majors of one browser claim.
+def _handshakes(df: DataFrame, *key: str) -> DataFrame:
+    return df.select(*key, F.col("browser.name").alias("browser"), F.col("browser.major").alias("major"), handshake_digest().alias("tls_digest"))
 
-    Grouped in two steps: (browser, digest, major) combines map-side, so a handshake
-    that a third of all rows share shuffles one row per partition and major. ``pairs``
-    counts the contradicting pairs without enumerating them.
-    """
-    per_major = (
-        df.select(F.col("browser.name").alias("browser"), F.col("browser.major").alias("major"), handshake_digest().alias("tls_digest"))
-        .groupBy("browser", "tls_digest", "major")
-        .agg(F.count("*").alias("n"))
-    )
+
+def _groups(rows: DataFrame) -> DataFrame:
+    per_major = rows.groupBy("browser", "tls_digest", "major").agg(F.count("*").alias("n"))
     return (
         per_major.groupBy("browser", "tls_digest")
         .agg(
@@ -249,16 +244,26 @@ def shared_handshake_groups(df: DataFrame) -> DataFrame:
     )
 
 
+def shared_handshake_groups(df: DataFrame) -> DataFrame:
+    """TLS halves that several majors of one browser claim.
+
+    Grouped in two steps: (browser, digest, major) combines map-side, so a handshake
+    that a third of all rows share shuffles one row per partition and major. ``pairs``
+    counts the contradicting pairs without enumerating them.
+    """
+    return _groups(_handshakes(df))
+
+
 def shared_handshakes(df: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
     """Every profile whose TLS half another major of its browser also carries.
 
-    One row per profile (not per pair) with the size of its group; the group side is
-    small, and a hot digest on the profile side is split by adaptive skew handling.
+    One row per profile (not per pair) with the size of its group. Contradicting groups are
+    few and broadcast once measured, so profiles that contradict nothing are dropped where they
+    are read; beyond the bound a hot digest is split by adaptive skew handling.
     """
-    rows = df.select(
-        *key, F.col("browser.name").alias("browser"), F.col("browser.major").alias("major"), handshake_digest().alias("tls_digest")
-    )
-    return rows.join(shared_handshake_groups(df).select("browser", "tls_digest", "profiles", "majors"), ["browser", "tls_digest"])
+    rows = _handshakes(df, *key)
+    groups = _groups(rows).select("browser", "tls_digest", "profiles", "majors")
+    return rows.join(small_side(groups, ROUTE_ROWS), ["browser", "tls_digest"])
 
 
 def reachable_gaps(df: DataFrame, browsers: Sequence[str], channels: Sequence[str], platforms: Sequence[str], key: Sequence[str] = KEY) -> DataFrame:

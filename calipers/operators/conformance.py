@@ -145,10 +145,16 @@ def conformance_counts(compared: DataFrame, key: Sequence[str]) -> DataFrame:
 
 
 def conformance_by_field(compared: DataFrame) -> DataFrame:
-    """Fleet roll-up; a handful of groups, combined map-side."""
+    """Fleet roll-up of compared rows; a handful of groups, combined map-side."""
     return compared.groupBy("field").agg(*_counts())
 
 
+def fields_in_fleet(claimed: DataFrame, observed: DataFrame, on: Sequence[str], key: Sequence[str]) -> DataFrame:
+    """``conformance_by_field`` of two sides: verdicts are made inside the row, only (field, verdict) leaves it."""
+    one = F.zip_with("_c", "_o", lambda c, o: F.struct(c["field"].alias("field"), verdict(c["field"], c["value"], o["value"]).alias("verdict")))
+    return conformance_by_field(paired(claimed, observed, on, key).select(F.explode(one).alias("z")).select("z.*"))
+
+
 def counts_in_row(claimed: DataFrame, observed: DataFrame, on: Sequence[str], key: Sequence[str]) -> DataFrame:
     """``conformance_counts`` when one row is one report: counted inside the row, no explode, no second shuffle."""
     verdicts = F.zip_with("_c", "_o", lambda c, o: verdict(c["field"], c["value"], o["value"]))

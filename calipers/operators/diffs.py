@@ -126,9 +126,15 @@ def provenance_regressions(paired: DataFrame, key: Sequence[str]) -> DataFrame:
     return paired.select(*key, F.explode(regressions(F.col("b"), F.col("a"))).alias("r")).select(*key, "r.field", "r.became")
 
 
-def append_only_audit(published: DataFrame, now: DataFrame, exempt: str = r"^[^/]*(index|latest)\.json") -> DataFrame:
-    """Published (path, sha256) that were deleted or modified since; regenerated listings are exempt."""
-    a = published.where(~F.col("path").rlike(exempt))
+def append_only_audit(published: DataFrame, now: DataFrame, root: str = "corpus") -> DataFrame:
+    """Published (path, sha256) that were deleted or modified since.
+
+    Exempt are the listings every publication writes anew: exactly ``index.json`` and
+    ``latest.json`` directly below a layout directory of ``root``.
+    """
+    parts = F.split("path", "/")
+    listing = (F.size(parts) == 3) & (F.get(parts, F.lit(0)) == root) & F.get(parts, F.lit(2)).isin("index.json", "latest.json")
+    a = published.where(~listing)
     joined = a.join(now.select("path", F.col("sha256").alias("now_sha256")), "path", "left")
     state = F.when(F.col("now_sha256").isNull(), "deleted").when(F.col("sha256") != F.col("now_sha256"), "modified")
     return joined.select("path", state.alias("change")).where("change IS NOT NULL")
@@ -167,18 +173,36 @@ def tree_states(published: DataFrame, regenerated: DataFrame, manifest: DataFram
     return joined.select("path", state.alias("state"), missing.alias("manifest_missing"))
 
 
-def tree_diff(published: DataFrame, regenerated: DataFrame, manifest: DataFrame, immutable_known: bool = True) -> DataFrame:
-    """One row: counts per kind of difference, lost checksum lines and the verdict."""
+def lost_checksums(published: DataFrame, regenerated: DataFrame, immutable: DataFrame) -> DataFrame:
+    """Published checksum lines (path, sha256) of immutable paths that the regenerated lines no longer hold."""
+    lines = published.select("path", "sha256").join(immutable.select("path"), "path", "left_semi").distinct()
+    return lines.join(regenerated.select("path", "sha256"), ["path", "sha256"], "left_anti")
+
+
+def tree_diff(
+    published: DataFrame, regenerated: DataFrame, manifest: DataFrame, published_sums: DataFrame, regenerated_sums: DataFrame
+) -> DataFrame:
+    """One row: counts per kind of difference, lost checksum lines and the verdict.
+
+    Immutable are the paths that the regenerated tree does not derive. A published path whose
+    bytes are not there again is a change of an immutable path, or else of a derived one (a gone
+    path too, which is counted as gone beside). Without any immutable path nothing was compared,
+    and the verdict is a refusal.
+    """
     s = tree_states(published, regenerated, manifest)
-    n = lambda state: F.count_if(F.col("state") == state)
+    immutable = regenerated.where(~F.col("derived"))
+    n = lambda *states: F.count_if(F.col("state").isin(*states))
     out = s.agg(
         n("gone").alias("gone"),
         n("added").alias("added"),
         n("immutable changed").alias("immutable_changed"),
-        n("derived changed").alias("derived_changed"),
+        n("derived changed", "gone").alias("derived_changed"),
         F.count_if("manifest_missing").alias("manifest_missing"),
-    ).withColumn("checksums_lost", F.col("immutable_changed"))
-    broken = F.col("gone") + F.col("immutable_changed") + F.col("manifest_missing") > 0
+    )
+    lost = lost_checksums(published_sums, regenerated_sums, immutable).agg(F.count("*").alias("n"))
+    known = immutable.agg((F.count("*") > 0).alias("known"))
+    out = out.withColumns({"checksums_lost": lost.scalar(), "_known": known.scalar()})
+    broken = F.col("gone") + F.col("immutable_changed") + F.col("manifest_missing") + F.col("checksums_lost") > 0
     waiting = F.col("added") + F.col("derived_changed") > 0
-    verdict = F.when(broken, "violated").when(waiting, "pending").otherwise("matched")
-    return out.withColumn("verdict", verdict)
+    verdict = F.when(~F.col("_known"), "refused").when(broken, "violated").when(waiting, "pending").otherwise("matched")
+    return out.withColumn("verdict", verdict).drop("_known")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from calipers.functions.identity import platform_token, profile_path, route_key
 from calipers.functions.text import ascii_lower
 from calipers.functions.versions import version_order, version_parts
+from calipers.operators.digest import corpus_digest
 from calipers.operators.sizing import ROUTE_ROWS, small_side
 
 STABLE = "stable"
@@ -109,10 +110,10 @@ def dangling_supersedes(df: DataFrame, key: Sequence[str] = ("id",)) -> DataFram
 
 def sidecar_mismatch(profiles: DataFrame, sidecars: DataFrame) -> DataFrame:
     """(path, recorded) against the raw sidecars (path, body): missing or unequal ones."""
-    joined = profiles.join(sidecars.select("path", "body", F.lit(True).alias("_there")), "path", "left")
-    problem = F.when(F.col("_there").isNull(), "missing").when(
-        ~F.coalesce("recorded", F.lit("")).eqNullSafe(F.col("body")), "unequal"
-    )
+    address = lambda c: F.struct(F.sha2(c, 256), F.octet_length(c))  # noqa: E731  bodies stay where they were read
+    recorded = profiles.select("path", address(F.coalesce("recorded", F.lit(""))).alias("_r"))
+    joined = recorded.join(sidecars.select("path", address(F.col("body")).alias("_b"), F.lit(True).alias("_there")), "path", "left")
+    problem = F.when(F.col("_there").isNull(), "missing").when(~F.col("_r").eqNullSafe(F.col("_b")), "unequal")
     return joined.select("path", problem.alias("problem")).where("problem IS NOT NULL")
 
 
@@ -167,5 +168,14 @@ def index(df: DataFrame, draft: Column, key: Sequence[str] = ()) -> DataFrame:
 
 
 def release_summary(df: DataFrame) -> DataFrame:
-    """Number of profiles and newest capture instant."""
-    return df.agg(F.count("*").alias("profiles"), F.max("captured.at").alias("newest_capture"))
+    """Number of profiles, newest capture instant, and the digest that pins the release.
+
+    The digest is the corpus digest over the index: each published path with the content address
+    of its raw bytes, so two releases with one digest hold the same captures.
+    """
+    hello = F.col("raw.client_hello_hex")
+    lines = df.select(
+        F.coalesce(profile_path(), F.col("id")).alias("path"), F.coalesce(F.sha2(hello, 256), F.lit("")).alias("sha256"), F.lit(False).alias("derived")
+    )
+    out = df.agg(F.count("*").alias("profiles"), F.max("captured.at").alias("newest_capture"))
+    return out.withColumn("digest", corpus_digest(lines).select("digest").scalar())

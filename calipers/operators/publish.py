@@ -12,6 +12,7 @@ from calipers.functions.identity import path_component, platform_token, profile_
 from calipers.functions.text import ascii_lower, first_where
 from calipers.functions.tls import TRUST_ANCHORS, anchor_ids, extension
 from calipers.operators.pointers import STABLE, latest_routes
+from calipers.operators.sizing import ROUTE_ROWS, small_side
 
 # Property, the header it reads (or none), whether it holds a list.
 PROPERTIES = (
@@ -41,70 +42,6 @@ def duplicate_paths(manifest: DataFrame) -> DataFrame:
     return manifest.groupBy("path").agg(F.count("*").alias("artefacts")).where("artefacts > 1")
 
 
-def digest_lines(manifest: DataFrame) -> DataFrame:
-    """``path sha256`` lines of the artefacts that count towards the digest."""
-    return manifest.where(~F.col("derived")).select("path", F.concat("path", F.lit(" "), "sha256", F.lit("\n")).alias("line"))
-
-
-def _fold(rows: DataFrame, by: str, order: str, text: str) -> DataFrame:
-    """SHA-256 over the texts of each group in order. Groups are small by construction."""
-    packed = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(text).alias("t"))))
-    joined = F.array_join(F.transform(packed, lambda x: x["t"]), "")
-    return rows.groupBy(by).agg(F.sha2(joined, 256).alias("digest"), F.count("*").alias("members"))
-
-
-def digest_leaves(manifest: DataFrame, depth: int) -> DataFrame:
-    """Leaf digests: lines grouped by the first ``depth`` hex digits of SHA-256(path).
-
-    Paths are unique, so the hash spreads them evenly: a leaf holds lines/16^depth on
-    average and no directory, however large, becomes one group.
-    """
-    lines = digest_lines(manifest).withColumn("node", F.substring(F.sha2(F.col("path"), 256), 1, depth))
-    return _fold(lines, "node", "path", "line")
-
-
-def corpus_digest_tree(manifest: DataFrame, depth: int) -> DataFrame:
-    """Root of a 16-ary digest tree over all lines; ``depth`` levels, at most 16 children each.
-
-    Choose ``depth`` so that lines/16^depth stays in the hundreds (see ``digest_depth``).
-    """
-    level = digest_leaves(manifest, depth).select("node", "digest", F.col("members").alias("lines"))
-    for d in range(depth - 1, -1, -1):
-        parent = F.substring("node", 1, d) if d else F.lit("")
-        line = F.concat("node", F.lit(" "), "digest", F.lit("\n"))
-        rows = level.select(parent.alias("parent"), "node", line.alias("line"), "lines")
-        packed = F.array_sort(F.collect_list(F.struct(F.col("node").alias("o"), F.col("line").alias("t"))))
-        joined = F.array_join(F.transform(packed, lambda x: x["t"]), "")
-        level = rows.groupBy("parent").agg(F.sha2(joined, 256).alias("digest"), F.sum("lines").alias("lines"))
-        level = level.withColumnRenamed("parent", "node")
-    return level.select("digest", "lines")
-
-
-def digest_depth(lines: int, per_leaf: int = 256) -> int:
-    """Smallest depth whose leaves hold about ``per_leaf`` lines."""
-    depth = 1
-    while lines > per_leaf * 16**depth:
-        depth += 1
-    return depth
-
-
-FLAT_DIGEST_LINES = 100_000
-
-
-def corpus_digest(manifest: DataFrame, flat_lines: int = FLAT_DIGEST_LINES) -> DataFrame:
-    """Digest over the sorted ``path sha256`` lines: digest, lines, form.
-
-    The flat form hashes one text, so it is used only while the measured number of lines
-    is within ``flat_lines`` (about 15 MB); beyond it the digest is the root of the tree
-    over the same lines, and ``form`` says so.
-    """
-    n = digest_lines(manifest).count()
-    if n > flat_lines:
-        return corpus_digest_tree(manifest, digest_depth(n)).withColumn("form", F.lit("tree"))
-    lines = digest_lines(manifest).withColumn("g", F.lit(""))
-    return _fold(lines, "g", "path", "line").select("digest", F.col("members").alias("lines"), F.lit("flat").alias("form"))
-
-
 def directory_listing(routes: DataFrame, path: str = "path") -> DataFrame:
     """(directory, entry) for every route prefix; sub-directories end in ``/``.
 
@@ -134,16 +71,18 @@ def anchor_lists(df: DataFrame, key: Sequence[str] = ("id",)) -> DataFrame:
 
     A profile without the extension has no row; an empty list has one; a malformed body is
     kept with its state. The short file name goes to a name exactly one listed profile owns,
-    decided from counts that combine map-side and are joined back.
+    decided from counts that combine map-side and are joined back: broadcast while measured to
+    be few, and in any case to rows that carry the undecoded body only.
     """
     rows = df.select(
         *key,
         *(["id"] if "id" not in key else []),
         extension(F.col("tls.extensions"), TRUST_ANCHORS)["body_hex"].alias("_body"),
         F.concat_ws("-", ascii_lower(F.col("browser.name")), F.col("browser.version"), platform_token()).alias("short_name"),
-    ).where("_body IS NOT NULL").withColumn("w", anchor_ids(F.col("_body")))
-    owners = rows.where("w.state = 'list'").groupBy("short_name").agg(F.count("*").alias("owners"))
-    out = rows.join(owners, "short_name", "left")
+    ).where("_body IS NOT NULL")
+    walked = lambda x: x.withColumn("w", anchor_ids(F.col("_body")))
+    owners = walked(rows.select("short_name", "_body")).where("w.state = 'list'").groupBy("short_name").agg(F.count("*").alias("owners"))
+    out = walked(rows.join(small_side(owners, ROUTE_ROWS), "short_name", "left"))
     only = (F.col("w.state") == "list") & (F.col("owners") == 1)
     return out.select(
         *key,
@@ -180,8 +119,8 @@ def _named(headers: Column, name: str) -> Column:
     return first_where(headers, lambda h: h["name"] == name)["value"]
 
 
-def _property_values(df: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Melt the properties of every header set, inside the row."""
+def _property_values(df: DataFrame, key: Sequence[str], *extra: str | Column) -> DataFrame:
+    """Melt the properties of every header set, inside the row; ``extra`` columns come along."""
     alpn = F.when(F.size("tls.alpn") > 0, F.array_join("tls.alpn", "\n"))
 
     def entry(name: str, multi: bool, value: Column, variant: Column) -> Column:
@@ -215,44 +154,41 @@ def _property_values(df: DataFrame, key: Sequence[str]) -> DataFrame:
         F.col("browser.version").alias("version"),
         F.concat_ws("/", ascii_lower(F.col("browser.name")), F.col("browser.channel")).alias("_bc"),
         platform_token().alias("_platform"),
+        F.struct(F.lit(0).alias("_"), *extra).alias("x"),
         F.explode(present).alias("e"),
-    ).select(*key, "profile", "version", "_bc", "_platform", "e.*")
+    ).select(*key, "profile", "version", "_bc", "_platform", "x.*", "e.*").drop("_")
 
 
 def property_routes(df: DataFrame, key: Sequence[str] = ("id",)) -> DataFrame:
     """(path, value, profile, property, variant, multi_value) of every published value.
 
     Profiles that are the newest stable ones of their route are published a second time
-    under ``latest``; ties are all published.
+    under ``latest``; ties are all published. Rows are marked before they are melted, so the
+    values are melted once and both paths come from the row.
     """
-    values = _property_values(df, key)
+    newest = latest_routes(df, *[k for k in key if k != "id"]).select(*key).distinct().withColumn("_latest", F.lit(True))
+    values = _property_values(df.join(small_side(newest, ROUTE_ROWS), list(key), "left"), key, "_latest")
     suffix = F.when(F.col("multi_value"), ".list.txt").otherwise(".txt")
-
-    def paths(rows: DataFrame, version: Column) -> DataFrame:
-        tail = F.when(F.col("variant").isNull(), F.concat(F.col("_platform"), suffix)).otherwise(
-            F.concat(F.col("_platform"), F.lit("/"), F.col("variant"), suffix)
-        )
-        return rows.select(
-            *key, F.concat_ws("/", "property", "_bc", version, tail).alias("path"),
-            "value", "profile", "property", "variant", "multi_value",
-        )
-
-    newest = latest_routes(df, *[k for k in key if k != "id"]).select(*key).distinct()
-    current = values.join(newest, list(key), "left_semi")
-    return paths(values, F.col("version")).unionByName(paths(current, F.lit("latest")))
+    tail = F.when(F.col("variant").isNull(), F.concat(F.col("_platform"), suffix)).otherwise(
+        F.concat(F.col("_platform"), F.lit("/"), F.col("variant"), suffix)
+    )
+    versions = F.when(F.col("_latest"), F.array("version", F.lit("latest"))).otherwise(F.array("version"))
+    path = F.transform(versions, lambda v: F.concat_ws("/", "property", "_bc", v, tail))
+    return values.select(*key, F.explode(path).alias("path"), "value", "profile", "property", "variant", "multi_value")
 
 
 def route_manifest_check(published: DataFrame, df: DataFrame, key: Sequence[str] = ("id",)) -> DataFrame:
     """Routes whose value is not what the profile holds, or whose ``latest`` names another channel.
 
-    published: key, path, value, property, variant. Values are re-read from the profiles.
+    published: key, path, value, property, variant. Values are re-read from the profiles and
+    compared by digest: no value moves, and the channel comes along with them.
     """
-    held = _property_values(df, key).select(*key, "property", "variant", F.col("value").alias("held"))
-    channel = df.select(*key, F.col("browser.channel").alias("channel"))
-    on = [published[k].eqNullSafe(held[k]) for k in (*key, "property", "variant")]
-    rows = published.join(held, on, "left").select(*[published[k] for k in key], published["path"], published["value"], "held")
-    rows = rows.join(channel, list(key), "left")
-    problem = F.when(~F.col("value").eqNullSafe(F.col("held")), "value").when(
+    held = _property_values(df, key, F.col("browser.channel").alias("channel"))
+    held = held.select(*key, "property", "variant", F.sha2("value", 256).alias("held"), "channel")
+    told = published.select(*key, "path", "property", "variant", F.sha2("value", 256).alias("told"))
+    on = [told[k].eqNullSafe(held[k]) for k in (*key, "property", "variant")]
+    rows = told.join(held, on, "left").select(*[told[k] for k in key], told["path"], "told", "held", "channel")
+    problem = F.when(~F.col("told").eqNullSafe(F.col("held")), "value").when(
         F.col("path").contains("/latest/") & (F.col("channel") != STABLE), "latest"
     )
     return rows.select(*key, "path", problem.alias("problem")).where("problem IS NOT NULL")

@@ -30,7 +30,7 @@ def field_stability(captures: DataFrame, by: Sequence[str], cold_only: bool = Fa
 
 
 def mode_comparison(captures: DataFrame, by: Sequence[str], mode: str = "protocol", a: str = "tls_raw", b: str = "tls_terminated") -> DataFrame:
-    """Stability under two capture modes -> agrees / differs / not-comparable, ``thin`` under two hellos."""
+    """Stability under two capture modes -> agrees / differs / not-comparable, with the hellos of each; ``thin`` under two."""
     s = field_stability(captures.where(F.col(mode).isin(a, b)), [*by, mode])
     value = lambda m: F.max(F.when((F.col(mode) == m) & (F.col("state") == "stable"), F.col("value")))
     fields = s.groupBy(*by, "field").agg(value(a).alias("raw"), value(b).alias("terminated"))
@@ -42,5 +42,6 @@ def mode_comparison(captures: DataFrame, by: Sequence[str], mode: str = "protoco
         .when(F.col("raw") == F.col("terminated"), "agrees")
         .otherwise("differs")
     )
-    thin = (F.coalesce("raw_hellos", F.lit(0)) < 2) | (F.coalesce("terminated_hellos", F.lit(0)) < 2)
-    return fields.join(hellos, list(by), "left").select(*by, "field", "raw", "terminated", verdict.alias("verdict"), thin.alias("thin"))
+    rows = fields.join(hellos, list(by), "left").withColumns({c: F.coalesce(c, F.lit(0)) for c in ("raw_hellos", "terminated_hellos")})
+    thin = (F.col("raw_hellos") < 2) | (F.col("terminated_hellos") < 2)
+    return rows.select(*by, "field", "raw", "terminated", verdict.alias("verdict"), "raw_hellos", "terminated_hellos", thin.alias("thin"))

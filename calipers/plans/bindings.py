@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,21 +13,25 @@ from calipers.functions import identity as I
 from calipers.functions import tls as X
 from calipers.functions import versions as V
 from calipers.operators import (
+    append,
     captures as C,
     census,
     coherence,
     conformance,
     decode,
     diffs,
+    digest,
     freshness,
     movements,
     pointers,
     publish,
     rules,
     stability,
+    vectors,
 )
 from calipers.plans import fixtures as T
 from calipers.sources import files
+from calipers.sources.shared import shared_folder
 from calipers.streaming import captures as streams
 
 K = ("row_key",)
@@ -55,12 +57,6 @@ def text(c: str, sep: str = ",") -> F.Column:
     return F.array_join(F.col(c).cast("array<string>"), sep)
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """A new folder under the cluster's shared checkpoint directory (a temporary one only when none is named)."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-")
-    return f"{base.rstrip('/')}/calipers-{uuid.uuid4().hex}"
-
-
 # -- quality rules ---------------------------------------------------------
 
 
@@ -111,10 +107,9 @@ def extension_length_disagreements(spark, sf_dir):
 @query
 def record_headers(spark, sf_dir):
     p = T.profiles(spark, sf_dir)
-    first = F.get("http.variants", F.lit(0))["headers"]
-    rec = H.record_headers(first, F.col("row_key") % 2 == 0)
-    line = F.transform(rec, lambda h: F.concat(h["name"], F.lit("="), F.coalesce(h["value"], F.lit("-")), F.when(h["withheld"], "!").otherwise("")))
-    return p.where("size(http.variants) > 0").select("row_key", F.array_join(line, "|").alias("recorded"))
+    entry = lambda h: F.concat(h["name"], F.lit("="), F.coalesce(h["value"], F.lit("-")), F.when(h["withheld"], "!").otherwise(""))
+    line = lambda s: F.array_join(F.transform(H.record_headers(s["headers"], F.col("row_key") % 2 == 0), entry), "|")
+    return p.select("row_key", F.array_join(F.transform("http.variants", line), "\n").alias("recorded"))
 
 
 @query
@@ -129,13 +124,8 @@ def redact_switches(spark, sf_dir):
 def normalise_user_agent(spark, sf_dir):
     out = rules.normalise_user_agent(T.profiles(spark, sf_dir))
     values = F.transform(F.flatten(F.transform("http.variants", lambda v: v["headers"])), lambda h: F.coalesce(h["value"], F.lit("-")))
-    prov = F.col("provenance")
-    return out.select(
-        "row_key",
-        F.array_join(values, "|").alias("header_values"),
-        prov["http.headers.priority"].alias("priority_entry"),
-        prov["http.headers.user-agent"].alias("user_agent_entry"),
-    )
+    entries = F.transform(F.map_entries("provenance"), lambda e: F.concat(e["key"], F.lit("="), F.coalesce(e["value"], F.lit("-"))))
+    return out.select("row_key", F.array_join(values, "|").alias("header_values"), F.array_join(F.array_sort(entries), "\n").alias("provenance"))
 
 
 @query
@@ -533,6 +523,22 @@ def release_summary(spark, sf_dir):
     return pointers.release_summary(T.profiles(spark, sf_dir))
 
 
+def _append(spark, sf_dir):
+    """A quarter of the corpus arrives as a batch, the rest is published."""
+    p = T.profiles(spark, sf_dir)
+    return append.append_profiles(p.where("row_key % 4 = 1"), p.where("row_key % 4 <> 1"), K)
+
+
+@query
+def append_accepted(spark, sf_dir):
+    return _append(spark, sf_dir)[0].select("row_key", "id", "path")
+
+
+@query
+def append_refusals(spark, sf_dir):
+    return _append(spark, sf_dir)[1]
+
+
 @query
 def independent_sources(spark, sf_dir):
     return movements.independent_sources(T.profiles(spark, sf_dir), K).select("row_key", "sources", "source_versions")
@@ -545,12 +551,26 @@ def source_versions(spark, sf_dir):
 
 @query
 def vector_check(spark, sf_dir):
-    """Computed JA4 strings against the vector table of another snapshot, which has none for unnamed operators."""
-    rows = lambda s, n: T.profiles(spark, sf_dir, s).select("row_key", "captured.operator", X.ja4_lists(F.col("tls")).alias("l")).select("row_key", "operator", X.ja4(F.col("l")).alias(n))
-    vectors = rows("after", "expected").where("operator <> ''").drop("operator")
-    joined = rows("current", "computed").join(vectors, "row_key", "full_outer")
-    state = F.when(F.col("expected").isNull(), "no vector").when(F.col("computed").isNull(), "no profile").when(F.col("expected") == F.col("computed"), "match").otherwise("mismatch")
-    return joined.select(state.alias("state")).groupBy("state").agg(F.count("*").alias("profiles"))
+    """Three computed strings per profile against the vectors of another snapshot, which has none for unnamed operators."""
+    lists = T.profiles(spark, sf_dir, "after").where("captured.operator <> ''").select("row_key", X.ja4_lists(F.col("tls")).alias("l"))
+    wrong = F.when(F.col("row_key") % 37 == 0, "?").otherwise("")
+    expected = lists.select("row_key", X.ja4(F.col("l")).alias("ja4"), F.concat(X.ja4_r(F.col("l")), wrong).alias("ja4_r"), X.ja4_ro(F.col("l")).alias("ja4_ro"))
+    return vectors.capture_vectors(T.profiles(spark, sf_dir), expected, K).groupBy("name", "state").agg(F.count("*").alias("profiles"))
+
+
+@query
+def vector_sections(spark, sf_dir):
+    """Specification vectors: a cipher list with its digest and a protocol with its code, some of them wrong."""
+    p = T.profiles(spark, sf_dir).select("row_key", X.ja4_lists(F.col("tls"))["ciphers_sorted"].alias("c"), F.coalesce(F.get("tls.alpn", F.lit(0)), F.lit("")).alias("a"))
+    digest_ = F.substring(F.sha2("c", 256), 1, 12)
+    wrong = lambda m: F.when(F.col("row_key") % m == 0, "?").otherwise("")
+    alpn = F.when(F.col("a") == "", F.array().cast("array<string>")).otherwise(F.array("a"))
+    rows = F.array(
+        F.struct(F.lit("ciphers").alias("section"), F.col("c").alias("list"), F.concat(F.when(F.col("c") == "", "0" * 12).otherwise(digest_), wrong(41)).alias("expect")),
+        F.struct(F.lit("alpn").alias("section"), F.col("a").alias("list"), F.concat(X.alpn_code(alpn), wrong(43)).alias("expect")),
+    )
+    table = p.select(F.explode(rows).alias("r")).select("r.*")
+    return vectors.specification_vectors(table).groupBy("section", "matches").agg(F.count("*").alias("vectors"))
 
 
 # -- diffs -----------------------------------------------------------------
@@ -609,8 +629,12 @@ def change_facts(spark, sf_dir):
 
 
 def _conditions(spark, sf_dir):
-    found = rules.explode_findings(T.profiles(spark, sf_dir), rules.window_units(), K).agg(F.count("*").alias("findings"))
-    return movements.merge_conditions(_moved(spark, sf_dir), T.profiles(spark, sf_dir), found)
+    p = T.profiles(spark, sf_dir)
+    found = rules.profile_defects(p, K).agg(F.count("*").alias("findings"))
+    lost = lambda m: F.when(F.col("row_key") % m == 0, 1).otherwise(0)
+    tried = F.array(*[F.struct(F.lit(f).alias("format"), n.alias("lost")) for f, n in (("ndjson", F.lit(0)), ("csv", lost(211)), ("tsv", lost(307)))])
+    formats = p.select(I.route_key().alias("route"), F.explode(tried).alias("t")).groupBy("route", "t.format").agg(F.sum("t.lost").alias("lost"), F.lit(0).alias("invented"))
+    return movements.merge_conditions(_moved(spark, sf_dir), p, found, formats)
 
 
 @query
@@ -655,7 +679,8 @@ def tree_states(spark, sf_dir):
 
 @query
 def tree_diff(spark, sf_dir):
-    return diffs.tree_diff(*_three_trees(spark, sf_dir))
+    sums = [T.documents(spark, sf_dir, s).where("summed").select("path", F.sha2("sum_of", 256).alias("sha256")) for s in ("published", "regenerated")]
+    return diffs.tree_diff(*_three_trees(spark, sf_dir), *sums)
 
 
 @query
@@ -691,7 +716,7 @@ def conformance_counts(spark, sf_dir):
 
 @query
 def conformance_by_field(spark, sf_dir):
-    return conformance.conformance_by_field(conformance.conformance(*_claims(spark, sf_dir)))
+    return conformance.fields_in_fleet(*_claims(spark, sf_dir))
 
 
 @query
@@ -709,13 +734,13 @@ def artefact_manifest(spark, sf_dir):
 
 @query
 def corpus_digest(spark, sf_dir):
-    return publish.corpus_digest(publish.artefact_manifest(T.documents(spark, sf_dir)))
+    return digest.corpus_digest(publish.artefact_manifest(T.documents(spark, sf_dir)))
 
 
 @query
 def corpus_digest_tree(spark, sf_dir):
-    manifest = publish.artefact_manifest(T.documents(spark, sf_dir))
-    return publish.corpus_digest_tree(manifest, publish.digest_depth(publish.digest_lines(manifest).count()))
+    """The same digest with two levels."""
+    return digest.corpus_digest(publish.artefact_manifest(T.documents(spark, sf_dir)), 2)
 
 
 @query
@@ -825,7 +850,7 @@ def capture_lines(spark, sf_dir):
 
 def _round_trip(spark, sf_dir, fmt):
     p = T.profiles(spark, sf_dir).drop("row_key")
-    out = shared_dir(spark)
+    out = shared_folder(spark)
     if fmt == "ndjson":
         files.write_lossless(p, out)
         cols = list(S.PROFILE)
@@ -907,22 +932,32 @@ def decode_h2_frames(spark, sf_dir):
 # -- streaming -------------------------------------------------------------
 
 
-def _event_stream(spark, sf_dir):
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    src = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    return T.captures_from(src)
-
-
-def drain(df: DataFrame) -> DataFrame:
+def drain(df: DataFrame, base: str) -> DataFrame:
     """Run a stream over what is there, into files of the shared folder, and read them back."""
-    spark = df.sparkSession
-    base = shared_dir(spark)
     q = (
         df.writeStream.format("parquet").outputMode("append").trigger(availableNow=True)
         .option("path", f"{base}/out").option("checkpointLocation", f"{base}/state").start()
     )
     q.awaitTermination()
-    return spark.read.schema(df.schema).parquet(f"{base}/out")
+    return df.sparkSession.read.schema(df.schema).parquet(f"{base}/out")
+
+
+def drain_events(spark: SparkSession, sf_dir: str, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """A stream over the events, then the closing step: one row a year on, in a second run.
+
+    Append mode emits what the watermark has passed, so what is open when the input ends would
+    stay in the state. The closing row belongs to no navigation; it moves the watermark past
+    everything before it and its own session is the only one that stays open.
+    """
+    base = shared_folder(spark)
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events.repartition(5, "event_id").write.parquet(f"{base}/in")  # several files, none in the order of time
+    run = lambda: drain(build(T.captures_from(spark.readStream.schema(events.schema).parquet(f"{base}/in"))), base)
+    run()
+    last = events.agg(F.max("ts").alias("ts")).select((F.col("ts") + F.expr("INTERVAL 365 DAYS")).alias("ts"))
+    closing = last.select(*[F.col("ts").cast(f.dataType).alias("ts") if f.name == "ts" else F.lit(None).cast(f.dataType).alias(f.name) for f in events.schema])
+    closing.write.mode("append").parquet(f"{base}/in")
+    return run()
 
 
 def _minutes(c: str):
@@ -931,27 +966,27 @@ def _minutes(c: str):
 
 @query
 def stream_select_halves(spark, sf_dir):
-    out = drain(streams.select_halves_sessions(_event_stream(spark, sf_dir)))
+    out = drain_events(spark, sf_dir, streams.select_halves_sessions)
     return out.select("navigation", _minutes("session_start"), "connections", "tls_from", "http2_from")
 
 
 @query
 def stream_sampling(spark, sf_dir):
-    out = drain(streams.sampling_windows(_event_stream(spark, sf_dir)))
+    out = drain_events(spark, sf_dir, streams.sampling_windows)
     return out.select("navigation", _minutes("run_start"), "accepted", "completed", "distinct_grease_draws", "distinct_extension_orders")
 
 
 @query
 def stream_captures(spark, sf_dir):
     """Capture lines written as text, read as a stream and split by status."""
-    src = shared_dir(spark)
+    src = shared_folder(spark)
     c = T.captures(spark, sf_dir)
     e = F.col("connection")
     line = F.when(e % 11 == 0, "listening").when(e % 13 == 0, "{broken").otherwise(
         F.to_json(F.struct("schema", "navigation", "connection", "at", "protocol"), {"ignoreNullFields": "false"})
     )
     c.select(line.alias("value")).write.text(src)
-    out = drain(streams.stream_captures(spark, src).select("status", F.col("capture.connection").alias("connection")))
+    out = drain(streams.stream_captures(spark, src).select("status", F.col("capture.connection").alias("connection")), shared_folder(spark))
     return out.groupBy("status").agg(F.count("*").alias("lines"), F.sum("connection").alias("connections"))
 
 
@@ -962,5 +997,5 @@ def stream_conformance(spark, sf_dir):
     schema = spark.read.parquet(f"{sf_dir}/orders.parquet").schema
     src = spark.readStream.schema(schema).option("pathGlobFilter", "orders.parquet").parquet(sf_dir)
     observed = T.profiles_from(src, "after").withColumn("route", I.route_key())
-    out = drain(streams.stream_conformance(observed, claimed, on, key).select("field", "verdict"))
+    out = drain(streams.stream_conformance(observed, claimed, on, key).select("field", "verdict"), shared_folder(spark))
     return conformance.conformance_by_field(out)

@@ -314,17 +314,26 @@ def document_stages(D, snapshot: str = "published") -> list[dict[str, str]]:
     """Documents -> artefacts of one publication."""
     after = snapshot == "regenerated"
     body = "CASE WHEN doc_id % 13 = 0 THEN text || '!' ELSE text END" if after else "text"
+    kind = f"({D.idiv('doc_id', '11')} % 8)"  # listings of a layout, and names that only look like them
     return [
         {
-            "path": "CASE WHEN doc_id % 97 = 0 THEN 'index.json' || doc_id ELSE 'corpus/v1/' || source || '/' || lang || '/' || doc_id || '.json' END",
+            "path": f"""CASE WHEN doc_id % 11 <> 0 THEN 'corpus/v1/' || source || '/' || lang || '/' || doc_id || '.json'
+              WHEN {kind} = 0 THEN 'corpus/v' || doc_id || '/index.json' WHEN {kind} = 1 THEN 'corpus/v' || doc_id || '/latest.json'
+              WHEN {kind} = 2 THEN 'corpus/v' || doc_id || '/index.json.bak' WHEN {kind} = 3 THEN 'corpus/v' || doc_id || '/myindex.json'
+              WHEN {kind} = 4 THEN 'corpus/v' || doc_id || '/latest.json5' WHEN {kind} = 5 THEN 'corpus/v' || doc_id || '/x/index.json'
+              WHEN {kind} = 6 THEN 'other/v' || doc_id || '/index.json' ELSE 'index.json' || doc_id END""",
             "body": body,
             "derived": "source IN ('src3', 'src7')",
             "listed": "doc_id % 101 <> 0",
             "present": "doc_id % 17 <> 0" if after else "doc_id % 19 <> 0",
+            # the published checksum file: a line in 31 is absent, a line in 29 is of other bytes
+            "summed": "doc_id % 23 <> 0" if after else "doc_id % 31 <> 0",
+            "sum_of": "text" if not after else f"CASE WHEN doc_id % 29 = 0 THEN text || '?' ELSE {body} END",
         }
     ]
 
 
 def page_stages(D) -> list[dict[str, str]]:
-    """Pages -> route paths (scheme, query and fragment removed)."""
-    return [{"path": "regexp_replace(regexp_replace(url, '^https?://', ''), '[?#].*$', '')"}]
+    """Pages -> route paths (scheme, query and fragment removed); every seventh page is its host's start page."""
+    route = "regexp_replace(regexp_replace(url, '^https?://', ''), '[?#].*$', '')"
+    return [{"path": f"CASE WHEN page_id % 7 = 0 THEN regexp_replace({route}, '/.*$', '/index') ELSE {route} END"}]

@@ -7,14 +7,11 @@ oracle queries are written separately.
 
 from __future__ import annotations
 
-MAX_LIST = 16
-
-
 class Spark:
     name = "spark"
 
     def series(self, n: str, v: str, body: str) -> str:
-        return f"transform(slice(sequence(1L, {MAX_LIST}L), 1, CAST({n} AS INT)), {v} -> {body})"
+        return f"transform(filter(sequence(1L, greatest(CAST({n} AS BIGINT), 1L)), at_ -> at_ <= {n}), {v} -> {body})"
 
     def tr(self, xs: str, v: str, body: str) -> str:
         return f"transform({xs}, {v} -> {body})"

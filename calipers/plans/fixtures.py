@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,22 +11,29 @@ from pyspark.sql import functions as F
 from calipers import schema as S
 from calipers.plans import derive
 from calipers.plans.dialect import DUCK, SPARK
+from calipers.sources.shared import shared_folder
 
 
-# Unique columns to spread a table on when its files give too few splits.
-SPREAD_ON = {"orders": "o_orderkey", "events": "event_id", "documents": "doc_id", "pages": "page_id"}
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan a table; a file with fewer splits than cores is spread on its unique key.
+_STORED: dict[tuple[str, str, str], str] = {}
+
 
-    A table with enough splits (any large one) is read without a shuffle.
+def stored(spark: SparkSession, sf_dir: str, name: str, key: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A derived table, written once per application to the shared folder and read from there.
+
+    Operators then run over stored columns, as they would over a real corpus: derivation is not
+    part of their plans, and filters and column pruning reach the scan. Rows are dealt evenly on
+    their unique key at any size.
     """
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if name in SPREAD_ON and df.rdd.getNumPartitions() < cores:
-        df = df.repartition(cores, SPREAD_ON[name])
-    return df
+    at = (spark.sparkContext.applicationId, sf_dir, name)
+    if at not in _STORED:
+        path = shared_folder(spark)
+        build().repartition(spark.sparkContext.defaultParallelism, key).write.parquet(path)
+        _STORED[at] = path
+    return spark.read.parquet(_STORED[at])
 
 
 def _staged(df: DataFrame, stages: list[dict[str, str]]) -> DataFrame:
@@ -63,26 +71,20 @@ def _http2(frames: str, window: str = "window") -> str:
       'pseudo_header_order', pseudo, 'connection_window', {window})"""
 
 
-def settled(df: DataFrame) -> DataFrame:
-    """Keep the derivation below one point of the plan, as a stored table would be.
-
-    The condition is always true and not deterministic, so predicates over derived columns
-    are not rewritten into copies of the whole derivation above the scan. It costs nothing
-    and moves nothing; columns are still pruned through it.
-    """
-    return df.where(F.spark_partition_id() >= 0)
-
-
 def profiles(spark: SparkSession, sf_dir: str, snapshot: str = "current") -> DataFrame:
     """Profile rows derived from orders, with ``row_key`` as a unique row identifier.
 
     ``before`` keeps orders dated before 1997; ``after`` is every order with
     planted changes; ``current`` is every order.
     """
-    orders = table(spark, sf_dir, "orders")
-    if snapshot == "before":
-        orders = orders.where("o_orderdate < TIMESTAMP_NTZ '1997-01-01 00:00:00'")
-    return settled(profiles_from(orders, snapshot))
+
+    def build() -> DataFrame:
+        orders = table(spark, sf_dir, "orders")
+        if snapshot == "before":
+            orders = orders.where("o_orderdate < TIMESTAMP_NTZ '1997-01-01 00:00:00'")
+        return profiles_from(orders, snapshot)
+
+    return stored(spark, sf_dir, f"profiles {snapshot}", "row_key", build)
 
 
 def profiles_from(orders: DataFrame, snapshot: str = "current") -> DataFrame:
@@ -120,8 +122,7 @@ def profiles_from(orders: DataFrame, snapshot: str = "current") -> DataFrame:
 
 def captures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Capture rows derived from events; ``ts`` is kept as the event time."""
-    df = _staged(table(spark, sf_dir, "events"), derive.capture_stages(SPARK))
-    return settled(capture_columns(df))
+    return stored(spark, sf_dir, "captures", "connection", lambda: captures_from(table(spark, sf_dir, "events")))
 
 
 def captures_from(events: DataFrame) -> DataFrame:
@@ -182,7 +183,7 @@ def releases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def documents(spark: SparkSession, sf_dir: str, snapshot: str = "published") -> DataFrame:
     df = _staged(table(spark, sf_dir, "documents"), derive.document_stages(SPARK, snapshot))
-    return df.select("doc_id", "path", "body", "derived", "listed", "present")
+    return df.select("doc_id", "path", "body", "derived", "listed", "present", "summed", "sum_of")
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:

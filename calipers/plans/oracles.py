@@ -156,9 +156,8 @@ prof("draft_flag", f"SELECT row_key, bool_or(k = 'vendor') AS draft FROM {PROV}
 prof("extension_length_disagreements", f"SELECT row_key, CAST(e.codepoint AS BIGINT) AS codepoint, CAST(e.length AS BIGINT) AS length, e.body_hex AS body_hex FROM {EXTS} WHERE length(e.body_hex) <> 2 * e.length")
 prof(
     "record_headers",
-    "SELECT row_key, coalesce(array_to_string(list_transform(variants[1].headers, lambda q: q.name || '=' || "
-    "CASE WHEN lower(q.name) IN ('cookie', 'authorization') THEN '-!' WHEN row_key % 2 = 0 THEN coalesce(q.value, '-') ELSE '-' END), '|'), '') AS recorded "
-    "FROM prof WHERE len(variants) > 0",
+    "SELECT row_key, coalesce(array_to_string(list_transform(variants, lambda s: coalesce(array_to_string(list_transform(s.headers, lambda q: q.name || '=' || "
+    "CASE WHEN lower(q.name) IN ('cookie', 'authorization') THEN '-!' WHEN row_key % 2 = 0 THEN coalesce(q.value, '-') ELSE '-' END), '|'), '')), chr(10)), '') AS recorded FROM prof",
 )
 prof(
     "redact_switches",
@@ -166,13 +165,14 @@ prof(
     "CASE WHEN h % 3 = 0 THEN 'substituted:throwaway-profile-path' ELSE (list_filter(prov, lambda p: p.field = 'captured.switches')[1]).raw END AS provenance_entry FROM prof",
 )
 ALLH = "flatten(list_transform(variants, lambda v: v.headers))"
+WRITTEN = f"""list_distinct(list_transform(list_filter({ALLH}, lambda q: coalesce(CASE WHEN q.name = 'user-agent' THEN contains(q.value, 'HeadlessChrome/') ELSE contains(lower(q.value), 'headless') END, FALSE)),
+  lambda q: 'http.headers.' || q.name))"""
 prof(
     "normalise_user_agent",
     f"""SELECT row_key,
     coalesce(array_to_string(list_transform({ALLH}, lambda q: coalesce(CASE WHEN q.name = 'user-agent' THEN replace(q.value, 'HeadlessChrome/', 'Chrome/') ELSE q.value END, '-')), '|'), '') AS header_values,
-    CASE WHEN len(list_filter({ALLH}, lambda q: q.name = 'priority' AND contains(lower(q.value), 'headless'))) > 0 THEN 'unreproducible:headless-product-token' END AS priority_entry,
-    CASE WHEN len(list_filter({ALLH}, lambda q: q.name = 'user-agent' AND contains(q.value, 'HeadlessChrome/'))) > 0 THEN 'substituted:headless-product-token'
-      ELSE (list_filter(prov, lambda p: p.field = 'http.headers.user-agent')[1]).raw END AS user_agent_entry FROM prof""",
+    array_to_string(list_sort(list_concat(list_transform(list_filter(prov, lambda p: NOT list_contains({WRITTEN}, p.field)), lambda p: p.field || '=' || coalesce(p.raw, '-')),
+      list_transform({WRITTEN}, lambda n: n || '=' || CASE WHEN n = 'http.headers.user-agent' THEN 'substituted:headless-product-token' ELSE 'unreproducible:headless-product-token' END))), chr(10)) AS provenance FROM prof""",
 )
 prof(
     "boundary_match",
@@ -349,10 +349,16 @@ prof(
 )
 prof(
     "vector_check",
-    f""", {AFTER}, j AS ({ja4('prof')}), w AS ({ja4('aft')}),
-    c AS (SELECT row_key, p || {section('cs')} || {section('es')} AS d FROM j), e AS (SELECT row_key, p || {section('cs')} || {section('es')} AS d FROM w JOIN aft USING (row_key) WHERE operator <> '')
-    SELECT state, count(*) AS profiles FROM (SELECT CASE WHEN e.d IS NULL THEN 'no vector' WHEN c.d IS NULL THEN 'no profile' WHEN c.d = e.d THEN 'match' ELSE 'mismatch' END AS state
-      FROM c FULL OUTER JOIN e USING (row_key)) GROUP BY state""",
+    f""", {AFTER}, j AS ({ja4('prof')}), w AS ({ja4('aft')}), full_ AS (SELECT 'c' AS side, row_key, p || '_' || {section('cs')} || '_' || {section('es')} AS ja4, p || '_' || cs || '_' || es AS ja4_r, p || '_' || co || '_' || eo AS ja4_ro FROM j
+      UNION ALL SELECT 'v', row_key, p || '_' || {section('cs')} || '_' || {section('es')}, p || '_' || cs || '_' || es || CASE WHEN row_key % 37 = 0 THEN '?' ELSE '' END, p || '_' || co || '_' || eo FROM w JOIN aft USING (row_key) WHERE operator <> ''),
+    l AS (SELECT side, row_key, unnest(['ja4', 'ja4_r', 'ja4_ro']) AS name, unnest([ja4, ja4_r, ja4_ro]) AS t FROM full_),
+    c AS (SELECT * FROM l WHERE side = 'c'), e AS (SELECT * FROM l WHERE side = 'v')
+    SELECT name, state, count(*) AS profiles FROM (SELECT name, CASE WHEN e.t IS NULL THEN 'no vector' WHEN c.t IS NULL THEN 'no profile' WHEN c.t = e.t THEN 'match' ELSE 'mismatch' END AS state
+      FROM c FULL OUTER JOIN e USING (row_key, name)) GROUP BY name, state""",
+)
+prof(
+    "vector_sections",
+    f"""SELECT section, matches, count(*) AS vectors FROM (SELECT 'ciphers' AS section, row_key % 41 <> 0 AS matches FROM prof UNION ALL SELECT 'alpn', row_key % 43 <> 0 FROM prof) GROUP BY section, matches""",
 )
 prof(
     "h2_fingerprint",
@@ -473,7 +479,7 @@ G_TEXT = "coalesce(array_to_string(g_values, ','), '')"
 E_TEXT = "coalesce(array_to_string(ecodes, ','), '')"
 ORACLES["sampling_summary"] = f"""{CAPS}, c AS (SELECT *, {DONE} AS done FROM caps) SELECT navigation, count(*) AS accepted, count(*) FILTER (done) AS completed,
   count(DISTINCT {G_TEXT}) FILTER (done AND has_tls) AS distinct_grease_draws, count(DISTINCT {E_TEXT}) FILTER (done AND has_tls) AS distinct_extension_orders,
-  count(*) FILTER (done) = 8 AS every_one_completed FROM c GROUP BY navigation"""
+  count(*) FILTER (done) = 8 AS every_one_completed, CAST(8 AS BIGINT) AS requested, CASE WHEN count(*) FILTER (done) <> 8 THEN 8 - count(*) FILTER (done) END AS shortfall FROM c GROUP BY navigation"""
 SHARE_PLAIN = f"list_filter(shares, lambda s: NOT {grease('s.group_id')})"
 TLS_FIELDS = {
     "tls.record_version": "'0x' || printf('%04x', record_version)",
@@ -526,13 +532,22 @@ ORACLES["mode_comparison"] = f"""{CAPS}, s AS ({stability(IN_MODES, 'navigation,
   m AS (SELECT navigation, field, max(value) FILTER (protocol = 'tls_raw' AND state = 'stable') AS "raw", max(value) FILTER (protocol = 'tls_terminated' AND state = 'stable') AS terminated FROM s GROUP BY ALL),
   hl AS (SELECT navigation, count(*) FILTER (protocol = 'tls_raw') AS a, count(*) FILTER (protocol = 'tls_terminated') AS b FROM caps WHERE has_tls GROUP BY navigation)
   SELECT navigation, field, "raw", terminated, CASE WHEN "raw" IS NULL OR terminated IS NULL THEN 'not-comparable' WHEN "raw" = terminated THEN 'agrees' ELSE 'differs' END AS verdict,
-  coalesce(a, 0) < 2 OR coalesce(b, 0) < 2 AS thin FROM m LEFT JOIN hl USING (navigation)"""
+  coalesce(a, 0) AS raw_hellos, coalesce(b, 0) AS terminated_hellos, coalesce(a, 0) < 2 OR coalesce(b, 0) < 2 AS thin FROM m LEFT JOIN hl USING (navigation)"""
 prof(
     "corpus_index",
     f"""SELECT row_key, id, browser_name AS browser, version, channel, platform, captured_at, trust, supersedes,
     len(list_filter(prov, lambda p: split_part(p.raw, ':', 1) = 'vendor')) > 0 AS draft, {PATH} AS path, sha256(hello_hex) AS hello_sha256, CAST(strlen(hello_hex) AS BIGINT) AS hello_bytes FROM prof""",
 )
-prof("release_summary", "SELECT count(*) AS profiles, max(captured_at) AS newest_capture FROM prof")
+RELEASE_LINES = f"rl AS (SELECT coalesce({PATH}, id) AS path, coalesce({PATH}, id) || ' ' || coalesce(sha256(hello_hex), '') || chr(10) AS line FROM prof)"
+DEFECTS = " UNION ALL ".join(r for rs in RULES.values() for r in rs)
+APPEND = f""", d AS (SELECT row_key, min(field || chr(1) || kind) AS bad FROM ({DEFECTS}) GROUP BY row_key),
+  rt AS (SELECT row_key, id, {PATH} AS path, supersedes, hello_hex, bad FROM prof LEFT JOIN d USING (row_key)), st AS (SELECT * FROM rt WHERE row_key % 4 <> 1),
+  no AS (SELECT row_key, id, path, CASE WHEN bad IS NOT NULL THEN bad WHEN path IS NULL THEN 'route' WHEN hello_hex IS NULL THEN 'raw.client_hello_hex' || chr(1) || 'missing'
+     WHEN path IN (SELECT path FROM st WHERE path IS NOT NULL) THEN 'path' || chr(1) || 'already published' WHEN supersedes IS NOT NULL AND supersedes NOT IN (SELECT id FROM st WHERE id IS NOT NULL) THEN 'supersedes' || chr(1) || 'not stored' END AS no
+     FROM rt WHERE row_key % 4 = 1),
+  op AS (SELECT *, row_number() OVER (PARTITION BY path ORDER BY row_key) AS n FROM no WHERE no IS NULL)"""
+prof("append_accepted", f"{APPEND} SELECT row_key, id, path FROM op WHERE n = 1")
+prof("append_refusals", f"{APPEND} SELECT row_key, split_part(no, chr(1), 1) AS field, split_part(no, chr(1), 2) AS why FROM no WHERE no IS NOT NULL UNION ALL SELECT row_key, 'path', 'earlier in this batch' FROM op WHERE n > 1")
 SOURCES = """src AS (SELECT DISTINCT browser_name AS browser, array_to_string(string_split(version, '.')[1:3], '.') AS build,
   platform || ' via ' || CASE WHEN operator = '' THEN 'an operator nobody recorded' ELSE operator END AS source, version FROM prof),
   cnts AS (SELECT browser, build, count(DISTINCT source) AS sources, count(*) AS source_versions FROM src GROUP BY ALL)"""
@@ -608,20 +623,20 @@ ORACLES["unpredicted_fields"] = f"{MOVED}, {UNPRED} SELECT * FROM up"
 ORACLES["change_facts"] = f"""{MOVED} SELECT route, CAST(0 AS BIGINT) AS ordinal, CASE movement WHEN 'added' THEN 'new: ' || id || ' at ' || to_version ELSE 'advanced: ' || route || ' from ' || from_version || ' to ' || to_version END AS fact FROM mv
   UNION ALL SELECT key, row_number() OVER (PARTITION BY key ORDER BY grp, ord), field FROM ch
   UNION ALL SELECT NULL, 0, (SELECT count(*) FROM prof) || ' profile(s) after this change' WHERE (SELECT count(*) FROM mv) > 0"""
-MERGE = f"""{MOVED}, {UNPRED}, {SOURCES}, fnd AS (SELECT count(*) AS n FROM ({RULES['defect_window_units'][0]})), un AS (SELECT route, count(*) AS n FROM up GROUP BY route),
-  base AS (SELECT mv.route AS route, class, coalesce(un.n, 0) AS off, coalesce(rg.n, 0) AS reg, coalesce(cnts.sources, 0) AS srcs, fnd.n AS found FROM mv LEFT JOIN un ON un.route = mv.route LEFT JOIN rg ON rg.key = mv.route
-    LEFT JOIN cnts ON cnts.browser = mv.name AND cnts.build = array_to_string(string_split(mv.to_version, '.')[1:3], '.') CROSS JOIN fnd),
+MERGE = f"""{MOVED}, {UNPRED}, {SOURCES}, fnd AS (SELECT CAST(sum(findings) AS BIGINT) AS n FROM ({ORACLES['defect_totals']})), ft AS (SELECT {ROUTE} AS route, CASE WHEN bool_or(row_key % 211 = 0) THEN 1 ELSE 0 END + CASE WHEN bool_or(row_key % 307 = 0) THEN 1 ELSE 0 END AS failing FROM prof GROUP BY 1), un AS (SELECT route, count(*) AS n FROM up GROUP BY route),
+  base AS (SELECT mv.route AS route, class, coalesce(un.n, 0) AS off, coalesce(rg.n, 0) AS reg, coalesce(cnts.sources, 0) AS srcs, fnd.n AS found, ft.failing AS failing FROM mv LEFT JOIN un ON un.route = mv.route LEFT JOIN rg ON rg.key = mv.route
+    LEFT JOIN cnts ON cnts.browser = mv.name AND cnts.build = array_to_string(string_split(mv.to_version, '.')[1:3], '.') LEFT JOIN ft ON ft.route = mv.route CROSS JOIN fnd),
   cd AS (SELECT route, 0 AS ordinal, 'the validator passes with no findings' AS condition, found = 0 AS met, found || ' finding(s)' AS detail FROM base
     UNION ALL SELECT route, 1, 'the capture agrees across two independent sources', srcs >= 2, srcs || ' source(s)' FROM base
     UNION ALL SELECT route, 2, 'no field regressed to vendor or became unreproducible', reg = 0, reg || ' regression(s)' FROM base
     UNION ALL SELECT route, 3, 'the diff touches only fields this change class predicts', off = 0, 'class ' || class || ', unpredicted ' || off FROM base
-    UNION ALL SELECT route, 4, 'every generated format round-trips', TRUE, 'round trip' FROM base)"""
+    UNION ALL SELECT route, 4, 'every generated format round-trips', coalesce(failing = 0, FALSE), CASE WHEN failing IS NULL THEN '0 of 0' ELSE failing || ' of 3' END || ' format(s) differ' FROM base)"""
 ORACLES["merge_conditions"] = f"{MERGE} SELECT route, CAST(ordinal AS BIGINT) AS ordinal, condition, met, detail FROM cd"
 ORACLES["mergeable_routes"] = f"{MERGE} SELECT route, bool_and(met) AS met FROM cd GROUP BY route"
 ORACLES["batch_conditions"] = f"{MERGE} SELECT CAST(ordinal AS BIGINT) AS ordinal, condition, bool_and(met) AS met, count(*) FILTER (NOT met) AS failing_routes FROM cd GROUP BY ordinal, condition"
 
 TREES = f"""{DOC}, {DOC2}, p AS (SELECT path, sha256(body) AS sha, derived FROM doc WHERE present), r AS (SELECT path, sha256(body) AS sha, derived FROM doc2 WHERE present), m AS (SELECT path FROM doc WHERE listed)"""
-ORACLES["append_only_audit"] = f"{TREES} SELECT p.path AS path, CASE WHEN r.sha IS NULL THEN 'deleted' ELSE 'modified' END AS change FROM p LEFT JOIN r ON r.path = p.path WHERE (r.sha IS NULL OR r.sha <> p.sha) AND NOT p.path LIKE 'index.json%'"
+ORACLES["append_only_audit"] = f"{TREES} SELECT p.path AS path, CASE WHEN r.sha IS NULL THEN 'deleted' ELSE 'modified' END AS change FROM p LEFT JOIN r ON r.path = p.path WHERE (r.sha IS NULL OR r.sha <> p.sha) AND NOT regexp_full_match(p.path, 'corpus/[^/]+/(index|latest)[.]json')"
 ORACLES["renamed_artefacts"] = f"""{TREES}, n AS (SELECT CASE WHEN length(path) % 2 = 0 THEN 'moved/' || path ELSE path END AS path, sha FROM r),
   gone AS (SELECT * FROM p WHERE path NOT IN (SELECT path FROM n)), fresh AS (SELECT sha, min(path) AS new_path FROM n WHERE path NOT IN (SELECT path FROM p) GROUP BY sha)
   SELECT path, new_path FROM gone JOIN fresh USING (sha)"""
@@ -629,9 +644,12 @@ STATES = """s AS (SELECT coalesce(p.path, r.path, m.path) AS path, CASE WHEN p.p
    WHEN p.sha = r.sha THEN 'same' WHEN r.derived THEN 'derived changed' ELSE 'immutable changed' END AS state, m.path IS NOT NULL AND p.path IS NULL AS manifest_missing
    FROM p FULL OUTER JOIN r ON p.path = r.path FULL OUTER JOIN m ON m.path = coalesce(p.path, r.path))"""
 ORACLES["tree_states"] = f"{TREES}, {STATES} SELECT * FROM s"
-ORACLES["tree_diff"] = f"""{TREES}, {STATES}, c AS (SELECT count(*) FILTER (state = 'gone') AS gone, count(*) FILTER (state = 'added') AS added, count(*) FILTER (state = 'immutable changed') AS immutable_changed,
-  count(*) FILTER (state = 'derived changed') AS derived_changed, count(*) FILTER (manifest_missing) AS manifest_missing FROM s)
-  SELECT *, immutable_changed AS checksums_lost, CASE WHEN gone + immutable_changed + manifest_missing > 0 THEN 'violated' WHEN added + derived_changed > 0 THEN 'pending' ELSE 'matched' END AS verdict FROM c"""
+ORACLES["tree_diff"] = f"""{TREES}, {STATES}, im AS (SELECT path FROM r WHERE NOT derived), ps AS (SELECT DISTINCT path, sha256(sum_of) AS sha FROM doc WHERE summed), rs AS (SELECT path, sha256(sum_of) AS sha FROM doc2 WHERE summed),
+  ch AS (SELECT p.path AS path FROM p LEFT JOIN r USING (path) WHERE r.path IS NULL OR r.sha <> p.sha),
+  c AS (SELECT (SELECT count(*) FROM p WHERE path NOT IN (SELECT path FROM r)) AS gone, (SELECT count(*) FROM s WHERE state = 'added') AS added, (SELECT count(*) FROM ch WHERE path IN (SELECT path FROM im)) AS immutable_changed,
+    (SELECT count(*) FROM ch WHERE path NOT IN (SELECT path FROM im)) AS derived_changed, (SELECT count(*) FROM m WHERE path NOT IN (SELECT path FROM p)) AS manifest_missing,
+    (SELECT count(*) FROM ps WHERE path IN (SELECT path FROM im) AND path || ' ' || sha NOT IN (SELECT path || ' ' || sha FROM rs)) AS checksums_lost)
+  SELECT *, CASE WHEN (SELECT count(*) FROM im) = 0 THEN 'refused' WHEN gone + immutable_changed + manifest_missing + checksums_lost > 0 THEN 'violated' WHEN added + derived_changed > 0 THEN 'pending' ELSE 'matched' END AS verdict FROM c"""
 prof(
     "rebuild_audit",
     f"""SELECT row_key, CASE WHEN sh_state = 'unknown' AND NOT (h % 53 = 0 AND list_contains(ecodes, 45)) AND h % 59 <> 0 AND {POS} = g_positions THEN 'equal' ELSE 'differs' END AS tls_half,
@@ -659,12 +677,20 @@ prof(
 
 MAN = f"{DOC}, man AS (SELECT path, sha256(body) AS sha, CAST(strlen(body) AS BIGINT) AS bytes, derived FROM doc)"
 ORACLES["artefact_manifest"] = f"{MAN} SELECT path, sha AS sha256, bytes, derived, sha || '  ' || path AS line FROM man"
-ORACLES["corpus_digest"] = f"{MAN} SELECT sha256(string_agg(path || ' ' || sha || chr(10), '' ORDER BY path)) AS digest, count(*) AS lines, 'flat' AS form FROM man WHERE NOT derived"
-ORACLES["corpus_digest_tree"] = f"""{MAN}, sz AS (SELECT CASE WHEN count(*) <= 4096 THEN 1 WHEN count(*) <= 65536 THEN 2 ELSE 3 END AS depth FROM man WHERE NOT derived),
-  l3 AS (SELECT left(sha256(path), depth) AS node, sha256(string_agg(path || ' ' || sha || chr(10), '' ORDER BY path)) AS d, count(*) AS n FROM man, sz WHERE NOT derived GROUP BY 1),
-  l2 AS (SELECT left(node, 2) AS node, CASE WHEN any_value(length(node)) = 3 THEN sha256(string_agg(node || ' ' || d || chr(10), '' ORDER BY node)) ELSE any_value(d) END AS d, sum(n) AS n FROM l3 GROUP BY 1),
-  l1 AS (SELECT left(node, 1) AS nd, CASE WHEN any_value(length(node)) = 2 THEN sha256(string_agg(node || ' ' || d || chr(10), '' ORDER BY node)) ELSE any_value(d) END AS d, sum(n) AS n FROM l2 GROUP BY 1)
-  SELECT sha256(string_agg(nd || ' ' || d || chr(10), '' ORDER BY nd)) AS digest, CAST(sum(n) AS BIGINT) AS lines FROM l1"""
+
+
+def digest_tree(source: str, depth: int) -> str:
+    """Levels from the leaves up to the root, each a CTE."""
+    parts = [f"t{depth} AS (SELECT left(sha256(path), {depth}) AS node, sha256(string_agg(line, '' ORDER BY path, line)) AS d, count(*) AS n FROM {source} GROUP BY 1)"]
+    for k in range(depth - 1, -1, -1):
+        parts.append(f"t{k} AS (SELECT left(node, {k}) AS node, sha256(string_agg(node || ' ' || d || chr(10), '' ORDER BY node)) AS d, sum(n) AS n FROM t{k + 1} GROUP BY 1)")
+    return ", ".join(parts)
+
+
+prof("release_summary", f", {RELEASE_LINES}, {digest_tree('rl', 4)} SELECT (SELECT count(*) FROM prof) AS profiles, (SELECT max(captured_at) FROM prof) AS newest_capture, d AS digest FROM t0")
+DIGEST_LINES = "dl AS (SELECT path, path || ' ' || sha || chr(10) AS line FROM man WHERE NOT derived)"
+for _name, _depth in (("corpus_digest", 4), ("corpus_digest_tree", 2)):
+    ORACLES[_name] = f"{MAN}, {DIGEST_LINES}, {digest_tree('dl', _depth)} SELECT d AS digest, CAST(n AS BIGINT) AS lines, CAST({_depth} AS BIGINT) AS depth FROM t0"
 ORACLES["duplicate_paths"] = f"{PG} SELECT path, count(*) AS artefacts FROM pg GROUP BY path HAVING count(*) > 1"
 LISTING = """ls AS (SELECT DISTINCT coalesce(array_to_string(ps[1:i], '/'), '') AS directory, ps[i + 1] || CASE WHEN i + 1 < len(ps) THEN '/' ELSE '' END AS entry
   FROM (SELECT ps, unnest(range(0, len(ps))) AS i FROM (SELECT string_split(path, '/') AS ps FROM pg)))"""
@@ -758,12 +784,11 @@ prof(
 
 # -- streaming -------------------------------------------------------------
 
-CLOSED = "(SELECT max(ts) FROM caps) - INTERVAL 1 HOUR"
 ORACLES["stream_select_halves"] = f"""{CAPS}, g AS (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY navigation ORDER BY ts) < INTERVAL 2 HOUR THEN 0 ELSE 1 END AS opens_session FROM caps),
   s AS (SELECT *, sum(opens_session) OVER (PARTITION BY navigation ORDER BY ts) AS sid FROM g)
   SELECT navigation, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS session_start, count(*) AS connections, min(connection) FILTER ({COLD}) AS tls_from, min(connection) FILTER ({H2}) AS http2_from
-  FROM s GROUP BY navigation, sid HAVING max(ts) + INTERVAL 2 HOUR <= {CLOSED}"""
+  FROM s GROUP BY navigation, sid"""
 ORACLES["stream_sampling"] = f"""{CAPS}, w AS (SELECT *, time_bucket(INTERVAL 6 HOUR, ts) AS run, {DONE} AS done FROM caps)
   SELECT navigation, strftime(run, '%Y-%m-%d %H:%M:%S') AS run_start, count(*) AS accepted, count(*) FILTER (done) AS completed,
   count(DISTINCT {G_TEXT}) FILTER (done AND has_tls) AS distinct_grease_draws, count(DISTINCT {E_TEXT}) FILTER (done AND has_tls) AS distinct_extension_orders
-  FROM w WHERE run + INTERVAL 6 HOUR <= {CLOSED} GROUP BY navigation, run"""
+  FROM w GROUP BY navigation, run"""

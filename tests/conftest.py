@@ -7,7 +7,9 @@ import sys
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
+os.environ["PYTHONPATH"] = os.pathsep.join(filter(None, (ROOT, os.environ.get("PYTHONPATH"))))  # for Python workers
 
 from pyspark.sql import SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
@@ -43,11 +45,11 @@ GREASE = 0x2A2A
 BASE = {
     "schema": "browser-profile/1",
     "license": "0BSD",
-    "id": "chrome-152.0.7977.64-linux64-stable",
-    "browser": {"name": "Chrome", "version": "152.0.7977.64", "major": 152, "channel": "stable", "branded": True},
+    "id": "chrome-149.0.8103.64-linux64-stable",
+    "browser": {"name": "Chrome", "version": "149.0.8103.64", "major": 149, "channel": "stable", "branded": True},
     "platform": {"os": "linux", "arch": "x86_64", "distribution": None},
     "captured": {
-        "at": "2026-08-30T03:53:11Z", "method": "driven", "harness": "probe/1", "operator": "lab", "trust": "spki-pin",
+        "at": "2025-11-04T18:20:11Z", "method": "driven", "harness": "probe/1", "operator": "lab", "trust": "spki-pin",
         "resumption": None, "switches": [], "acquisition": None, "connections": {"tls": 1, "http2": 1},
     },
     "tls": {
@@ -74,10 +76,10 @@ BASE = {
             {
                 "variant": "navigate",
                 "headers": [
-                    {"name": "sec-ch-ua", "value": '"Chromium";v="152", "Google Chrome";v="152"', "withheld": False},
+                    {"name": "sec-ch-ua", "value": '"Chromium";v="149", "Google Chrome";v="149"', "withheld": False},
                     {"name": "sec-ch-ua-mobile", "value": "?0", "withheld": False},
                     {"name": "sec-ch-ua-platform", "value": '"Linux"', "withheld": False},
-                    {"name": "user-agent", "value": "Mozilla/5.0 (X11; Linux x86_64) Chrome/152.0.0.0 Safari/537.36", "withheld": False},
+                    {"name": "user-agent", "value": "Mozilla/5.0 (X11; Linux x86_64) Chrome/149.0.0.0 Safari/537.36", "withheld": False},
                     {"name": "accept-encoding", "value": "gzip, deflate, br", "withheld": False},
                     {"name": "cookie", "value": None, "withheld": True},
                 ],
@@ -121,12 +123,12 @@ def frame(spark, rows, schema=None):
     return df.select("n", F.from_json("j", S.ddl(schema)).alias("p")).select("n", "p.*")
 
 
-def capture(connection, cold=True, h2=True, at="2026-08-30T03:53:11Z", protocol="tls_terminated", tls=True, order=(0, 43), draw=GREASE):
+def capture(connection, cold=True, h2=True, at="2025-11-04T18:20:11Z", protocol="tls_terminated", tls=True, order=(0, 43), draw=GREASE):
     half = copy.deepcopy(BASE["tls"])
     half["extensions"] = [ext(draw), *[ext(c) for c in order], *([] if cold else [ext(41, "00")])]
     half["grease"] = {"extension_positions": [0], "values": [draw], "distinct": True, "bodies_hex": [""]}
     frames = [{"declared_length": 1, "bytes_arrived": 1, "frame_type": 1, "flags": 4, "stream_id": 1, "reserved_bit": False, "payload_hex": "82"}]
-    headers = [{"name": ":method", "value": "GET"}, {"name": "user-agent", "value": "HeadlessChrome/152"}, {"name": "cookie", "value": "a=1"}]
+    headers = [{"name": ":method", "value": "GET"}, {"name": "user-agent", "value": "HeadlessChrome/149"}, {"name": "cookie", "value": "a=1"}]
     return {
         "schema": S.CAPTURE_SCHEMA_ID, "navigation": 1, "connection": connection, "at": at, "peer": "198.51.100.1", "protocol": protocol,
         "bytes_read": 10, "raw_hex": "16", "tls": half if tls else None,

@@ -6,7 +6,7 @@ import random
 from conftest import SF, frame, planted
 from pyspark.sql import functions as F
 
-from calipers.operators import decode, publish
+from calipers.operators import decode, digest, publish
 from calipers.plans import fixtures as T
 
 
@@ -86,8 +86,8 @@ def test_digest_tree_against_hashlib(spark):
     sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
     lines = {p: f"{p} {sha(b)}\n" for p, b, d in rows if not d}
     flat = sha("".join(lines[p] for p in sorted(lines)))
-    got = publish.corpus_digest(manifest).first()
-    assert (got.digest, got.lines, got.form) == (flat, 240, "flat")
+    got = digest.corpus_digest_flat(manifest).first()
+    assert (got.digest, got.lines) == (flat, 240)
     level = {}
     for p, line in lines.items():
         level.setdefault(sha(p)[:2], {})[p] = line
@@ -97,8 +97,16 @@ def test_digest_tree_against_hashlib(spark):
         for k, v in nodes.items():
             up.setdefault(k[:d], {})[k] = v
         nodes = {k: sha("".join(f"{c} {v[c]}\n" for c in sorted(v))) for k, v in up.items()}
-    assert publish.corpus_digest_tree(manifest, 2).first().digest == nodes[""]
-    assert publish.corpus_digest(manifest, flat_lines=10).first().form == "tree"
+    assert digest.corpus_digest(manifest, 2).first().digest == nodes[""]
+
+
+def test_the_digest_is_one_function_at_any_number_of_lines(spark):
+    """Few and many lines: the same form, and the same value however the lines are dealt."""
+    few, many = (spark.range(n).select(F.concat(F.lit("p/"), "id").alias("path"), F.sha2(F.col("id").cast("string"), 256).alias("sha256"), F.lit(False).alias("derived")) for n in (10, 300_000))
+    for manifest, n in ((few, 10), (many, 300_000)):
+        got = digest.corpus_digest(manifest).first()
+        assert (got.lines, got.depth) == (n, digest.DIGEST_DEPTH)
+        assert digest.corpus_digest(manifest.repartition(7, "sha256")).first() == got
 
 
 def test_rebuilt_halves_are_compared_whole(spark):
@@ -123,7 +131,7 @@ def test_listing_of_directories(spark):
 def test_routes_refuse_with_field_and_reason(spark):
     rows = [planted(), planted(**{"browser.name": "a/b"}), planted(**{"browser.version": ".."})]
     got = [(r.profile_path, r.refused_field, r.why) for r in publish.routes(frame(spark, rows), ["n"]).orderBy("n").collect()]
-    assert got == [("corpus/v1/chrome/stable/linux64/152.0.7977.64.json", None, None), (None, "browser.name", "character"), (None, "browser.version", "directory")]
+    assert got == [("corpus/v1/chrome/stable/linux64/149.0.8103.64.json", None, None), (None, "browser.name", "character"), (None, "browser.version", "directory")]
 
 
 def test_property_routes_repeat_the_newest_stable_values(spark):

@@ -8,7 +8,7 @@ from calipers.plans import fixtures as T
 from conftest import SF
 
 IDENTITY = {
-    "name": "Chrome", "version": "152.0.1.2", "channel": "stable", "branded": True, "os": "linux", "arch": "x86_64", "distribution": None,
+    "name": "Chrome", "version": "149.0.1.2", "channel": "stable", "branded": True, "os": "linux", "arch": "x86_64", "distribution": None,
     "method": "driven", "harness": "probe/1", "operator": "lab", "trust": "spki-pin", "resumption": None,
     "switches": ["--headless=new", "--user-data-dir=/x"], "acquisition": None,
 }
@@ -48,10 +48,10 @@ def test_assembly_and_its_refusals(spark):
     ok, refused = C.assemble(captures(spark, [capture(1, cold=False), capture(2, h2=False)]), identity(spark))
     p = ok.first()
     assert refused.count() == 0
-    assert p.id == "chrome-152.0.1.2-linux64-stable" and p.browser.major == 152
+    assert p.id == "chrome-149.0.1.2-linux64-stable" and p.browser.major == 149
     assert (p.captured.connections.tls, p.captured.connections.http2) == (2, 1)
     assert p.captured.switches == ["--headless=new", "--user-data-dir=(throwaway)"]
-    assert [(h.name, h.value, h.withheld) for h in p.http.variants[0].headers] == [("user-agent", "Chrome/152", False), ("cookie", None, True)]
+    assert [(h.name, h.value, h.withheld) for h in p.http.variants[0].headers] == [("user-agent", "Chrome/149", False), ("cookie", None, True)]
     assert p.raw.http2_frames_hex == ["000001010400000001" + "82"]
     assert p.provenance["captured.switches"].startswith("substituted:")
     for rows, why in (
@@ -80,13 +80,13 @@ def test_stability_and_modes(spark):
 
 def test_release_choice(spark):
     rows = [
-        ("a", "153.0.8010.12", 0.005), ("a", "152.0.7977.65", 1.0), ("a", "152.0.7977.9", 1.0),
+        ("a", "150.0.8140.12", 0.005), ("a", "149.0.8103.65", 1.0), ("a", "149.0.8103.9", 1.0),
         ("b", "9.0", 0.5), ("b", "76.0", 0.5), ("b", "77.0", None),
         ("c", "5.0", None), ("c", "4.0", None),
     ]
     df = spark.createDataFrame(rows, "v string, version string, fraction double")
     got = {r.v: (r.version, r.highest_known) for r in pointers.choose_release(df, ["v"]).collect()}
-    assert got == {"a": ("152.0.7977.65", "153.0.8010.12"), "b": ("9.0", "77.0"), "c": ("4.0", "5.0")}
+    assert got == {"a": ("149.0.8103.65", "150.0.8140.12"), "b": ("9.0", "77.0"), "c": ("4.0", "5.0")}
 
 
 def test_pointers_use_numeric_order_and_latest_is_stable_only(spark):
@@ -105,9 +105,9 @@ def test_ties_under_version_parts_all_stay_in_latest_routes(spark):
 
 
 def test_stored_pointers_are_judged(spark):
-    rows = [BASE, planted(**{"browser.channel": "beta", "browser.version": "153.0.1.1"})]
+    rows = [BASE, planted(**{"browser.channel": "beta", "browser.version": "150.0.1.1"})]
     stored = spark.createDataFrame(
-        [("a", "corpus/v1/chrome/stable/linux64/152.0.7977.64.json"), ("b", "corpus/v1/chrome/beta/linux64/153.0.1.1.json"), ("c", "gone")],
+        [("a", "corpus/v1/chrome/stable/linux64/149.0.8103.64.json"), ("b", "corpus/v1/chrome/beta/linux64/150.0.1.1.json"), ("c", "gone")],
         "key string, path string",
     )
     assert {(r.key, r.problem) for r in pointers.pointer_violations(stored, frame(spark, rows)).collect()} == {("b", "not stable"), ("c", "missing")}

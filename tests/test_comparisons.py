@@ -76,8 +76,8 @@ def test_uncontrolled_conditions(spark):
 
 def test_movements_classes_and_conditions(spark):
     p = lambda version, **kw: derived(planted(**{"browser.version": version, **kw}))
-    before = [p("152.0.1.1"), p("9.0.0.1", **{"browser.channel": "beta"}), p("1.0.0.0", **{"browser.channel": "dev"})]
-    after = [p("152.0.1.1"), p("152.0.1.9", **{"captured.operator": "other"}), p("8.0.0.1", **{"browser.channel": "beta"}), p("1.0.0.0", **{"browser.channel": "esr"})]
+    before = [p("149.0.1.1"), p("9.0.0.1", **{"browser.channel": "beta"}), p("1.0.0.0", **{"browser.channel": "dev"})]
+    after = [p("149.0.1.1"), p("149.0.1.9", **{"captured.operator": "other"}), p("8.0.0.1", **{"browser.channel": "beta"}), p("1.0.0.0", **{"browser.channel": "esr"})]
     moved = movements.movements(frame(spark, before), frame(spark, after))
     got = {r.route: (r.movement, r["class"]) for r in movements.classified(moved).collect()}
     assert got == {
@@ -87,10 +87,15 @@ def test_movements_classes_and_conditions(spark):
     }
     facts = [r.fact for r in movements.change_facts(moved, frame(spark, after)).collect()]
     assert "4 profile(s) after this change" in facts and "new: chrome-1.0.0.0-linux64-esr at 1.0.0.0" in facts
-    conditions = movements.merge_conditions(moved, frame(spark, after), 0)
+    tried = [(r, f, 0, 1 if (r, f) == ("chrome/beta/linux64", "csv") else 0) for r in ("chrome/stable/linux64", "chrome/beta/linux64") for f in ("csv", "ndjson")]
+    formats = spark.createDataFrame(tried, "route string, format string, lost long, invented long")
+    conditions = movements.merge_conditions(moved, frame(spark, after), 0, formats)
     met = {(r.route, r.ordinal): r.met for r in conditions.collect()}
     assert met["chrome/stable/linux64", 1] is True and met["chrome/beta/linux64", 1] is False
+    assert [met[f"chrome/{c}/linux64", 4] for c in ("stable", "beta", "esr")] == [True, False, False]
     assert {r.route for r in movements.mergeable_routes(conditions).where("met").collect()} == {"chrome/stable/linux64"}
+    findings = movements.merge_conditions(moved, frame(spark, after), spark.createDataFrame([(3,)], "findings long"), formats)
+    assert {(r.met, r.detail) for r in findings.where("ordinal = 0").collect()} == {(False, "3 finding(s)")}
     assert movements.change_facts(movements.movements(frame(spark, after), frame(spark, after)), frame(spark, after)).count() == 0
 
 
@@ -105,12 +110,26 @@ def test_tree_diff_verdicts(spark):
     tree = lambda rows: spark.createDataFrame(rows, "path string, sha256 string, derived boolean")
     old = tree([("a", "1", False), ("z", "1", True)])
     listed = old.select("path")
-    run = lambda new, m=listed: diffs.tree_diff(old.select("path", "sha256"), new, m).first()
+    sums = old.select("path", "sha256")
+    run = lambda new, m=listed, s=None: diffs.tree_diff(old.select("path", "sha256"), new, m, sums, new if s is None else s).first()
     assert run(old).verdict == "matched"
     assert run(tree([("a", "1", False), ("b", "2", False), ("z", "2", True)])).verdict == "pending"
     assert run(tree([("a", "2", False), ("z", "1", True)])).verdict == "violated"
     assert run(tree([("z", "1", True)])).verdict == "violated"
     assert run(old, spark.createDataFrame([("a",), ("lost",)], "path string")).manifest_missing == 1
+    lost = run(old, s=tree([("a", "9", False)]))  # the tree is unchanged, its checksum file is not
+    assert (lost.checksums_lost, lost.immutable_changed, lost.verdict) == (1, 0, "violated")
+    assert run(tree([("a", "1", True), ("z", "1", True)])).verdict == "refused"
+    gone = run(tree([("a", "1", False)]))
+    assert (gone.gone, gone.derived_changed, gone.verdict) == (1, 1, "violated")
+
+
+def test_only_listings_of_a_layout_are_exempt(spark):
+    names = ["corpus/v1/index.json", "corpus/v2/latest.json", "corpus/v1/index.json.bak", "corpus/v1/myindex.json", "corpus/v1/latest.json5", "corpus/index.json", "index.json", "corpus/v1/x/index.json", "other/v1/index.json", "corpus/v1/index.json\n"]
+    published = spark.createDataFrame([(n, "1") for n in names], "path string, sha256 string")
+    got = {r.path: r.change for r in diffs.append_only_audit(published, published.where("false")).collect()}
+    assert got == {n: "deleted" for n in names[2:]}
+    assert {r.path for r in diffs.append_only_audit(published.where("path LIKE 'other%'"), published.where("false"), "other").collect()} == set()
 
 
 def test_coverage_reports_both_sides(spark):

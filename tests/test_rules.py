@@ -15,7 +15,7 @@ def test_the_base_profile_is_clean(spark):
 H0 = "http.variants.0.headers"
 PLANTED = [
     ({"schema": "browser-profile/0"}, ("schema", "malformed")),
-    ({"browser.version": "152"}, ("browser.version", "malformed")),
+    ({"browser.version": "149"}, ("browser.version", "malformed")),
     ({"browser.version": ""}, ("browser.version", "missing")),
     ({"browser.major": 151}, ("browser.major", "malformed")),
     ({"browser.name": " \t"}, ("browser.name", "missing")),
@@ -85,11 +85,11 @@ def verdict(spark, p, name, **options):
         ("version", {H0 + ".3.value": "X11 Chrome/151.0"}, "major"),
         ("version", {H0 + ".0.value": '"Chromium";v="151"'}, "major"),
         ("version", {H0 + ".0.value": "nothing"}, "unreadable"),
-        ("platform", {H0 + ".3.value": "Windows Chrome/152"}, "platform"),
+        ("platform", {H0 + ".3.value": "Windows Chrome/149"}, "platform"),
         ("platform", {H0 + ".2.value": '"Chrome OS"'}, "unknown"),
         ("platform", {H0 + ".1.value": "?1"}, "platform"),
         ("brand", {"browser.branded": False}, "brand present"),
-        ("brand", {H0 + ".0.value": '"Chromium";v="152"'}, "brand missing"),
+        ("brand", {H0 + ".0.value": '"Chromium";v="149"'}, "brand missing"),
         ("handshake", {"tls.extensions": []}, "empty"),
         ("grease", {"tls.grease.extension_positions": [0]}, "recorded"),
         ("grease", {"tls.grease.distinct": False}, "recorded"),
