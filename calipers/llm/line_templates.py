@@ -25,20 +25,26 @@ MIN_TOKENS, LEADING, CONSTANT = 4, 4, 0.7
 MIN_DOCS = MIN_PLACES = 3
 #: Rows of 8 or 16 bytes up to which a counted table is broadcast; beyond it the join is a shuffle.
 BROADCAST_ROWS = 200_000
+#: The same for dropped lines of documents, in numbers of 8 bytes.
+BROADCAST_NUMBERS = 2_000_000
 
 
 def _hinted(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
+#: A token with a digit, from the token's start: its non-digits are never tried twice.
+WITH_DIGIT = r"(?<![^\x20\x09-\x0D])[^0-9\x20\x09-\x0D]*+[0-9][^\x20\x09-\x0D]*+"
+
+
 def lines(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, version, place, pos, leaf, line, toks) of every line that takes part."""
+    """(id, version, place, pos, leaf, toks) of every line that takes part."""
     text = F.col(text_col).cast("string")
     rows = documents.filter(text.isNotNull()).select(F.col(id_col).alias("id"), F.xxhash64(text).alias("version"), F.split(text, "\n").alias("ls"))
     rows = rows.select("id", "version", F.size("ls").alias("n_lines"), F.posexplode("ls").alias("pos", "l"))
-    rows = rows.select("id", "version", F.struct("n_lines", "pos").alias("place"), "pos", F.split(F.btrim("l", F.lit(BLANKS)), BLANK_RUN).alias("t")).filter(F.size("t") >= MIN_TOKENS)
-    rows = rows.select("id", "version", "place", "pos", F.transform("t", lambda x: F.when(x.rlike("[0-9]"), "<*>").otherwise(x)).alias("toks"))
-    return rows.select("id", "version", "place", "pos", F.xxhash64(F.size("toks"), F.slice("toks", 1, LEADING)).alias("leaf"), F.xxhash64("toks").alias("line"), "toks")
+    masked = F.when(F.col("l").rlike("[0-9]"), F.regexp_replace("l", WITH_DIGIT, "<*>")).otherwise(F.col("l"))
+    rows = rows.select("id", "version", F.struct("n_lines", "pos").alias("place"), "pos", F.split(F.btrim(masked, F.lit(BLANKS)), BLANK_RUN).alias("toks")).filter(F.size("toks") >= MIN_TOKENS)
+    return rows.select("id", "version", "place", "pos", F.xxhash64(F.size("toks"), F.slice("toks", 1, LEADING)).alias("leaf"), "toks")
 
 
 def recurring(rows: DataFrame, *key: str) -> DataFrame:
@@ -51,13 +57,13 @@ def recurring(rows: DataFrame, *key: str) -> DataFrame:
     return places.groupBy(*key).agg(F.sum("n").alias("docs"), F.count(F.lit(1)).alias("places")).filter((F.col("docs") >= MIN_DOCS) & (F.col("places") >= MIN_PLACES)).select(*key)
 
 
-def recurring_lines(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(leaf, line) hashes of the lines whose template recurs."""
+def recurring_lines(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """The lines of recurring leaves (id, version, place, pos, leaf, line, toks), and (leaf, line) of those whose template recurs."""
     every = lines(documents, id_col, text_col)
     leaves = settle(recurring(every.select("leaf", "id", "place"), "leaf"))
-    inside = every.join(_hinted(leaves), "leaf", "left_semi")
-    kinds = settle(inside.groupBy("leaf", "line").agg(F.count(F.lit(1)).alias("n"), F.first("toks").alias("toks")))
-    tokens = kinds.select("leaf", "line", "n", F.posexplode("toks").alias("at", "tok"))
+    inside = settle(every.join(_hinted(leaves), "leaf", "left_semi").withColumn("line", F.xxhash64("toks")))
+    kinds = inside.groupBy("leaf", "line").agg(F.count(F.lit(1)).alias("n"), F.first("toks").alias("toks"))
+    tokens = settle(kinds).select("leaf", "line", "n", F.posexplode("toks").alias("at", "tok"))
     support = tokens.groupBy("leaf", "at", "tok").agg(F.sum("n").alias("support")).filter(F.col("support") >= MIN_DOCS).withColumn("constant", F.col("tok") != "<*>")
     told = tokens.join(settle(support.select("leaf", "at", "tok", "constant")), ["leaf", "at", "tok"], "left")
     field = F.when(F.coalesce("constant", F.lit(False)), F.col("tok")).otherwise(F.lit("<*>"))
@@ -65,14 +71,16 @@ def recurring_lines(documents: DataFrame, id_col: str = "doc_id", text_col: str
     templates = settle(templates.filter(F.col("fixed") >= CONSTANT * F.col("length")).select("leaf", "line", "template"))
     met = inside.groupBy("leaf", "line", "id").agg(F.min("place").alias("place")).join(templates, ["leaf", "line"])
     kept = settle(recurring(met.select("leaf", "template", "id", "place"), "leaf", "template"))
-    return templates.join(kept, ["leaf", "template"], "left_semi").select("leaf", "line")
+    return inside, templates.join(kept, ["leaf", "template"], "left_semi").select("leaf", "line")
 
 
 def drop_lines(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(row: struct of the input's columns, text without the dropped lines, n_lines, n_dropped)."""
-    drop = _hinted(settle(recurring_lines(documents, id_col, text_col)))
-    gone = lines(documents, id_col, text_col).select("id", "version", "pos", "leaf", "line").join(drop, ["leaf", "line"], "left_semi")
+    inside, drop = recurring_lines(documents, id_col, text_col)
+    gone = inside.select("id", "version", "pos", "leaf", "line").join(_hinted(settle(drop)), ["leaf", "line"], "left_semi")
     gone = settle(gone.groupBy("id", "version").agg(F.collect_set("pos").alias("gone")))
+    if gone.agg(F.coalesce(F.sum(F.size("gone") + 4), F.lit(0))).first()[0] <= BROADCAST_NUMBERS:
+        gone = F.broadcast(gone)  # then no text moves
     text = F.col("row")[text_col].cast("string")
     rows = documents.select(F.struct("*").alias("row"), F.col(id_col).alias("_id"), F.xxhash64(F.col(text_col).cast("string")).alias("_version"))
     rows = rows.join(gone, rows["_id"].eqNullSafe(gone["id"]) & (rows["_version"] == gone["version"]), "left").select("row", F.split(text, "\n").alias("ls"), F.coalesce("gone", F.array().cast("array<int>")).alias("gone"))
