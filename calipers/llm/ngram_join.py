@@ -16,11 +16,16 @@ Which tokens are frequent is read from a bitmap of fixed size, made from counts
 Tokens that share a bit share their class, so the class is a function of the token alone and the
 argument above holds whatever the bitmap's load; only the buckets' sizes depend on it.
 
-Buckets are never expanded into all pairs. Each (split by a salt where its token is frequent) links
-its members to its first one; these links are verified on the whole sets and give components; then the
-other first-member links between different components are verified; and only what is still in different
-components of one bucket is compared member by member. Each text's component holds exactly the
-texts it reaches, since every candidate pair was verified or lies within one component.
+Buckets are never expanded into all pairs. Each (split by a salt where its token is frequent) proposes
+its first member to the others; every member is verified against the proposal most like it, then
+against its other proposals in other components; and only what is still in different components of
+one bucket is compared member by member. Components grow on components: of all links between two of
+them one edge is left. Each text's component holds exactly
+the texts it reaches, since every candidate pair was verified or lies within one component.
+
+A pair is first held against its sketches: bits in which they differ bound the tokens that only one set
+has from below, so what is dropped there cannot link. The whole sets of the rest decide; only those
+sets ever leave the tasks that read the texts.
 
 Null or wordless texts have no shingles and are alone. Repeated rows are copies. Other columns are
 not read. A null id is never the smallest id unless its component has no other.
@@ -34,11 +39,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from calipers.llm.common import settle, table
+from calipers.operators.sizing import ROUTE_ROWS, small_side
 
 SIZE, PERCENT = 5, 80
 #: Classes of texts from which on a token is frequent.
@@ -50,9 +55,16 @@ BITS = 26
 #: Tokens counted by one task at a time; the token ranges are as many as that takes.
 RANGE_TOKENS = 2_000_000
 SALTS = 64
-CHUNK_BYTES = 4_000_000
+#: Sets compared with one other at a time.
+GROUP = 64
+CHUNK_BYTES = 2_000_000
 PRIME = np.uint64(0x9E3779B97F4A7C15)
+INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 SHIFT = np.uint64(32)
+BLANK = np.zeros(256, dtype=bool)
+BLANK[[0x20, *range(0x09, 0x0E)]] = True
+#: What a byte counts in a word's hash: itself with A-Z lower-cased, plus one.
+LOWERED = np.array([1 + b + 32 * (0x41 <= b <= 0x5A) for b in range(256)], dtype=np.uint64)
 
 
 def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -60,38 +72,87 @@ def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
+class _Powers:
+    """Powers of an odd base modulo 2**64 and of its inverse, grown as texts need them."""
+
+    up = down = np.ones(1, dtype=np.uint64)
+
+    @classmethod
+    def of(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(cls.up) < n:
+            size = max(n, CHUNK_BYTES + 1)
+            cls.up, cls.down = (cls._run(base, size) for base in (PRIME, INVERSE))
+        return cls.up, cls.down
+
+    @staticmethod
+    def _run(base: np.uint64, size: int) -> np.ndarray:
+        out = np.full(size, base, dtype=np.uint64)
+        out[0] = 1
+        return np.cumprod(out)
+
+
+def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of every word, number of words before each text and in all): straight from the bytes.
+
+    A word's hash is a polynomial of its bytes, from running sums over the whole array, then mixed.
+    """
+    texts = pc.fill_null(texts, "").cast(pa.string())
+    _, offsets, data = texts.buffers()
+    edges = np.frombuffer(offsets, dtype=np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+    raw = np.frombuffer(data, dtype=np.uint8)[edges[0] : edges[-1]] if data is not None else np.empty(0, dtype=np.uint8)
+    edges = edges - edges[0]
+    filled = ~BLANK[raw]
+    border = np.zeros(len(raw) + 1, dtype=bool)
+    border[edges] = True
+    before = np.concatenate([[False], filled[:-1]]) if len(raw) else filled
+    begins = np.flatnonzero(filled & (~before | border[:-1]))
+    after = np.concatenate([filled[1:], [False]]) if len(raw) else filled
+    stops = np.flatnonzero(filled & (~after | border[1:])) + 1
+    up, down = _Powers.of(len(raw) + 1)
+    running = np.zeros(len(raw) + 1, dtype=np.uint64)
+    np.cumsum(LOWERED[raw] * up[: len(raw)], out=running[1:])
+    x = (running[stops] - running[begins]) * down[begins]
+    x ^= x >> np.uint64(32)
+    x *= np.uint64(0xD6E8FEB86659FD93)
+    x ^= x >> np.uint64(32)
+    return x, np.searchsorted(begins, edges)
+
+
 def shingle_sets(texts: pa.Array, size: int = SIZE) -> Iterator[np.ndarray]:
     """The sorted distinct shingle hashes of each text."""
-    lists = pc.split_pattern_regex(pc.ascii_lower(pc.fill_null(texts, "")), "[ \t\n\v\f\r]+")
-    if isinstance(lists, pa.ChunkedArray):
-        lists = lists.combine_chunks()
-    codes = lists.flatten().dictionary_encode()
-    words = codes.dictionary.to_pylist()
-    hashes = np.array([xxhash.xxh3_64_intdigest(w.encode()) for w in words], dtype=np.uint64)
-    filled = np.array([w != "" for w in words], dtype=bool)
-    which = codes.indices.to_numpy(zero_copy_only=False)
-    ends = lists.offsets.to_numpy()[1:] - lists.offsets.to_numpy()[0]
-    if not len(which):
-        yield from (np.empty(0, np.uint64) for _ in range(len(texts)))
-        return
-    keep = filled[which]
-    flat = hashes[which][keep]
-    ends = np.concatenate([[0], np.cumsum(keep)])[ends]
+    flat, ends = word_hashes(texts)
     rolled = flat[: max(0, len(flat) - size + 1)].copy()
     for k in range(1, size):
         rolled = _mix(rolled, flat[k : k + len(rolled)])
-    start = 0
-    for end in ends:
+    for start, end in zip(ends[:-1], ends[1:]):
         if end - start >= size:
             yield np.unique(rolled[start : end - size + 1])
         elif end > start:
             whole = np.array([end - start], dtype=np.uint64)
-            for w in flat[start:end]:
-                whole = _mix(whole, np.array([w]))
+            for k in range(start, end):
+                whole = _mix(whole, flat[k : k + 1])
             yield whole
         else:
             yield np.empty(0, np.uint64)
-        start = end
+
+
+def sketch(tokens: np.ndarray) -> bytes:
+    """A bit per high part of the tokens, as many as the next power of two above their number.
+
+    Each bit in which two sketches of one width differ needs a token that only one set has.
+    """
+    log = max(8, len(tokens).bit_length())
+    bits = np.zeros(1 << log, dtype=np.uint8)
+    bits[(tokens >> np.uint64(64 - log)).astype(np.int64)] = 1
+    return np.packbits(bits).tobytes()
+
+
+def unlike_bits(x: bytes, y: bytes) -> int:
+    """Bits in which two sketches differ, at the width of the narrower one."""
+    a, b = (np.frombuffer(s, dtype=np.uint8) for s in sorted((x, y), key=len))
+    while len(b) > len(a):  # neighbours fall together, which is the sketch of half the width
+        b = np.packbits(np.unpackbits(b).reshape(-1, 2).max(axis=1))
+    return int(np.bitwise_count(a ^ b).sum())
 
 
 def handle(tokens: np.ndarray) -> int:
@@ -166,11 +227,25 @@ def _test(packed: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (packed[(bit >> np.uint64(3)).astype(np.int64)] >> (7 - (bit & np.uint64(7))).astype(np.uint8) & 1).astype(bool)
 
 
+def _packed(ascending: np.ndarray) -> bytes:
+    """Ascending 32-bit numbers as differences, their bytes by place, compressed: about 1.5 bytes each."""
+    steps = np.diff(ascending, prepend=np.uint32(0)).astype("<u4")
+    planes = np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 4).T).tobytes()
+    return len(steps).to_bytes(4, "little") + pa.compress(planes, codec="zstd", asbytes=True)
+
+
+def _unpacked(blob: bytes) -> np.ndarray:
+    n = int.from_bytes(blob[:4], "little")
+    planes = np.frombuffer(pa.decompress(blob[4:], 4 * n, codec="zstd", asbytes=True), dtype=np.uint8)
+    steps = np.ascontiguousarray(planes.reshape(4, n).T).view("<u4").ravel()
+    return np.cumsum(steps, dtype=np.uint32)
+
+
 def frequent_tokens(texts: DataFrame, total: int, size: int = SIZE, least: int = FREQUENT) -> np.ndarray:
     """Bitmap of tokens held by `least` or more different sets, counted over all texts.
 
-    A task deals its tokens into ranges of their high bits as arrays of the next 32 bits, so a
-    token is four bytes of shuffle; a range is counted by one task and holds RANGE_TOKENS or so.
+    A task deals its tokens into ranges of their high bits as sorted arrays of the next 32 bits, so a
+    token is one or two bytes of shuffle; a range is counted by one task and holds RANGE_TOKENS or so.
     """
     log = max(8, int(np.ceil(np.log2(max(1, total) / RANGE_TOKENS))))
 
@@ -190,11 +265,11 @@ def frequent_tokens(texts: DataFrame, total: int, size: int = SIZE, least: int =
         ranges = (tokens >> np.uint64(64 - log)).astype(np.int64)
         low = ((tokens << np.uint64(log)) >> SHIFT).astype("<u4")
         found, starts = np.unique(ranges, return_index=True)
-        blobs = [low[a:b].tobytes() for a, b in zip(starts, [*starts[1:], len(low)])]
+        blobs = [_packed(low[a:b]) for a, b in zip(starts, [*starts[1:], len(low)])]
         return pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array(blobs, pa.binary())], ["range", "low"])
 
     def count(group):
-        low, n = np.unique(np.concatenate([np.frombuffer(b, dtype="<u4") for b in group.column("low").to_pylist()]), return_counts=True)
+        low, n = np.unique(np.concatenate([_unpacked(b) for b in group.column("low").to_pylist()]), return_counts=True)
         top = group.column("range")[0].as_py()
         token = (np.uint64(top) << np.uint64(64 - log)) | (low[n >= least].astype(np.uint64) << np.uint64(32 - log))
         return pa.table({"bit": pa.array(np.unique(token >> np.uint64(64 - BITS)).astype(np.int32), pa.int32())})
@@ -221,22 +296,78 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The pairs (a, b) that link."""
+def roots(links: DataFrame, jumps: int = 3) -> DataFrame:
+    """(h, comp) for every b of links that have one a each: what it reaches over 2 ** jumps of them.
+
+    Enough to leave out most pairs of one component; what lies deeper is only compared once more.
+    """
+    labels = links.select(F.col("b").alias("h"), F.col("a").alias("comp"))
+    for _ in range(jumps):
+        further = labels.select(F.col("h").alias("comp"), F.col("comp").alias("far"))
+        labels = settle(labels.join(further, "comp", "left").select("h", F.coalesce("far", "comp").alias("comp")))
+    return labels
+
+
+def labelled(df: DataFrame, comps: DataFrame, *columns: str) -> DataFrame:
+    """df with each handle column's component beside it (itself where it has none yet)."""
+    for c in columns:
+        df = df.join(comps.select(F.col("h").alias(c), F.col("comp").alias(f"{c}_comp")), c, "left").withColumn(f"{c}_comp", F.coalesce(f"{c}_comp", c))
+    return df
+
+
+def merged(comps: DataFrame, links: DataFrame) -> DataFrame:
+    """Components after further links, of which one is kept for each two components that meet.
+
+    A component's name is one of its handles, so (h, comp) rows are links of the same graph.
+    """
+    edges = labelled(links, comps, "a", "b").select(F.col("a_comp").alias("a"), F.col("b_comp").alias("b")).distinct()
+    return components(edges.unionByName(comps.select(F.col("h").alias("a"), F.col("comp").alias("b"))).filter("a <> b"))
+
+
+def possible(pairs: DataFrame, sketches: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(a, b, unlike) of the pairs that may link for all their sketches say; unlike: bits in which these differ."""
 
     def work(batches):
         for batch in batches:
-            x, y = (batch.column(k).to_pylist() for k in (2, 3))
-            good = []
-            for s, t in zip(x, y):
-                s, t = np.frombuffer(s, dtype="<u8"), np.frombuffer(t, dtype="<u8")
-                both = len(np.intersect1d(s, t, assume_unique=True))
-                good.append(100 * both >= percent * (len(s) + len(t) - both))
-            yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
+            unlike = np.array([unlike_bits(x, y) for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())], dtype=np.int64)
+            may = pa.array((100 + percent) * unlike <= (100 - percent) * batch.column(4).to_numpy(), pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(unlike, pa.int64())], ["a", "b", "unlike"]).filter(may)
 
-    left = sets.select(F.col("h").alias("a"), F.col("tokens").alias("x"))
-    right = sets.select(F.col("h").alias("b"), F.col("tokens").alias("y"))
-    return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(work, "a long, b long")
+    left = sketches.select(F.col("h").alias("a"), F.col("sketch").alias("x"), F.col("n").alias("an"))
+    right = sketches.select(F.col("h").alias("b"), F.col("sketch").alias("y"), F.col("n").alias("bn"))
+    return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y", F.expr("an + bn").alias("n")).mapInArrow(work, "a long, b long, unlike long")
+
+
+def verified(pairs: DataFrame, texts: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
+    """The pairs (a, b) that link. pairs: a settled table.
+
+    Only the sets of these pairs leave the tasks that read the texts. They meet in groups of one a
+    and up to GROUP of its b, so a's set moves once per group and each b's once per pair.
+    """
+    place = F.row_number().over(Window.partitionBy("a").orderBy("b"))
+    members = settle(pairs.select("a", "b", F.floor((place - 1) / GROUP).cast("int").alias("part")))
+    wanted = members.select(F.col("b").alias("h"), "a", "part").unionByName(members.select(F.col("a").alias("h"), "a", "part").distinct())
+    needed = texts.sparkSession.sparkContext.broadcast(_bitmap(wanted.selectExpr(f"shiftrightunsigned(h, {64 - BITS}) AS bit"), "bit"))
+
+    def kept_sets(batches):
+        for h, tokens in _new_sets(batches, size):
+            if _test(needed.value, np.array([h], dtype=np.int64).view(np.uint64))[0]:
+                yield pa.RecordBatch.from_arrays([pa.array([h], pa.int64()), pa.array([tokens.astype("<u8").tobytes()], pa.binary())], ["h", "tokens"])
+
+    def compare(group):
+        a = group.column("a")[0].as_py()
+        sets = dict(zip(group.column("h").to_pylist(), group.column("tokens").to_pylist()))  # copies from several tasks fall together
+        x = np.frombuffer(sets.pop(a), dtype="<u8")
+        linked = []
+        for h, blob in sets.items():
+            y = np.frombuffer(blob, dtype="<u8")
+            both = len(np.intersect1d(x, y, assume_unique=True))
+            if 100 * both >= percent * (len(x) + len(y) - both):
+                linked.append(h)
+        return pa.table({"a": pa.array([a] * len(linked), pa.int64()), "b": pa.array(linked, pa.int64())})
+
+    sets = texts.mapInArrow(kept_sets, "h long, tokens binary").join(small_side(wanted, ROUTE_ROWS), "h")
+    return sets.select("a", "part", "h", "tokens").groupBy("a", "part").applyInArrow(compare, "a long, b long")
 
 
 def similar(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, percent: int = PERCENT, frequent: int = FREQUENT) -> DataFrame:
@@ -249,10 +380,11 @@ def similar(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         for own, sets in _sets(batches, size, 1):
             n = [len(s) for s in sets]
             handles = [handle(s) if len(s) else 0 for s in sets]
-            yield pa.RecordBatch.from_arrays([own.column(0), pa.array(n, pa.int64()), pa.array(handles, pa.int64())], ["id", "n", "h"])
+            sketches = [sketch(s) if len(s) else None for s in sets]
+            yield pa.RecordBatch.from_arrays([own.column(0), pa.array(n, pa.int64()), pa.array(handles, pa.int64()), pa.array(sketches, pa.binary())], ["id", "n", "h", "sketch"])
 
     id_type = documents.schema[id_col].dataType.simpleString()
-    docs = settle(documents.select(F.col(id_col), F.col(text_col).cast("string")).mapInArrow(classes, f"id {id_type}, n long, h long"))
+    docs = settle(documents.select(F.col(id_col), F.col(text_col).cast("string")).mapInArrow(classes, f"id {id_type}, n long, h long, sketch binary"))
     total = docs.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     bitmap = context.broadcast(frequent_tokens(texts, total, size, frequent))
 
@@ -288,42 +420,25 @@ def similar(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     within = members.filter("first.h <> h").select(F.col("first.h").alias("a"), F.col("first.n").alias("an"), F.col("h").alias("b"), F.col("n").alias("bn"))
     heads = members.filter("salt >= 0 AND first.h = h").selectExpr("h AS b", "n AS bn", "first(struct(h, n)) OVER (PARTITION BY key ORDER BY n, h) AS first")
     across = heads.filter("first.h <> b").select(F.col("first.h").alias("a"), F.col("first.n").alias("an"), "b", "bn")
-    stars = within.unionByName(across).filter(near("an", "bn")).groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"))
-    stars = settle(stars)
-    wanted = members.select("h").distinct()
-    needed = context.broadcast(_bitmap(wanted.selectExpr(f"shiftrightunsigned(h, {64 - BITS}) AS bit"), "bit"))
-
-    def kept_sets(batches):
-        for h, tokens in _new_sets(batches, size):
-            if _test(needed.value, np.array([h], dtype=np.int64).view(np.uint64))[0]:
-                yield pa.RecordBatch.from_arrays([pa.array([h], pa.int64()), pa.array([tokens.astype("<u8").tobytes()], pa.binary())], ["h", "tokens"])
-
-    sets = settle(texts.mapInArrow(kept_sets, "h long, tokens binary").groupBy("h").agg(F.first("tokens").alias("tokens")))
-    best = stars.groupBy("b").agg(F.max(F.struct("shared", "a")).alias("best")).select(F.col("best.a").alias("a"), "b")
-    links = settle(verified(best, sets, percent))
-    done = settle(best)
-
-    def label(df, comps, column):
-        return df.join(comps.select(F.col("h").alias(column), F.col("comp").alias(f"{column}_comp")), column, "left").withColumn(f"{column}_comp", F.coalesce(f"{column}_comp", column))
-
-    comps = components(links)
-    rest = label(label(stars.select("a", "b"), comps, "a"), comps, "b").filter("a_comp <> b_comp").select("a", "b").join(done, ["a", "b"], "left_anti")
-    rest = settle(rest)
-    links = settle(links.unionByName(verified(rest, sets, percent)))
-    done = done.unionByName(rest)
-
-    comps = components(links)
-    labelled = settle(label(members.select("key", "h", "n").distinct(), comps, "h"))
-    mixed = labelled.groupBy("key").agg(F.min("h_comp").alias("low"), F.max("h_comp").alias("high")).filter("low <> high").select("key")
-    open_ = settle(labelled.join(mixed, "key", "left_semi"))
-    other = open_.select("key", F.col("h").alias("b"), F.col("n").alias("bn"), F.col("h_comp").alias("b_comp"))
-    cross = open_.select("key", F.col("h").alias("a"), F.col("n").alias("an"), F.col("h_comp").alias("a_comp")).join(other, "key").filter("a_comp < b_comp").filter(near("an", "bn"))
+    stars = settle(within.unionByName(across).filter(near("an", "bn")).select("a", "b").distinct())
+    sketches = docs.join(members.select("h").distinct(), "h", "left_semi").groupBy("h").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    sketches = settle(sketches)
+    maybe = settle(possible(stars, sketches, percent))
+    best = settle(maybe.groupBy("b").agg(F.min(F.struct("unlike", "a")).alias("best")).select(F.col("best.a").alias("a"), "b"))
+    comps = roots(settle(verified(best, texts, size, percent)))
+    rest = settle(labelled(maybe.select("a", "b").join(best, ["a", "b"], "left_anti"), comps, "a", "b").filter("a_comp <> b_comp").select("a", "b"))
+    comps = merged(comps, settle(verified(rest, texts, size, percent)))
+
+    named = settle(labelled(members.select("key", "h", "n").distinct(), comps, "h"))
+    mixed = named.groupBy("key").agg(F.min("h_comp").alias("low"), F.max("h_comp").alias("high")).filter("low <> high").select("key")
+    open_ = settle(named.join(mixed, "key", "left_semi"))
+    one, other = (open_.select("key", F.col("h").alias(x), F.col("n").alias(f"{x}n"), F.col("h_comp").alias(f"{x}_comp")) for x in "ab")
+    cross = one.join(other, "key").filter("a_comp < b_comp").filter(near("an", "bn"))
     cross = cross.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    known = done.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    known = best.unionByName(rest).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     cross = settle(cross.join(known, ["a", "b"], "left_anti"))
-    links = settle(links.unionByName(verified(cross, sets, percent)))
+    comps = merged(comps, settle(verified(settle(possible(cross, sketches, percent)), texts, size, percent)))
 
-    comps = components(links)
     smallest = docs.filter("n > 0").groupBy("h", "n").agg(F.min("id").alias("id"))
     named = settle(smallest.join(comps, "h", "left").select("h", "n", "id", F.coalesce("comp", "h").alias("comp"), F.when(F.col("comp").isNull(), F.col("n")).alias("own")))
     of = settle(named.groupBy("comp", "own").agg(F.min("id").alias("component_id")))

@@ -64,3 +64,14 @@ def test_prefixes_hold_enough_shared_tokens():
         need = -(-80 * n // 100)
         for k in (1, 2):
             assert ngram_join.prefix_length(n, k) == min(n, n - need + k)
+
+
+def test_sketches_never_differ_more_than_the_sets():
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    for n, m, shared in ((10, 12, 5), (300, 260, 250), (256, 255, 200), (2000, 1000, 900), (5000, 5200, 4900), (1, 1, 0)):
+        tokens = np.unique(rng.integers(0, 1 << 63, size=n + m, dtype=np.uint64) * np.uint64(2))
+        x, y = np.sort(tokens[:n]), np.sort(np.concatenate([tokens[:shared], tokens[n : n + m - shared]]))
+        unlike = ngram_join.unlike_bits(ngram_join.sketch(x), ngram_join.sketch(y))
+        assert unlike <= len(np.setxor1d(x, y))
