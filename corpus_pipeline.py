@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from calipers.llm import bpe, decontaminate, line_templates, ngram_join, quality_crf
 from calipers.llm.common import settle, table
+from calipers.operators.sizing import ROUTE_ROWS, small_side
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -35,11 +36,18 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of similar ones: the one with the smallest id, and one row of it."""
-    found = ngram_join.similar(docs)
-    first = settle(found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct())
-    kept = docs.select(*COLUMNS).join(first, docs["doc_id"].eqNullSafe(first["_id"]), "left_semi")
-    return kept.dropDuplicates(["doc_id", "text"])
+    """One document of each group of similar ones: the one with the smallest id, and one row of it.
+
+    What goes is joined, not what stays: it is the smaller side. An id names one document; rows
+    that repeat an id and its text become one.
+    """
+    found = settle(ngram_join.similar(docs))
+    ids = found.groupBy(F.col("doc_id").alias("_id")).agg(F.bool_or(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("stays"), F.count(F.lit(1)).alias("n"))
+    ids = settle(ids.filter("NOT stays OR n > 1"))
+    gone, several = small_side(ids.filter("NOT stays"), ROUTE_ROWS), small_side(ids.filter("stays"), ROUTE_ROWS)
+    named = lambda df, side, how: df.join(side, df["doc_id"].eqNullSafe(side["_id"]), how)
+    kept = named(docs.select(*COLUMNS), gone, "left_anti")
+    return named(kept, several, "left_anti").unionByName(named(kept, several, "left_semi").dropDuplicates(["doc_id", "text"]))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
