@@ -451,6 +451,29 @@ def assemble_refusals(spark, sf_dir):
     return C.assemble(T.captures(spark, sf_dir), T.identities(spark, sf_dir))[1]
 
 
+@query
+def scan_profiles(spark, sf_dir):
+    """A tree of assembled profiles, one file each, some cut short and some in the wrong place, scanned back."""
+    ok, _ = C.assemble(T.captures(spark, sf_dir), T.identities(spark, sf_dir))
+    n, body = F.col("navigation"), F.to_json(F.struct(*S.PROFILE), {"ignoreNullFields": "false"})
+    docs = ok.select(
+        "navigation", F.when(n % 7 == 0, F.substring(body, 1, 40)).otherwise(body).alias("value"),
+        F.lower("browser.name").alias("b"), F.col("browser.channel").alias("c"), I.platform_token().alias("p"),
+    )
+    root = shared_folder(spark)
+    placed, misplaced = docs.where(n % 11 != 0).drop("navigation"), docs.where(n % 11 == 0).select("value", "b")
+    placed.write.partitionBy("b", "c", "p").option("maxRecordsPerFile", 1).text(root)
+    misplaced.write.mode("append").partitionBy("b").option("maxRecordsPerFile", 1).text(root)
+    read, unreadable = files.scan_profiles(spark, root)
+    counted = lambda df, kind, sum_: df.agg(F.lit(kind).alias("kind"), F.count("*").alias("files"), sum_.cast("bigint").alias("connections"))
+    none = F.max(F.lit(None).cast("bigint"))
+    return (
+        counted(read, "read", F.sum("captured.connections.tls"))
+        .unionByName(counted(unreadable, "unreadable", none))
+        .unionByName(counted(files.misplaced_files(spark, root), "misplaced", none))
+    )
+
+
 @query
 def select_exact(spark, sf_dir):
     wanted = T.profiles(spark, sf_dir, "after").select(

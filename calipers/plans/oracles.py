@@ -457,6 +457,8 @@ ORACLES["assemble_profile"] = f"""{CAPS}, {ASSEMBLE} SELECT navigation, id, capt
      WHEN len(list_filter(hs, lambda z: z.value IS NOT NULL)) = 0 THEN '-'
      WHEN cust % 4 = 0 AND q.name = 'user-agent' THEN replace(coalesce(q.value, ''), 'HeadlessChrome/', 'Chrome/') ELSE coalesce(q.value, '') END), '|'), '') AS headers,
   CAST(frames AS BIGINT) AS frames, hello FROM asm WHERE why IS NULL"""
+ORACLES["scan_profiles"] = f"""{CAPS}, {ASSEMBLE}, t AS (SELECT CASE WHEN navigation % 11 = 0 THEN 'misplaced' WHEN navigation % 7 = 0 THEN 'unreadable' ELSE 'read' END AS kind, tls_from FROM asm WHERE why IS NULL)
+  SELECT k.kind AS kind, count(t.kind) AS files, CAST(sum(CASE WHEN k.kind = 'read' THEN tls_from END) AS BIGINT) AS connections FROM (SELECT unnest(['read', 'unreadable', 'misplaced']) AS kind) k LEFT JOIN t ON t.kind = k.kind GROUP BY k.kind"""
 ORACLES["assemble_refusals"] = f"{CAPS}, {ASSEMBLE} SELECT navigation, why FROM asm WHERE why IS NOT NULL"
 prof(
     "select_exact",

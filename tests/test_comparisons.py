@@ -115,7 +115,8 @@ def test_tree_diff_verdicts(spark):
     assert run(old).verdict == "matched"
     assert run(tree([("a", "1", False), ("b", "2", False), ("z", "2", True)])).verdict == "pending"
     assert run(tree([("a", "2", False), ("z", "1", True)])).verdict == "violated"
-    assert run(tree([("z", "1", True)])).verdict == "violated"
+    assert run(tree([("b", "1", False), ("z", "1", True)])).verdict == "violated"
+    assert run(tree([("z", "1", True)])).verdict == "refused"
     assert run(old, spark.createDataFrame([("a",), ("lost",)], "path string")).manifest_missing == 1
     lost = run(old, s=tree([("a", "9", False)]))  # the tree is unchanged, its checksum file is not
     assert (lost.checksums_lost, lost.immutable_changed, lost.verdict) == (1, 0, "violated")
