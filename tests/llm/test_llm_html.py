@@ -50,3 +50,30 @@ def test_coverage_equals_a_brute_force_search(spark):
     got = {(r["id"], r["place"]) for r in html_text.repeated(found, 5).join(found.select("row", "id"), "row").collect()}
     grams = {(k, i): tuple(s[i : i + 5]) for k, s in enumerate(streams) for i in range(len(s) - 4)}
     assert got == {x for x, g in grams.items() if any(h == g and y[0] != x[0] for y, h in grams.items())}
+
+
+def unlike(seed, n=60):
+    import random
+
+    draw = random.Random(seed)
+    return [f"w{draw.randrange(10**9)}" for _ in range(n)]
+
+
+NOTICE = "write to our desk for a printed copy of this story"
+
+
+def texts_of(spark, pages):
+    df = spark.createDataFrame([(k, f"https://h.example/{k}", page) for k, page in enumerate(pages)], "page_id long, url string, html string")
+    return [r["text"] for r in html_text.extract(df).orderBy("page_id").collect()]
+
+
+def test_a_notice_that_nothing_marks_goes_from_articles(spark):
+    own = [" ".join(unlike(k)) for k in range(6)]
+    got = texts_of(spark, [f"<article><p>{t}</p><p>{NOTICE}</p></article>" for t in own])
+    assert got == own
+
+
+def test_a_long_passage_within_blocks_of_articles_goes(spark):
+    passage = " ".join(unlike(99, 20))
+    got = texts_of(spark, [f"<article><p>a{k} {' '.join(unlike(k))} {passage} z{k}</p></article>" for k in range(5)])
+    assert got == [f"a{k} {' '.join(unlike(k))} z{k}" for k in range(5)]
