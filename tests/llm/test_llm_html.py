@@ -77,3 +77,20 @@ def test_a_long_passage_within_blocks_of_articles_goes(spark):
     passage = " ".join(unlike(99, 20))
     got = texts_of(spark, [f"<article><p>a{k} {' '.join(unlike(k))} {passage} z{k}</p></article>" for k in range(5)])
     assert got == [f"a{k} {' '.join(unlike(k))} z{k}" for k in range(5)]
+
+
+def test_near_copies_keep_what_they_share(spark):
+    for element in ("article", "div"):
+        same = " ".join(unlike(1, 80))
+        copies = [f"<{element}><p>{same}</p><p>{NOTICE}</p><p>at {k} o'clock</p></{element}>" for k in range(12)]
+        own = [" ".join(unlike(k)) for k in range(50, 53)]
+        others = [f"<{element}><p>{t}</p><p>{NOTICE}</p></{element}>" for t in own]
+        got = texts_of(spark, copies + others)
+        assert got == [f"{same}\n\nat {k} o'clock" for k in range(12)] + own
+        assert texts_of(spark, copies) == [f"{same}\n\n{NOTICE}\n\nat {k} o'clock" for k in range(12)]
+
+
+def test_a_phrase_of_two_pages_stays(spark):
+    phrase = "to be or not to be that is the question"
+    pages = [f"<div>{' '.join(unlike(k))} {phrase} {' '.join(unlike(k + 9))}</div>" for k in range(2)]
+    assert texts_of(spark, pages) == [p[5:-6] for p in pages]
