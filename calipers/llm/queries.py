@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from calipers.llm import bpe, decontaminate, gru_lm, html_text, license_scan, line_templates, ngram_join, quality_crf, quality_rules, url_filter
+from calipers.llm import bpe, decontaminate, embedding_whitening, filter_audit, gru_lm, html_text, license_scan, line_templates, ngram_join, quality_crf, quality_rules, simhash_golay, url_filter
 
 QUERIES = {
     "op1_bpe": bpe.op1_bpe,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_quality_rules": quality_rules.op8_quality_rules,
     "op9_gru_lm": gru_lm.op9_gru_lm,
     "op10_url_filter": url_filter.op10_url_filter,
+    "op11_filter_audit": filter_audit.op11_filter_audit,
+    "op12_embedding_whitening": embedding_whitening.op12_embedding_whitening,
+    "op13_simhash_golay": simhash_golay.op13_simhash_golay,
 }
 ORACLES = {
     "op3_decontaminate": decontaminate.ORACLE_SQL,
@@ -22,4 +25,5 @@ ORACLES = {
     "op7_license_scan": license_scan.ORACLE_SQL,
     "op8_quality_rules": quality_rules.ORACLE_SQL,
     "op10_url_filter": url_filter.ORACLE_SQL,
+    "op11_filter_audit": filter_audit.ORACLE_SQL,
 }
