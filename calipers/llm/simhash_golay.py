@@ -213,7 +213,9 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
 
 
 def tree(fps: np.ndarray, may: np.ndarray | None = None, distance: int = DISTANCE) -> tuple[np.ndarray, np.ndarray]:
-    """(a, b) that connect all members which reach each other over links within the group."""
+    """(a, b) that connect all members which reach each other over links within the group: each with the smallest it reaches."""
+    order = np.argsort(fps)
+    fps, may = fps[order], None if may is None else may[np.ix_(order, order)]
     linked = np.bitwise_count(fps[:, None] ^ fps[None, :]) <= distance
     if may is not None:
         linked &= may
@@ -326,7 +328,30 @@ def between(crowd: DataFrame) -> DataFrame:
 
     met = crowd.select("fp").mapInArrow(around, "point long, fp long").groupBy("point").agg(F.collect_set("fp").alias("fps"))
     met = met.where(F.size("fps") > 1).select(F.array_min("fps").alias("a"), F.explode("fps").alias("b"))
-    return met.where("a <> b").distinct()
+    return met.where("a <> b").select("a", "b")
+
+
+def reached(links: DataFrame) -> DataFrame:
+    """(fp, comp) of every fingerprint of the links (a, b); comp names what it reaches.
+
+    Each b first goes by its smallest a alone, which is a forest and collapses by jumps. Links within
+    one tree fall away then; of the others one is left for each two trees, and only trees are connected.
+    """
+    links = settle(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    trees = settle(links.groupBy(F.col("b").alias("fp")).agg(F.min("a").alias("tree")))
+    while True:
+        further = trees.select(F.col("fp").alias("tree"), F.col("tree").alias("far"))
+        jumped = settle(lookup_join(trees, further, ["tree"]).select("fp", F.coalesce("far", "tree").alias("tree"), F.col("far").isNotNull().alias("moved")))
+        trees = jumped.select("fp", "tree")
+        if jumped.where("moved").isEmpty():
+            break
+    of = lambda end: trees.select(F.col("fp").alias(end), F.col("tree").alias(f"{end}_tree"))
+    ends = lookup_join(lookup_join(links, of("a"), ["a"]), of("b"), ["b"])
+    between_trees = ends.select(F.coalesce("a_tree", "a").alias("a"), F.coalesce("b_tree", "b").alias("b")).where("a <> b").distinct()
+    comps = components(settle(between_trees)).withColumnRenamed("h", "tree")
+    roots = trees.select("tree").unionByName(comps.select("tree")).distinct()  # of trees, and of those without a branch
+    members = trees.unionByName(roots.select(F.col("tree").alias("fp"), "tree"))
+    return settle(lookup_join(members, comps, ["tree"]).select("fp", F.coalesce("comp", "tree").alias("comp")))
 
 
 def near_copies(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -335,11 +360,10 @@ def near_copies(documents: DataFrame, id_col: str = "doc_id", text_col: str = "t
     distinct = settle(docs.groupBy("fp").agg(F.min("id").alias("id"), F.count("*").alias("n")))
     met = settle(compared(postings(distinct)))
     crowd = settle(met.where("crowd").select(F.col("a").alias("fp")).distinct())
-    links = met.where("NOT crowd").select("a", "b").distinct().unionByName(between(crowd))
-    comps = components(settle(links))
-    named = settle(distinct.join(comps.withColumnRenamed("h", "fp"), "fp", "left").select("fp", "id", "n", "comp"))
+    comps = reached(met.where("NOT crowd").select("a", "b").unionByName(between(crowd)))
+    named = settle(distinct.join(comps, "fp", "left"))
     smallest = named.where("comp IS NOT NULL").groupBy("comp").agg(F.min("id").alias("least"))
-    named = named.join(smallest, "comp", "left").select("fp", "n", F.when(F.col("comp").isNull(), F.col("id")).otherwise(F.col("least")).alias("component_id"))
+    named = lookup_join(named, smallest, ["comp"]).select("fp", "n", F.when(F.col("comp").isNull(), F.col("id")).otherwise(F.col("least")).alias("component_id"))
     named = settle(named)
     heavy = named.where(F.col("n") * SHARE > docs.agg(F.count("*").alias("n")).scalar())
     out = lookup_join(docs, named.select("fp", "component_id"), ["fp"], "inner", heavy=heavy)
