@@ -337,7 +337,7 @@ def reached(links: DataFrame) -> DataFrame:
     Each b first goes by its smallest a alone, which is a forest and collapses by jumps. Links within
     one tree fall away then; of the others one is left for each two trees, and only trees are connected.
     """
-    links = settle(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    links = settle(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct())
     trees = settle(links.groupBy(F.col("b").alias("fp")).agg(F.min("a").alias("tree")))
     while True:
         further = trees.select(F.col("fp").alias("tree"), F.col("tree").alias("far"))

@@ -121,3 +121,14 @@ def test_long_texts_are_hashed_in_pieces(monkeypatch):
     monkeypatch.setattr(G, "PIECE", 17)
     assert G.fingerprint(text.encode()) == whole == plain(text)
     assert G.fingerprint("Ab\v CD\tef".encode()) == plain("ab cd ef")
+
+
+def test_links_collapse(spark):
+    """Chains, branches without a tree of their own, links both ways and of a fingerprint with itself."""
+    links = [(1, 2), (3, 2), (2, 3), (4, 4), (4, 3), (10, 11), (9, 10), (12, 12), (-5, 20), (20, 21), (7, 21)]
+    out = G.reached(spark.createDataFrame(links, "a long, b long")).collect()
+    groups = {}
+    for r in out:
+        groups.setdefault(r["comp"], set()).add(r["fp"])
+    assert sorted(map(sorted, groups.values())) == [[-5, 7, 20, 21], [1, 2, 3, 4], [9, 10, 11]] and len(out) == 11
+    assert G.reached(spark.createDataFrame([], "a long, b long")).count() == 0
