@@ -336,22 +336,23 @@ def reached(links: DataFrame) -> DataFrame:
 
     Each b first goes by its smallest a alone, which is a forest and collapses by jumps. Links within
     one tree fall away then; of the others one is left for each two trees, and only trees are connected.
+    A tree's name may be a hot key; the other side has one row for it, so adaptive execution splits its rows.
     """
     links = settle(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct())
     trees = settle(links.groupBy(F.col("b").alias("fp")).agg(F.min("a").alias("tree")))
     while True:
         further = trees.select(F.col("fp").alias("tree"), F.col("tree").alias("far"))
-        jumped = settle(lookup_join(trees, further, ["tree"]).select("fp", F.coalesce("far", "tree").alias("tree"), F.col("far").isNotNull().alias("moved")))
+        jumped = settle(trees.join(further, "tree", "left").select("fp", F.coalesce("far", "tree").alias("tree"), F.col("far").isNotNull().alias("moved")))
         trees = jumped.select("fp", "tree")
         if jumped.where("moved").isEmpty():
             break
     of = lambda end: trees.select(F.col("fp").alias(end), F.col("tree").alias(f"{end}_tree"))
-    ends = lookup_join(lookup_join(links, of("a"), ["a"]), of("b"), ["b"])
+    ends = links.join(of("a"), "a", "left").join(of("b"), "b", "left")
     between_trees = ends.select(F.coalesce("a_tree", "a").alias("a"), F.coalesce("b_tree", "b").alias("b")).where("a <> b").distinct()
     comps = components(settle(between_trees)).withColumnRenamed("h", "tree")
     roots = trees.select("tree").unionByName(comps.select("tree")).distinct()  # of trees, and of those without a branch
     members = trees.unionByName(roots.select(F.col("tree").alias("fp"), "tree"))
-    return settle(lookup_join(members, comps, ["tree"]).select("fp", F.coalesce("comp", "tree").alias("comp")))
+    return settle(members.join(comps, "tree", "left").select("fp", F.coalesce("comp", "tree").alias("comp")))
 
 
 def near_copies(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
