@@ -189,19 +189,22 @@ def tree_diff(
     path too, which is counted as gone beside). Without any immutable path nothing was compared,
     and the verdict is a refusal.
     """
-    s = tree_states(published, regenerated, manifest)
     immutable = regenerated.where(~F.col("derived"))
-    n = lambda *states: F.count_if(F.col("state").isin(*states))
-    out = s.agg(
+    lost = lost_checksums(published_sums, regenerated_sums, immutable)
+    return tree_verdict(tree_states(published, regenerated, manifest), lost, immutable.agg((F.count("*") > 0).alias("known")))
+
+
+def tree_verdict(states: DataFrame, lost: DataFrame, known: DataFrame) -> DataFrame:
+    """Counts and verdict from path states, lost checksum lines and one row that says if anything is immutable."""
+    n = lambda *of: F.count_if(F.col("state").isin(*of))
+    out = states.agg(
         n("gone").alias("gone"),
         n("added").alias("added"),
         n("immutable changed").alias("immutable_changed"),
         n("derived changed", "gone").alias("derived_changed"),
         F.count_if("manifest_missing").alias("manifest_missing"),
     )
-    lost = lost_checksums(published_sums, regenerated_sums, immutable).agg(F.count("*").alias("n"))
-    known = immutable.agg((F.count("*") > 0).alias("known"))
-    out = out.withColumns({"checksums_lost": lost.scalar(), "_known": known.scalar()})
+    out = out.withColumns({"checksums_lost": lost.agg(F.count("*").alias("n")).scalar(), "_known": known.scalar()})
     broken = F.col("gone") + F.col("immutable_changed") + F.col("manifest_missing") + F.col("checksums_lost") > 0
     waiting = F.col("added") + F.col("derived_changed") > 0
     verdict = F.when(~F.col("_known"), "refused").when(broken, "violated").when(waiting, "pending").otherwise("matched")

@@ -27,6 +27,7 @@ from calipers.operators import (
     publish,
     rules,
     stability,
+    trees,
     vectors,
 )
 from calipers.plans import fixtures as T
@@ -706,6 +707,47 @@ def tree_diff(spark, sf_dir):
     return diffs.tree_diff(*_three_trees(spark, sf_dir), *sums)
 
 
+def _stored_trees(spark, sf_dir) -> dict[str, trees.DigestTree]:
+    """Digest trees of the fixture, written once per application."""
+
+    def lines():
+        p, r, m = _three_trees(spark, sf_dir)
+        none = {"sha256": F.lit(""), "derived": F.lit(False)}
+        yield "published", p
+        yield "regenerated", r
+        yield "manifest", m.select("path").distinct().withColumns(none)
+        for s in ("published", "regenerated"):
+            sums = T.documents(spark, sf_dir, s).where("summed").select("path", F.sha2("sum_of", 256).alias("sha256")).distinct()
+            yield f"{s} sums", sums.withColumn("derived", F.lit(False))
+
+    def write(name, df):
+        trees.write_tree(df.select("path", "sha256", "derived"), path := shared_folder(spark), *TREE_SHAPE)
+        return path
+
+    at = (spark.sparkContext.applicationId, sf_dir)
+    if at not in _TREES:
+        _TREES[at] = {name: write(name, df) for name, df in lines()}
+    return {name: trees.read_tree(spark, path, *TREE_SHAPE) for name, path in _TREES[at].items()}
+
+
+_TREES: dict[tuple[str, str], dict[str, str]] = {}
+#: Levels and folder digits of the fixture's trees.
+TREE_SHAPE = (3, 1)
+
+
+@query
+def tree_diff_descent(spark, sf_dir):
+    """The same comparison by descent of stored digest trees."""
+    t = _stored_trees(spark, sf_dir)
+    return trees.tree_diff(t["published"], t["regenerated"], t["manifest"], t["published sums"], t["regenerated sums"])
+
+
+@query
+def append_only_descent(spark, sf_dir):
+    t = _stored_trees(spark, sf_dir)
+    return trees.append_only_audit(t["published"], t["regenerated"])
+
+
 @query
 def rebuild_audit(spark, sf_dir):
     return decode.rebuild_audit(T.profiles(spark, sf_dir), K)
