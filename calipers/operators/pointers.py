@@ -144,6 +144,47 @@ def select_latest(df: DataFrame, wanted: DataFrame) -> DataFrame:
     return pointers_per_channel(df).join(w, "key", "left_semi")
 
 
+def folder(browser: Column, channel: Column, platform: Column) -> Column:
+    """The folder of a stored profile: one column, so that lookups prune by whole routes. Null where a part is missing."""
+    return F.concat(ascii_lower(browser), F.lit("/"), channel, F.lit("/"), platform)
+
+
+def profile_folder() -> Column:
+    return folder(F.col("browser.name"), F.col("browser.channel"), platform_token())
+
+
+def _asked(wanted: DataFrame, *more: str) -> DataFrame:
+    """Distinct lookups under the folder column, broadcast while few.
+
+    The filter leaves no lookup out (no folder is empty); with it the side counts as selective, so
+    Spark prunes folders by it while the query runs.
+    """
+    of = folder(F.col("browser"), F.col("channel"), ascii_lower(F.col("platform")))
+    return small_side(wanted.select(of.alias("folder"), *more).where("folder > ''").distinct(), ROUTE_ROWS)
+
+
+def select_exact_stored(profiles: DataFrame, wanted: DataFrame, key: Sequence[str] = ("id",)) -> DataFrame:
+    """``select_exact`` on a stored tree: reads the folders of the routes that are asked for, and no others."""
+    held = keyed(profiles, "folder", *[k for k in key if k != "id"])
+    return held.join(_asked(wanted, "version"), ["folder", "version"], "left_semi").drop("folder")
+
+
+def route_pointers(df: DataFrame) -> DataFrame:
+    """The per-channel pointers as a table beside a stored tree: folder, version, path."""
+    return pointers_per_channel(df).withColumnRenamed("key", "folder")
+
+
+def fetch_latest(profiles: DataFrame, stored_pointers: DataFrame, wanted: DataFrame, *columns: str) -> DataFrame:
+    """Newest profile (its ``columns``) per asked (browser, channel, platform), with key, version and path.
+
+    The pointer table names version and path; of the tree only the folders that it points into are read.
+    """
+    named = stored_pointers.join(_asked(wanted), "folder", "left_semi").where("folder > ''")
+    held = profiles.select("folder", F.col("browser.version").alias("version"), profile_path().alias("path"), *columns)
+    found = held.join(small_side(named, ROUTE_ROWS), ["folder", "version", "path"], "left_semi")
+    return found.withColumnRenamed("folder", "key")
+
+
 def index(df: DataFrame, draft: Column, key: Sequence[str] = ()) -> DataFrame:
     """One derived row per profile with the content address of profile and raw bytes."""
     body = F.to_json(F.struct(*[c for c in df.columns if c not in key]), {"ignoreNullFields": "false"})

@@ -475,22 +475,47 @@ def scan_profiles(spark, sf_dir):
     )
 
 
-@query
-def select_exact(spark, sf_dir):
-    wanted = T.profiles(spark, sf_dir, "after").select(
+def _wanted(spark, sf_dir):
+    return T.profiles(spark, sf_dir, "after").select(
         F.upper("browser.name").alias("browser"), F.col("browser.channel").alias("channel"),
         I.platform_token().alias("platform"), F.col("browser.version").alias("version"),
     )
-    out = pointers.select_exact(T.profiles(spark, sf_dir), wanted, K)
+
+
+def _profile_store(spark, sf_dir):
+    """The current profiles as a stored tree with its pointers, written once per application."""
+    at = (spark.sparkContext.applicationId, sf_dir)
+    if at not in _STORES:
+        files.write_profile_store(T.profiles(spark, sf_dir), root := shared_folder(spark))
+        _STORES[at] = root
+    return files.read_profile_store(spark, _STORES[at])
+
+
+_STORES: dict[tuple[str, str], str] = {}
+
+
+@query
+def select_exact(spark, sf_dir):
+    out = pointers.select_exact(T.profiles(spark, sf_dir), _wanted(spark, sf_dir), K)
+    return out.select("row_key", "route", "version")
+
+
+@query
+def select_exact_stored(spark, sf_dir):
+    """The same lookups in the stored tree, folder by folder."""
+    out = pointers.select_exact_stored(_profile_store(spark, sf_dir)[0], _wanted(spark, sf_dir), K)
     return out.select("row_key", "route", "version")
 
 
 @query
 def select_latest(spark, sf_dir):
-    wanted = T.profiles(spark, sf_dir, "after").select(
-        "browser.name", F.col("browser.channel").alias("channel"), I.platform_token().alias("platform")
-    ).withColumnRenamed("name", "browser").distinct()
-    return pointers.select_latest(T.profiles(spark, sf_dir), wanted)
+    return pointers.select_latest(T.profiles(spark, sf_dir), _wanted(spark, sf_dir).drop("version").distinct())
+
+
+@query
+def select_latest_stored(spark, sf_dir):
+    """The same lookups through the stored pointers to the profiles they name."""
+    return pointers.fetch_latest(*_profile_store(spark, sf_dir), _wanted(spark, sf_dir).drop("version")).distinct()
 
 
 # -- captures and aggregates -----------------------------------------------

@@ -666,6 +666,7 @@ CONF = f"""{PROF}, {AFTER}, {newest('nc', 'prof')}, cl AS (SELECT route, r.field
   cf AS (SELECT ob.row_key AS row_key, field, cl.v AS claimed, ob.v AS observed, CASE WHEN cl.v IS NULL OR ob.v IS NULL THEN 'not-checkable' WHEN cl.v = ob.v THEN 'conforms'
      WHEN {mask('cl.v')} = {mask('ob.v')} THEN 'per-connection' WHEN field IN ('tls.extensions.order', 'tls.grease.positions') THEN 'per-connection' ELSE 'differs' END AS verdict FROM ob JOIN cl USING (route, field))"""
 TALLY = ", ".join(f"count(*) FILTER (verdict = '{v}') AS {v.replace('-', '_')}" for v in ("conforms", "differs", "per-connection", "not-checkable"))
+ORACLES |= {f"{n}_stored": ORACLES[n] for n in ("select_exact", "select_latest")}
 ORACLES["tree_diff_descent"] = ORACLES["tree_diff"]
 ORACLES["append_only_descent"] = ORACLES["append_only_audit"]
 ORACLES["conformance_fields"] = f"{CONF} SELECT * FROM cf"

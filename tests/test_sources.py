@@ -2,9 +2,10 @@ import json
 import os
 
 from conftest import BASE, SF, capture, derived, frame, planted
+from pyspark.sql import functions as F
 
 from calipers import schema as S
-from calipers.operators import census
+from calipers.operators import census, pointers
 from calipers.plans import bindings, fixtures as T
 from calipers.sources import files
 from calipers.streaming import captures as streams
@@ -66,6 +67,32 @@ def test_partitioned_copy_prunes_by_route(spark, tmp_path):
     assert os.path.isdir(out + "/route_browser=chrome")
 
 
+def test_lookups_read_the_folders_that_are_asked_for(spark, tmp_path):
+    p = T.profiles(spark, SF)
+    root = str(tmp_path / "store")
+    files.write_profile_store(p, root)
+    profiles, named = files.read_profile_store(spark, root)
+    folder = profiles.where("folder IS NOT NULL").groupBy("folder").count().orderBy("count", "folder").first()["folder"]
+    one = profiles.where(F.col("folder") == folder).selectExpr("browser.version AS version", "row_key").first()
+    browser, channel, platform = folder.split("/")
+    asked = [(browser.upper(), channel, platform, one["version"]), ("Nobody", "stable", "linux64", "1")]
+    wanted = spark.createDataFrame(asked, "browser string, channel string, platform string, version string")
+    out = pointers.select_exact_stored(profiles, wanted, ["row_key"])
+    names = sorted(out.columns)
+    rows = out.select(names).collect()
+    plain = pointers.select_exact(p, wanted, ["row_key"])
+    assert sorted(plain.columns) == names and sorted(map(tuple, rows)) == sorted(map(tuple, plain.select(names).collect()))
+    assert one["row_key"] in {r["row_key"] for r in rows}
+    latest = pointers.fetch_latest(profiles, named, wanted.drop("version"), "tls")
+    assert latest.select("key", "version", "path").distinct().collect() == pointers.select_latest(p, wanted.drop("version")).collect()
+    asked_for = f"folder={folder.replace('/', '%2F')}"
+    before = sorted(map(tuple, rows)), latest.select("key", "version", "path").collect()
+    for file in (tmp_path / "store/profiles").rglob("*.parquet"):
+        if file.parent.name != asked_for:
+            file.write_bytes(b"not parquet any more")  # whoever opens it fails
+    assert (sorted(map(tuple, out.select(names).collect())), latest.select("key", "version", "path").collect()) == before
+
+
 def test_census_of_planted_documents(spark):
     docs = ['{"a":1,"b":{"c":null},"m":[1,2]}', '{"a":1.5,"b":{"c":null,"d":"x"},"m":[]}', '{"b":{"c":null},"provenance":{"x":"wire","y":"wire"}}']
     df = spark.createDataFrame([(d,) for d in docs], "j string")
