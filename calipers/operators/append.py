@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from calipers.functions.identity import profile_path
+from calipers.operators.heavy import lookup_join
 from calipers.operators.publish import routes
 from calipers.operators.rules import profile_defects
 
@@ -27,7 +28,8 @@ def append_profiles(batch: DataFrame, stored: DataFrame, key: Sequence[str] = ("
     paths = stored.select(profile_path().alias("path")).where("path IS NOT NULL").distinct().withColumn("_taken", F.lit(True))
     ids = stored.select(F.col("id").alias("supersedes")).distinct().withColumn("_known", F.lit(True))
     rows = batch.select(*on, "supersedes", F.col("raw.client_hello_hex").isNull().alias("_bare")).join(route, on).join(defects, on, "left")
-    rows = rows.join(paths, "path", "left").join(ids, "supersedes", "left")
+    # most rows supersede nothing: those stay where they are
+    rows = lookup_join(rows.join(paths, "path", "left"), ids, ["supersedes"])
     why = lambda field, text: F.struct(field.alias("field"), text.alias("why"))
     refusal = (
         F.when(F.col("_d").isNotNull(), why(F.col("_d.field"), F.col("_d.kind")))
