@@ -6,12 +6,14 @@ score is the mean of its lines' forward-backward probabilities of "good", weight
 
 Labels are known per document, so in training each line carries its document's label. The weights
 are fitted on at most TRAIN_DOCUMENTS labelled documents (those with the smallest hash of their id,
-outside of the held-out third); only their line features reach the driver. Features come from the
-text alone. Scoring is one pass without a shuffle over all rows.
+outside of the held-out third), of each at most TRAIN_LINES lines (longer texts: even stretches of
+STRETCH lines over the whole text); only these lines' features reach the driver. Features come from
+the text alone. Scoring is one pass without a shuffle over all rows, in slices of CHUNK_CHARS.
 
 Null and empty texts are one empty line. Without usable labels of both kinds every score is 0.5 and
-so 1 is predicted. Repeated rows are scored each; a document labelled twice counts once, with its
-smallest label; other columns are not read. Texts of any length are scored whole.
+so 1 is predicted. Repeated rows are scored each; for fitting, a document labelled twice counts once,
+with its smallest label, and an id with several texts by its smallest one; other columns are not read.
+Texts of any length are scored whole.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,8 +31,10 @@ from calipers.llm.common import table
 
 #: Bound of the sample of labelled documents that the weights are fitted on.
 TRAIN_DOCUMENTS = 3_000
+#: Bound of the lines of one document in that sample, and the lines that stay together in longer ones.
+TRAIN_LINES, STRETCH = 2_000, 100
 ROUNDS, RATE, DECAY = 150, 0.05, 1e-3
-CHUNK_CHARS = 2_000_000
+CHUNK_CHARS = 250_000
 SYMBOLS = "#*$%&|<>"
 _KIND = np.zeros(128, dtype=np.uint8)
 for _c in " \t\n\v\f\r":
@@ -46,6 +51,24 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 
+def word_hashes(chars: np.ndarray, begins: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """A polynomial of each word's characters, from running sums over blocks of words."""
+    hashes, done = np.empty(len(begins), dtype=np.uint64), 0
+    power = back = np.empty(0, dtype=np.uint64)
+    while done < len(begins):
+        low = begins[done]
+        upto = max(done + 1, int(np.searchsorted(stops, low + CHUNK_CHARS, side="right")))
+        size = stops[upto - 1] - low
+        if size > len(power):
+            power, back = (np.cumprod(np.full(size, b, dtype=np.uint64)) for b in (_BASE, _INVERSE))
+        running = np.zeros(size + 1, dtype=np.uint64)
+        np.cumsum(chars[low : low + size] * power[:size], out=running[1:])
+        b, e = begins[done:upto] - low, stops[done:upto] - low
+        hashes[done:upto] = (running[e] - running[b]) * back[b]
+        done = upto
+    return hashes ^ (hashes >> np.uint64(31))
+
+
 def line_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(features, characters, first line of each text and the end) of all lines of some texts."""
     joined = "\n".join(texts)
@@ -58,7 +81,8 @@ def line_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     kind = np.where(chars < 128, _KIND[np.minimum(chars, 127)], 0)
 
     def per_line(mask):
-        total = np.concatenate([[0], np.cumsum(mask)])
+        total = np.zeros(len(mask) + 1, dtype=np.int32)
+        np.cumsum(mask, dtype=np.int32, out=total[1:])
         return (total[ends] - total[starts]).astype(np.float64)
 
     filled = per_line(kind != 1)
@@ -68,12 +92,7 @@ def line_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     begins, stops = np.flatnonzero(word[1:] & ~word[:-1]), np.flatnonzero(~word[1:] & word[:-1])
     line_of = np.searchsorted(ends, begins)
     n_words = np.bincount(line_of, minlength=len(ends)).astype(np.float64)
-    # a word's hash: a polynomial of its characters, from running sums
-    power = np.cumprod(np.full(len(chars), _BASE, dtype=np.uint64))
-    running = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(chars.astype(np.uint64) * power, dtype=np.uint64)])
-    back = np.cumprod(np.full(len(chars), _INVERSE, dtype=np.uint64))
-    hashes = (running[stops] - running[begins]) * back[begins] if len(begins) else np.empty(0, dtype=np.uint64)
-    hashes ^= hashes >> np.uint64(31)
+    hashes = word_hashes(chars, begins, stops)
     # windows of three words found twice in their document
     repeated = np.zeros(len(ends))
     if len(hashes) > 2:
@@ -162,18 +181,28 @@ def held_out(id_col: Column) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string")) % 3 == 1, F.lit(False))
 
 
+def stretches(features: np.ndarray) -> list[np.ndarray]:
+    """The lines of one document for fitting: all of them, or even stretches where they are too many."""
+    if len(features) <= TRAIN_LINES:
+        return [features]
+    starts = np.linspace(0, len(features) - STRETCH, TRAIN_LINES // STRETCH).astype(int)
+    return [features[at : at + STRETCH] for at in starts]
+
+
 def train(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", most: int = TRAIN_DOCUMENTS):
     """(weights, transitions), or None where the labels are of one kind only."""
     known = labels.filter(F.col(label_col).isin(0, 1)).filter(F.crc32(F.col(id_col).cast("string")) % 3 != 1)
     known = known.groupBy(F.col(id_col).alias("id")).agg(F.min(label_col).alias("label"))
     picked = known.orderBy(F.xxhash64("id"), "id").limit(most)  # the documented bound, also of this broadcast
     texts = documents.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(picked), "id")
+    texts = texts.groupBy("id", "label").agg(F.min("text").alias("text"))
 
     def work(batches):
         for batch in batches:
-            for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                features, _, _ = line_features([text or ""])
-                yield pa.RecordBatch.from_arrays([pa.array([label], pa.int32()), pa.array([features.astype("<f8").tobytes()], pa.binary())], ["label", "features"])
+            for k, label in enumerate(batch.column(1).to_pylist()):
+                features = stretches(line_features([batch.column(0)[k].as_py() or ""])[0])
+                for part in features:
+                    yield pa.RecordBatch.from_arrays([pa.array([label], pa.int32()), pa.array([part.astype("<f8").tobytes()], pa.binary())], ["label", "features"])
 
     rows = texts.select("text", F.col("label").cast("int"), "id").mapInArrow(work, "label int, features binary").collect()
     if len({r["label"] for r in rows}) < 2:
@@ -191,12 +220,14 @@ def score(documents: DataFrame, model, text_col: str = "text") -> DataFrame:
 
     def chunks(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
-            texts, start, chars = batch.column(1).to_pylist(), 0, 0
-            for k, t in enumerate(texts):
-                chars += len(t or "") + 1
-                if chars >= CHUNK_CHARS or k + 1 == len(texts):
-                    yield batch.slice(start, k + 1 - start), [x or "" for x in texts[start : k + 1]]
-                    start, chars = k + 1, 0
+            column = batch.column(1) if batch.num_columns > 1 else batch.column(0).field(at)
+            size = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(column), 0), dtype=np.int64) + 1)
+            start = 0
+            while start < len(size):
+                before = size[start - 1] if start else 0
+                end = max(start + 1, int(np.searchsorted(size, before + CHUNK_CHARS, side="right")))
+                yield batch.slice(start, end - start), [x or "" for x in column.slice(start, end - start).to_pylist()]
+                start = end
 
     def work(batches):
         for own, texts in chunks(batches):
@@ -212,7 +243,10 @@ def score(documents: DataFrame, model, text_col: str = "text") -> DataFrame:
             arrays = [pa.array(np.clip(result, 0, 1), pa.float64()), pa.array(n, pa.int64()), pa.array(bad, pa.int64())]
             yield pa.RecordBatch.from_arrays([own.column(0), *arrays], ["row", "score", "n_lines", "n_bad_lines"])
 
-    rows = documents.select(F.struct("*").alias("row"), F.col(text_col).cast("string").alias("text"))
+    # a text goes to the worker once, inside its row, unless it has to be made a string
+    at = documents.columns.index(text_col)
+    is_text = isinstance(documents.schema[at].dataType, T.StringType)
+    rows = documents.select(F.struct("*").alias("row"), *([] if is_text else [F.col(text_col).cast("string").alias("text")]))
     kinds = T.StructType([rows.schema["row"], *(T.StructField(n, t()) for n, t in (("score", T.DoubleType), ("n_lines", T.LongType), ("n_bad_lines", T.LongType)))])
     return rows.mapInArrow(work, kinds)
 

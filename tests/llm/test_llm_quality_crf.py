@@ -52,3 +52,22 @@ def test_cases(spark):
     assert quality_crf.train(documents(spark), labels.filter("quality = 1")) is None
     assert {r["score"] for r in quality_crf.score(documents(spark), None).collect()} == {0.5}
     assert quality_crf.score(empty(spark), None).count() == 0
+
+
+def test_slices_and_blocks_change_nothing(spark, monkeypatch):
+    rows = [(i, ("word%d other? " % i) * (i * 40) + "\nsecond line " + "y" * 300 * (i % 3)) for i in range(12)] + [(None, None), (12, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    model = (np.linspace(-1, 1, len(quality_crf.line_features([""])[0][0])), np.array([[0.5, -0.5], [-0.5, 0.5]]))
+    features = quality_crf.line_features([t or "" for _, t in rows])
+    results = lambda: sorted((-1 if r.doc_id is None else r.doc_id, r.n_lines, r.score) for r in quality_crf.score(df, model).select("row.doc_id", "score", "n_lines").collect())
+    whole = results()
+    monkeypatch.setattr(quality_crf, "CHUNK_CHARS", 100)
+    assert all(np.array_equal(a, b) for a, b in zip(features, quality_crf.line_features([t or "" for _, t in rows])))
+    assert np.allclose(results(), whole, rtol=1e-12)
+
+
+def test_the_lines_of_one_training_document_are_bounded():
+    short, long = np.ones((2_000, 3)), np.arange(30_000.0).reshape(10_000, 3)
+    assert [len(p) for p in quality_crf.stretches(short)] == [2_000]
+    parts = quality_crf.stretches(long)
+    assert sum(map(len, parts)) == quality_crf.TRAIN_LINES and parts[0][0, 0] == 0 and parts[-1][-1, -1] == 29_999
