@@ -41,10 +41,14 @@ def byte_count(text: Column) -> Column:
 
 
 def bytes_at(text: Column, at, n) -> Column:
-    """``n`` bytes of a hex string from byte offset ``at`` (0-based), as hex."""
+    """``n`` bytes of a hex string from byte offset ``at`` (0-based), as hex.
+
+    The hex digits may come as ``binary`` too: these are cut in place, where a string's
+    characters are counted from its start at every cut. Walks over long texts take them so.
+    """
     at = F.lit(at) if not isinstance(at, Column) else at
     n = F.lit(n) if not isinstance(n, Column) else n
-    return F.substring(text, (at * 2 + 1).cast("int"), (n * 2).cast("int"))
+    return F.substring(text, (at * 2 + 1).cast("int"), (n * 2).cast("int")).cast("string")
 
 
 def number_at(text: Column, at, n: int) -> Column:

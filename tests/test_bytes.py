@@ -2,10 +2,12 @@
 
 import hashlib
 import random
+import time
 
 from conftest import SF, frame, planted
 from pyspark.sql import functions as F
 
+from calipers.functions.decode import split_frames
 from calipers.operators import decode, digest, publish
 from calipers.plans import fixtures as T
 
@@ -80,6 +82,41 @@ def test_frames_with_padding_truncation_and_trailing_bytes(spark):
     assert [x.http2 for x in decode.decode_h2_frames(bad, "raw.http2_frames_hex", ["n"]).collect()] == [None, None]
 
 
+def read_frames(data: bytes):
+    """Reference reading for the tests: (declared, type, flags, stream, payload) of each frame, and the bytes left."""
+    at, out = 0, []
+    while at + 9 <= len(data):
+        n = int.from_bytes(data[at : at + 3])
+        payload = data[at + 9 : at + 9 + n]
+        out.append((n, data[at + 3], data[at + 4], int.from_bytes(data[at + 5 : at + 9]) & 0x7FFFFFFF, payload.hex()))
+        at += 9 + len(payload)
+    return out, len(data) - at
+
+
+def test_random_frames_cut_and_damaged(spark):
+    rng, cases = random.Random(11), [b"", b"\0" * 8, b"\0" * 9 * 700]  # the last one: more than two blocks of a walk
+    for _ in range(60):
+        frames = [rng.randbytes(rng.randrange(12)) for _ in range(rng.randrange(1, 40))]
+        data = b"".join(len(p).to_bytes(3) + bytes([rng.randrange(10), rng.randrange(64)]) + rng.randbytes(4) + p for p in frames)
+        cases.append(data[: rng.randrange(len(data) + 1)] if rng.random() < 0.5 else data + rng.randbytes(rng.randrange(9)))
+    df = spark.createDataFrame([(i, c.hex()) for i, c in enumerate(cases)], "i bigint, t string")
+    got = {r.i: r.s for r in df.select("i", split_frames(F.col("t")).alias("s")).collect()}
+    for i, data in enumerate(cases):
+        frames, trailing = read_frames(data)
+        assert got[i].trailing == trailing
+        assert [(f.declared_length, f.frame_type, f.flags, f.stream_id, f.payload_hex) for f in got[i].frames] == frames
+
+
+def test_a_megabyte_of_empty_frames_takes_time_in_proportion(spark):
+    took = {}
+    for size in (1 << 18, 1 << 20, 1 << 18, 1 << 20):
+        df = spark.createDataFrame([("00" * (size - size % 9) + "00" * 4,)], "t string").select(split_frames(F.col("t")).alias("s"))
+        begun = time.monotonic()
+        assert df.select(F.size("s.frames"), "s.trailing").first() == (size // 9, 4)
+        took[size] = time.monotonic() - begun
+    assert took[1 << 20] < 30 and took[1 << 20] < 8 * took[1 << 18] + 2
+
+
 def test_digest_tree_against_hashlib(spark):
     rows = [(f"p/{i}", f"body {i}", i % 5 == 0) for i in range(300)]
     manifest = publish.artefact_manifest(spark.createDataFrame(rows, "path string, body string, derived boolean"))
