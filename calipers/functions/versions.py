@@ -3,6 +3,9 @@
 ``version_order``   parts, then the text: the newest-per-key pointers.
 ``version_parts``   parts only, so ties survive: latest routes, movements.
 ``padded_parts``    parts padded with zeros: freshness against a serving build.
+
+``version_key`` and ``parts_key`` are the first two as one string each, whose byte order is that
+order: they sort by prefix, are stored as they are and prune files by their smallest and largest.
 """
 
 from __future__ import annotations
@@ -31,6 +34,23 @@ def version_order(version: str | Column) -> Column:
     return F.struct(version_parts(v).alias("parts"), v.alias("text"))
 
 
+def parts_key(version: str | Column) -> Column:
+    """``version_parts`` as a string: every part as its number of digits (two of them) and its digits."""
+    digits = F.transform(version_parts(version), lambda n: n.cast("string"))
+    return F.array_join(F.transform(digits, lambda d: F.concat(F.lpad(F.length(d).cast("string"), 2, "0"), d)), "")
+
+
+def version_key(version: str | Column) -> Column:
+    """``version_order`` as a string: a blank, lower than any digit, ends the parts, and the text follows."""
+    v = col(version)
+    return F.concat(parts_key(v), F.lit(" "), v)
+
+
+def version_of_key(key: str | Column) -> Column:
+    """The version text of a ``version_key``."""
+    return F.substr(col(key), F.instr(col(key), " ") + 1)
+
+
 def padded_parts(version: str | Column, width: Column) -> Column:
     """Numeric parts padded with zeros to ``width`` components."""
     parts = version_parts(version)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from calipers.functions.identity import platform_token, profile_path, route_key
 from calipers.functions.text import ascii_lower
-from calipers.functions.versions import version_order, version_parts
+from calipers.functions.versions import parts_key, version_key, version_of_key
 from calipers.operators.digest import corpus_digest
 from calipers.operators.sizing import ROUTE_ROWS, small_side
 
@@ -41,7 +41,7 @@ def newest(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataF
 
 
 def _pointers(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    best = newest(rows, keys, [version_order("version").desc(), F.col("path").asc(), F.col("id").asc()])
+    best = newest(rows, keys, [version_key("version").desc(), F.col("path").asc(), F.col("id").asc()])
     return best.select(F.concat_ws("/", *keys).alias("key"), "version", "path")
 
 
@@ -54,15 +54,23 @@ def pointers_latest(df: DataFrame) -> DataFrame:
     return _pointers(rows, ["browser", "platform"])
 
 
+def merge_pointers(stored: DataFrame, own: DataFrame) -> DataFrame:
+    """Pointers (key, version, path) after a batch: of what is stored and what the batch has, the newer by key.
+
+    Equal to the pointers of the whole corpus, and reads the stored table and the batch's pointers only.
+    """
+    return newest(stored.unionByName(own), ["key"], [version_key("version").desc(), F.col("path").asc()])
+
+
 def latest_routes(df: DataFrame, *extra: str) -> DataFrame:
     """Stable profiles with nothing newer on their route under version parts; ties all stay.
 
-    The maximum per route combines map-side and is joined back (broadcast when measured to
-    be small), so ties of any number are filtered where they are instead of being gathered
-    in one window partition.
+    Rows become distinct versions of a route where they are read (by hash, nothing is sorted);
+    the maximum over these is joined back (broadcast when measured to be small), so ties of any
+    number are filtered where they are instead of being gathered in one window partition.
     """
-    rows = keyed(df, *extra).where(F.col("channel") == STABLE).withColumn("_parts", version_parts("version"))
-    top = rows.groupBy("route").agg(F.max("_parts").alias("_top"))
+    rows = keyed(df, *extra).where(F.col("channel") == STABLE).withColumn("_parts", parts_key("version"))
+    top = rows.select("route", "_parts").distinct().groupBy("route").agg(F.max("_parts").alias("_top"))
     return rows.join(small_side(top, ROUTE_ROWS), "route").where("_parts = _top").drop("_parts", "_top")
 
 
@@ -73,7 +81,7 @@ def choose_release(releases: DataFrame, by: Sequence[str], version: str = "versi
     last entry wins, and the list arrives in descending order, so that is the lowest version.
     The highest known version is reported beside it. Plain aggregates with partial combine.
     """
-    order = version_order(version)
+    order = version_key(version)
     entry = F.struct(order.alias("o"), F.col(fraction).alias("f"))
     share = F.coalesce(fraction, F.lit(0.0))
     out = releases.groupBy(*by).agg(
@@ -86,9 +94,9 @@ def choose_release(releases: DataFrame, by: Sequence[str], version: str = "versi
     chosen = F.coalesce("full", "partial")
     return out.select(
         *by,
-        chosen["o"]["text"].alias("version"),
+        version_of_key(chosen["o"]).alias("version"),
         chosen["f"].alias("fraction"),
-        F.col("highest.o.text").alias("highest_known"),
+        version_of_key("highest.o").alias("highest_known"),
         F.col("highest.f").alias("highest_fraction"),
     )
 
@@ -208,6 +216,15 @@ def index(df: DataFrame, draft: Column, key: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def merge_index(stored: DataFrame, own: DataFrame) -> DataFrame:
+    """The index after a batch: stored rows stay where they are, the batch's rows that it lacks are added.
+
+    A row is held if id, path and content address are: a batch that is written twice adds nothing.
+    """
+    same = [own[c].eqNullSafe(stored[c]) for c in ("id", "path", "sha256")]
+    return stored.unionByName(own.join(stored, same, "left_anti"))
+
+
 def release_summary(df: DataFrame) -> DataFrame:
     """Number of profiles, newest capture instant, and the digest that pins the release.
 

@@ -32,7 +32,7 @@ from calipers.operators import (
 )
 from calipers.plans import fixtures as T
 from calipers.sources import files
-from calipers.sources.shared import shared_folder
+from calipers.sources.shared import shared_folder, stored as stored_table
 from calipers.streaming import captures as streams
 
 K = ("row_key",)
@@ -342,6 +342,20 @@ def pointers_latest(spark, sf_dir):
     return pointers.pointers_latest(T.profiles(spark, sf_dir))
 
 
+def _batch(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """A quarter of the corpus arrives as a batch, the rest is published."""
+    p = T.profiles(spark, sf_dir)
+    return p.where("row_key % 4 = 1"), p.where("row_key % 4 <> 1")
+
+
+@query
+def pointers_merged(spark, sf_dir):
+    """The stored pointers of what is published, merged with a batch's own."""
+    batch, published = _batch(spark, sf_dir)
+    held = stored_table(pointers.pointers_per_channel(published))
+    return pointers.merge_pointers(held, pointers.pointers_per_channel(batch))
+
+
 @query
 def latest_routes(spark, sf_dir):
     return pointers.latest_routes(T.profiles(spark, sf_dir), "row_key").select("row_key", "route", "version")
@@ -567,15 +581,22 @@ def corpus_index(spark, sf_dir):
     return out.drop("sha256", "bytes")
 
 
+@query
+def index_merged(spark, sf_dir):
+    """The stored index of what is published, and a batch's own rows; half of the batch was written before."""
+    index = lambda df: pointers.index(df, rules.is_draft(), K)
+    batch, published = _batch(spark, sf_dir)
+    held = stored_table(index(published.unionByName(batch.where("row_key % 8 = 1"))))
+    return pointers.merge_index(held, index(batch)).drop("sha256", "bytes")
+
+
 @query
 def release_summary(spark, sf_dir):
     return pointers.release_summary(T.profiles(spark, sf_dir))
 
 
 def _append(spark, sf_dir):
-    """A quarter of the corpus arrives as a batch, the rest is published."""
-    p = T.profiles(spark, sf_dir)
-    return append.append_profiles(p.where("row_key % 4 = 1"), p.where("row_key % 4 <> 1"), K)
+    return append.append_profiles(*_batch(spark, sf_dir), K)
 
 
 @query

@@ -399,6 +399,7 @@ def pointers(name: str, source: str = "prof", keys: str = "lower(browser_name) |
 
 
 prof("pointers_per_channel", f", {pointers('ptr')} SELECT * FROM ptr")
+ORACLES["pointers_merged"] = ORACLES["pointers_per_channel"]
 ptr_latest = pointers("ptr", keys="lower(browser_name) || '/' || platform", where="channel = 'stable'")
 prof("pointers_latest", f", {ptr_latest} SELECT * FROM ptr")
 LATEST = f"lat AS (SELECT row_key, route, version FROM (SELECT row_key, {ROUTE} AS route, version, rank() OVER (PARTITION BY {ROUTE} ORDER BY {parts('version')} DESC) AS rk FROM prof WHERE channel = 'stable') WHERE rk = 1)"
@@ -540,6 +541,7 @@ prof(
     f"""SELECT row_key, id, browser_name AS browser, version, channel, platform, captured_at, trust, supersedes,
     len(list_filter(prov, lambda p: split_part(p.raw, ':', 1) = 'vendor')) > 0 AS draft, {PATH} AS path, sha256(hello_hex) AS hello_sha256, CAST(strlen(hello_hex) AS BIGINT) AS hello_bytes FROM prof""",
 )
+ORACLES["index_merged"] = ORACLES["corpus_index"]
 RELEASE_LINES = f"rl AS (SELECT coalesce({PATH}, id) AS path, coalesce({PATH}, id) || ' ' || coalesce(sha256(hello_hex), '') || chr(10) AS line FROM prof)"
 DEFECTS = " UNION ALL ".join(r for rs in RULES.values() for r in rs)
 APPEND = f""", d AS (SELECT row_key, min(field || chr(1) || kind) AS bad FROM ({DEFECTS}) GROUP BY row_key),
