@@ -27,6 +27,7 @@ from __future__ import annotations
 import hashlib
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -56,95 +57,184 @@ MARKS = frozenset(
 )
 REMARKS = frozenset("comment comments reply replies disqus respond".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
-TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>\"']*(?:\"[^\"]*\"[^>\"']*|'[^']*'[^>\"']*)*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?/][^>]*>", re.S)
+#: Parts that a class may have beside a mark and still mean it: site-nav, comments-list, but not with-sidebar.
+BESIDE = frozenset(
+    """site page top bottom left right main primary secondary post entry box bar block list item items link links slot unit area section wrap wrapper
+    container inner outer content body holder panel row group small large mobile desktop global local sticky fixed the id""".split()
+)
+OPEN = re.compile(r"<(?:(!--)|(/?)([a-zA-Z][^\s/>]*)|[!?/])")
+SPECIAL = re.compile(r"[>\"']")
 ATTRIBUTE = re.compile(r"([^\s=\"'<>/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 ARTICLE, LOOSE, MARKED = 2, 1, 0
 
 
-def _marks(attributes: str) -> tuple[set[str], bool]:
-    """Words of class and id, and whether a role or state marks the element."""
-    words: set[str] = set()
-    marked = False
+def _means(token: str) -> set[str]:
+    """The marks of one whole class or id: its parts, if all of them are marks, numbers or words beside marks."""
+    parts = set(re.split(r"[^a-z0-9]+", token)) - {""}
+    marks = parts & MARKS
+    return marks if all(p in marks or p in BESIDE or p[0].isdigit() for p in parts) else set()
+
+
+def _marks(attributes: str) -> tuple[set[str], bool, bool]:
+    """Marks of class and id, whether a role or state marks the element, and whether a class calls it main."""
+    marks: set[str] = set()
+    hard = main = False
     for m in ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
         if name in ("class", "id"):
-            words.update(re.split(r"[^a-z0-9]+", value))
+            for token in value.split():
+                marks |= _means(token)
+                main |= "main" in re.split(r"[^a-z0-9]+", token)
         elif name == "role":
-            marked |= bool(ROLES & set(value.split()))
+            hard |= bool(ROLES & set(value.split()))
         elif name == "hidden" or name == "aria-hidden" and value == "true":
-            marked = True
-    return words, marked
+            hard = True
+    return marks, hard, main and not marks
+
+
+def _tag_end(page: str, at: int, dead: set[int]) -> int:
+    """Where a tag ends whose name ends at ``at``: behind the first > outside of quotes; behind the first one, if quotes stay open.
+
+    ``dead`` holds the opening quotes from where no end was found, so no stretch of a page is searched twice.
+    """
+    end, seen = page.find(">", at), []
+    if page.find('"', at, end) < 0 and page.find("'", at, end) < 0:
+        return end + 1
+    while m := SPECIAL.search(page, at):
+        if m[0] == ">":
+            return m.end()
+        if m.start() in dead:
+            break
+        seen.append(m.start())
+        close = page.find(m[0], m.end())
+        if close < 0:
+            break
+        at = close + 1
+    dead.update(seen)
+    return end + 1
+
+
+class _Stack(list):
+    """Open elements (name, kind, in comments, class mark); knows where each name and the nearest block element is."""
+
+    def __init__(self):
+        self.where: dict[str, list[int]] = {}
 
+    def push(self, name: str, *state) -> None:
+        for key in (name,) if name in INLINE else (name, ""):
+            self.where.setdefault(key, []).append(len(self))
+        self.append((name, *state))
 
-def blocks(page: str) -> Iterator[tuple[int, str]]:
-    """(ARTICLE | LOOSE | MARKED, text) of every non-empty block in page order."""
-    stack: list[tuple[str, int, bool]] = []  # element, kind of its text, inside reader comments
-    parts: list[str] = []
-    kind, remarks, at = LOOSE, False, 0
+    def last(self, name: str = "") -> int:
+        places = self.where.get(name)
+        return places[-1] if places else -1
+
+    def cut(self, depth: int) -> None:
+        while len(self) > depth:
+            name = self.pop()[0]
+            for key in (name,) if name in INLINE else (name, ""):
+                self.where[key].pop()
+
+    def state(self):
+        return self[-1][1:] if self else (LOOSE, False, 0)
+
+
+def _blocks(page: str) -> Iterator[tuple[int, str, int]]:
+    """(kind, text, number of the element in an article that only its class marks, or 0) of every non-empty block.
+
+    One pass in time in proportion to the page, whatever its nesting and however broken its markup.
+    """
+    stack, parts, dead = _Stack(), [], set()
+    kind, remarks, soft = LOOSE, False, 0
+    at, n_soft, last = 0, 0, page.rfind(">")
 
     def flush():
         text = " ".join(html.unescape("".join(parts)).split())
         parts.clear()
         return text
 
-    while at <= len(page):
-        m = TAG.search(page, at)
+    while True:
+        m = OPEN.search(page, at)
+        # behind the last > only a comment can be markup
+        while m and m[1] is None and m.end() > last + 1:
+            at_comment = page.find("<!--", m.start())
+            m = OPEN.match(page, at_comment) if at_comment >= 0 else None
         parts.append(page[at : m.start() if m else len(page)])
         if m is None:
             break
-        at = m.end()
-        name = m[2] or m[5]
-        if name is None:
+        if m[1]:
+            end = page.find("-->", m.end())
+            at = end + 3 if end >= 0 else len(page)
             continue
-        name, closing, attributes = name.lower(), bool(m[1] or m[4]), m[3] or m[6] or ""
+        if not m[3]:
+            at = page.find(">", m.end()) + 1
+            continue
+        at = _tag_end(page, m.end(), dead)
+        name, closing, attributes = m[3].lower(), bool(m[2]), page[m.end() : at - 1]
         if name == "br":
             parts.append(" ")
             continue
         if name in INLINE and not attributes and not closing:
-            stack.append((name, kind, remarks))
+            stack.push(name, kind, remarks, soft)
             continue
-        words, marked = _marks(attributes) if attributes and not closing else (set(), False)
-        if name not in INLINE or marked or words & MARKS:
+        marks, hard, main = _marks(attributes) if attributes and not closing else (set(), False, False)
+        if name not in INLINE or hard or marks:
             if text := flush():
-                yield kind, text
+                yield kind, text, soft
         if closing:
-            depth = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name or name in INLINE and stack[k][0] not in INLINE), None)
-            if depth is not None and stack[depth][0] == name:
-                if any(stack[k][1] != kind for k in range(depth)) or depth == 0:
-                    below = (stack[depth - 1][1], stack[depth - 1][2]) if depth else (LOOSE, False)
-                    if below[0] != kind and (text := flush()):
-                        yield kind, text
-                del stack[depth:]
-                kind, remarks = (stack[-1][1], stack[-1][2]) if stack else (LOOSE, False)
+            depth = stack.last(name)
+            if depth >= 0 and (name not in INLINE or depth > stack.last()):
+                below = stack[depth - 1][1:] if depth else (LOOSE, False, 0)
+                if (below[0], below[2]) != (kind, soft) and (text := flush()):
+                    yield kind, text, soft
+                stack.cut(depth)
+                kind, remarks, soft = stack.state()
             continue
         if name in RAW:
             if attributes.rstrip().endswith("/") and name in ("svg", "math", "object"):
                 continue
-            end = re.compile(rf"</{name}\b[^>]*>", re.I).search(page, at)
-            at = end.end() if end else len(page)
+            end = re.compile(rf"</{name}\b", re.I).search(page, at)
+            at = page.find(">", end.end()) + 1 if end else 0
+            at = at or len(page)
             continue
         if name not in INLINE:  # a block ends an open paragraph, an item the item before
             ends = ("p", "li") if name == "li" else ("p", "dt", "dd") if name in ("dt", "dd") else ("p", "td", "th") if name in ("td", "th") else ("p",)
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] in ends:
-                    del stack[k:]
-                    kind, remarks = (stack[-1][1], stack[-1][2]) if stack else (LOOSE, False)
-                    break
-                if stack[k][0] not in INLINE:
-                    break
+            depth = stack.last()
+            if depth >= 0 and stack[depth][0] in ends:
+                stack.cut(depth)
+                kind, remarks, soft = stack.state()
         if name in VOID:
             continue
-        mine, within = kind, remarks or bool(words & REMARKS)
-        if name in ("article", "main") or "main" in words and name == "div":
-            mine = MARKED if within or marked else ARTICLE
+        mine, within, of = kind, remarks or bool(marks & REMARKS), soft
+        if name in ("article", "main") or main and name == "div":
+            mine, of = (MARKED, 0) if within or hard else (ARTICLE, 0)
         elif name in HEADINGS and kind == MARKED and len(stack) > 1 and stack[-1][0] == "header" and stack[-2][1] == ARTICLE:
-            mine = ARTICLE  # the title in an article's own header
-        elif name not in ("html", "body") and (name in DROPPED or marked or words & MARKS):
+            mine, of = ARTICLE, 0  # the title in an article's own header
+        elif name not in ("html", "body") and (name in DROPPED or hard or marks):
+            of = 0
+            if kind == ARTICLE and name not in DROPPED and not hard and not marks & REMARKS:
+                of = n_soft = n_soft + 1
             mine = MARKED
-        stack.append((name, mine, within))
-        kind, remarks = mine, within
+        stack.push(name, mine, within, of)
+        kind, remarks, soft = mine, within, of
     if text := flush():
-        yield kind, text
+        yield kind, text, soft
+
+
+def blocks(page: str) -> list[tuple[int, str]]:
+    """(ARTICLE | LOOSE | MARKED, text) of every non-empty block in page order.
+
+    An element with most of an article's words is not marked by its class alone (reader comments are).
+    """
+    found = list(_blocks(page))
+    if not any(soft for _, _, soft in found):
+        return [(kind, text) for kind, text, _ in found]
+    words: Counter[int] = Counter()
+    for kind, text, soft in found:
+        if soft or kind == ARTICLE:
+            words[soft] += text.count(" ") + 1
+    total = sum(words.values())
+    return [(ARTICLE if soft and 2 * words[soft] > total else kind, text) for kind, text, soft in found]
 
 
 class Hashes(dict):
@@ -184,7 +274,7 @@ def winnowed(key: np.ndarray, block: np.ndarray, dense: np.ndarray, window: int
 
 def _read(page: str | None) -> tuple[bool, list[tuple[bool, list[str]]]]:
     """Whether a page has an article; and of every block, whether it is a candidate for the text, and its words."""
-    own = list(blocks(page or ""))
+    own = blocks(page or "")
     has = any(kind == ARTICLE for kind, _ in own)
     return has, [(kind == (ARTICLE if has else LOOSE), text.split(" ")) for kind, text in own]
 

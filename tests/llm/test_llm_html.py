@@ -1,3 +1,5 @@
+import time
+
 from calipers.llm import html_text
 from calipers.llm.html_text import ARTICLE, LOOSE, MARKED, blocks
 
@@ -94,3 +96,33 @@ def test_a_phrase_of_two_pages_stays(spark):
     phrase = "to be or not to be that is the question"
     pages = [f"<div>{' '.join(unlike(k))} {phrase} {' '.join(unlike(k + 9))}</div>" for k in range(2)]
     assert texts_of(spark, pages) == [p[5:-6] for p in pages]
+
+
+def test_a_class_counts_as_a_whole_and_never_takes_most_of_an_article():
+    story = "the whole story of a long day " * 5
+    for page in (
+        f'<article><div class="content with-sidebar"><p>{story}</p></div></article>',
+        f'<article><section class="search-engines"><p>{story}</p></section></article>',
+        f'<article><div class="form"><p>{story}</p></div><p>end</p></article>',
+    ):
+        assert story.strip() in article(page)
+    page = f'<article><div class="widget"><p>{story}</p><div class="site-nav">menu</div><nav>list</nav></div><p class="ad-slot ad-300x250">buy</p><p>end</p></article>'
+    assert article(page) == [story.strip(), "end"]
+    assert article(f'<article><p>short</p><div class="comments-list"><p>{story}</p></div></article>') == ["short"]
+
+
+def test_quotes_hide_the_end_of_a_tag_unless_they_stay_open():
+    assert article('<article><p title="a > b">one</p><p title=\'x"\'>two</p></article>') == ["one", "two"]
+    assert article('<article><p title="open>one</p><p>two</p></article>') == ["one", "two"]
+    assert article("<article><p>a < b and <3 <!-- cut > here --> c</p></article><a tail") == ["a < b and <3 c"]
+    assert blocks("x <a tail <!-- gone") == [(LOOSE, "x <a tail")]
+
+
+def test_broken_and_deep_pages_take_time_in_proportion():
+    n = 100_000
+    pages = ["<a " * n, "<a " * n + ">", "<div>" * n, "<div>" * n + "</div>" * n, "<i>" * n + "</b>" * n, "<b>" + "<div>" + "<i>" * n + "</b>" * n, "<i>" * n + "<hr>" * n,
+             '<a ">' * n + '"', "<a '>\"" * n, "<script " * n, "<script></script " * n, "</ " * n, "<!" * n, "<p>" * n, "<article><div class=ad>" * n + "x"]
+    for page in pages:
+        started = time.monotonic()
+        blocks(page)
+        assert time.monotonic() - started < 10, page[:40]
