@@ -609,6 +609,15 @@ def append_refusals(spark, sf_dir):
     return _append(spark, sf_dir)[1]
 
 
+@query
+def append_stored(spark, sf_dir):
+    """The pointers of a stored tree after a batch was appended to it."""
+    batch, published = _batch(spark, sf_dir)
+    files.write_profile_store(published, root := shared_folder(spark))
+    files.append_to_store(spark, root, batch, K)
+    return files.read_profile_store(spark, root)[1].withColumnRenamed("folder", "key")
+
+
 @query
 def independent_sources(spark, sf_dir):
     return movements.independent_sources(T.profiles(spark, sf_dir), K).select("row_key", "sources", "source_versions")

@@ -544,14 +544,15 @@ prof(
 ORACLES["index_merged"] = ORACLES["corpus_index"]
 RELEASE_LINES = f"rl AS (SELECT coalesce({PATH}, id) AS path, coalesce({PATH}, id) || ' ' || coalesce(sha256(hello_hex), '') || chr(10) AS line FROM prof)"
 DEFECTS = " UNION ALL ".join(r for rs in RULES.values() for r in rs)
-APPEND = f""", d AS (SELECT row_key, min(field || chr(1) || kind) AS bad FROM ({DEFECTS}) GROUP BY row_key),
+APPEND = f""", d AS (SELECT row_key, list(DISTINCT field || chr(1) || kind) AS bad FROM ({DEFECTS}) GROUP BY row_key),
   rt AS (SELECT row_key, id, {PATH} AS path, supersedes, hello_hex, bad FROM prof LEFT JOIN d USING (row_key)), st AS (SELECT * FROM rt WHERE row_key % 4 <> 1),
-  no AS (SELECT row_key, id, path, CASE WHEN bad IS NOT NULL THEN bad WHEN path IS NULL THEN 'route' WHEN hello_hex IS NULL THEN 'raw.client_hello_hex' || chr(1) || 'missing'
-     WHEN path IN (SELECT path FROM st WHERE path IS NOT NULL) THEN 'path' || chr(1) || 'already published' WHEN supersedes IS NOT NULL AND supersedes NOT IN (SELECT id FROM st WHERE id IS NOT NULL) THEN 'supersedes' || chr(1) || 'not stored' END AS no
+  no AS (SELECT row_key, id, path, CASE WHEN bad IS NOT NULL THEN bad WHEN path IS NULL THEN ['route'] WHEN path IN (SELECT path FROM st WHERE path IS NOT NULL) THEN ['path' || chr(1) || 'already published']
+     WHEN supersedes IS NOT NULL AND supersedes NOT IN (SELECT id FROM st WHERE id IS NOT NULL) THEN ['supersedes' || chr(1) || 'not stored'] WHEN hello_hex IS NULL THEN ['raw.client_hello_hex' || chr(1) || 'missing'] END AS no
      FROM rt WHERE row_key % 4 = 1),
   op AS (SELECT *, row_number() OVER (PARTITION BY path ORDER BY row_key) AS n FROM no WHERE no IS NULL)"""
 prof("append_accepted", f"{APPEND} SELECT row_key, id, path FROM op WHERE n = 1")
-prof("append_refusals", f"{APPEND} SELECT row_key, split_part(no, chr(1), 1) AS field, split_part(no, chr(1), 2) AS why FROM no WHERE no IS NOT NULL UNION ALL SELECT row_key, 'path', 'earlier in this batch' FROM op WHERE n > 1")
+prof("append_refusals", f"{APPEND} SELECT row_key, split_part(u, chr(1), 1) AS field, split_part(u, chr(1), 2) AS why FROM (SELECT row_key, unnest(no) AS u FROM no WHERE no IS NOT NULL) UNION ALL SELECT row_key, 'path', 'earlier in this batch' FROM op WHERE n > 1")
+prof("append_stored", f"{APPEND}, now AS (SELECT * FROM prof WHERE row_key % 4 <> 1 OR row_key IN (SELECT row_key FROM op WHERE n = 1)), {pointers('ptr', 'now')} SELECT * FROM ptr")
 SOURCES = """src AS (SELECT DISTINCT browser_name AS browser, array_to_string(string_split(version, '.')[1:3], '.') AS build,
   platform || ' via ' || CASE WHEN operator = '' THEN 'an operator nobody recorded' ELSE operator END AS source, version FROM prof),
   cnts AS (SELECT browser, build, count(DISTINCT source) AS sources, count(*) AS source_versions FROM src GROUP BY ALL)"""

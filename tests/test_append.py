@@ -7,22 +7,52 @@ from pyspark.sql import functions as F
 
 from calipers.operators import append, captures, coherence, movements, pointers, publish, vectors
 from calipers.plans import fixtures as T
+from calipers.sources import files
+
+
+def clean(version="160.0.1.1", name="Chrome", channel="stable", **fields):
+    """A profile that no rule finds fault with."""
+    major = int(version.split(".")[0] or 0)
+    return planted(**{"id": f"{name.lower()}-{version}-linux64-{channel}", "browser.name": name, "browser.version": version, "browser.major": major, "browser.channel": channel, **fields})
 
 
 def test_refusals_name_field_and_reason(spark):
-    stored = frame(spark, [planted(id="old")])
+    stored = frame(spark, [clean(version="149.0.8103.1")])
     batch = frame(spark, [
-        planted(id="a", **{"browser.version": "160.0.1.1"}), planted(id="b", **{"browser.version": "160.0.1.1"}), planted(id="c"),
-        planted(id="d", **{"browser.version": "160.0.1.2", "supersedes": "nobody"}), planted(id="e", **{"browser.version": "160.0.1.3", "raw.client_hello_hex": None}),
+        clean(), clean(), clean(version="149.0.8103.1"), clean(version="160.0.1.2", supersedes="nobody"),
+        clean(version="160.0.1.3", supersedes="chrome-149.0.8103.1-linux64-stable"),
+        clean(version="149.0.8103.1", supersedes="nobody", **{"raw.client_hello_hex": None}),
+        clean(version="", **{"captured.at": "yesterday"}),
     ])
-    clean = {r.n for r in batch.select("n").collect()} - {r.n for r in append.profile_defects(batch, ["n"]).select("n").collect()}
+    faults = {}
+    for r in append.profile_defects(batch, ["n"]).select("n", "field", "kind").collect():
+        faults.setdefault(r.n, set()).add((r.field, r.kind))
     accepted, refused = append.append_profiles(batch, stored, ["n"])
-    why = {r.n: (r.field, r.why) for r in refused.collect()}
-    took = {r.n for r in accepted.collect()}
-    assert took | set(why) == {0, 1, 2, 3, 4} and not took & set(why)
-    for n, reason in {1: ("path", "earlier in this batch"), 2: ("path", "already published"), 3: ("supersedes", "not stored")}.items():
-        if n in clean and (n != 1 or 0 in took):
-            assert why[n] == reason
+    why = {}
+    for r in refused.collect():
+        why.setdefault(r.n, set()).add((r.field, r.why))
+    assert not faults.keys() & {0, 1, 2, 3, 4} and len(faults[6]) > 1
+    assert {r.n for r in accepted.collect()} == {0, 4}
+    assert why[6] == faults[6]  # all of them
+    assert (why[1], why[2], why[3]) == ({("path", "earlier in this batch")}, {("path", "already published")}, {("supersedes", "not stored")})
+    assert why[5] == faults.get(5, {("path", "already published")})
+
+
+def test_a_batch_is_written_once(spark, tmp_path):
+    root, again = str(tmp_path / "a"), str(tmp_path / "b")
+    old = frame(spark, [clean(version="149.0.8103.1"), clean(name="Edge"), clean(version="150.0.0.1", channel="beta")])
+    batch = frame(spark, [clean(version="149.0.8103.1"), clean(version="150.0.1.1"), clean(version="150.0.1.1"), clean(name="Firefox", version="9.0"), clean(version="", id=None)])
+    batch = batch.withColumn("n", F.col("n") + 10)
+    files.write_profile_store(old, root)
+    accepted, refused = files.append_to_store(spark, root, batch, ["n"])
+    assert {r.n for r in accepted.collect()} == {11, 13} and {r.n for r in refused.collect()} == {10, 12, 14}
+    files.write_profile_store(old.unionByName(batch.where("n IN (11, 13)")), again)
+    rows = lambda at: [sorted(map(str, df.select(sorted(df.columns)).collect())) for df in files.read_profile_store(spark, at)]
+    assert rows(root) == rows(again) and len(rows(root)[0]) == 5
+    accepted, refused = files.append_to_store(spark, root, batch, ["n"])
+    assert accepted.count() == 0 and rows(root) == rows(again)
+    added, _ = files.append_to_store(spark, root, batch.limit(0), ["n"])
+    assert added.count() == 0 and rows(root) == rows(again)
 
 
 def test_capture_and_specification_vectors(spark):
