@@ -34,6 +34,7 @@ from calipers.plans import fixtures as T
 from calipers.sources import files
 from calipers.sources.shared import shared_folder, stored as stored_table
 from calipers.streaming import captures as streams
+from calipers.streaming import runs
 
 K = ("row_key",)
 DECODES = ("gzip", "deflate", "br")
@@ -1096,6 +1097,48 @@ def stream_sampling(spark, sf_dir):
     return out.select("navigation", _minutes("run_start"), "accepted", "completed", "distinct_grease_draws", "distinct_extension_orders")
 
 
+RUN_DELAY = "3 days"
+
+
+def _arrivals(events: DataFrame) -> DataFrame:
+    """Events by when they arrive: six days each, every fifth one delivery later, every seventeenth in the last."""
+    own = F.floor((F.dayofmonth("ts") - 1) / 6)
+    part = F.when(F.col("event_id") % 17 == 0, 4).when(F.col("event_id") % 5 == 0, F.least(own + 1, F.lit(4))).otherwise(F.least(own, F.lit(4)))
+    return events.withColumn("part", part.cast("int"))
+
+
+def capture_run(spark: SparkSession, sf_dir: str, grouping: runs.Grouping) -> runs.CaptureRun:
+    """Five deliveries, the stream stopped after each and resumed from its checkpoint, then the closing step."""
+    base = shared_folder(spark)
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    run = runs.CaptureRun(spark, f"{base}/run", grouping, RUN_DELAY)
+    for part in range(5):
+        _arrivals(events).where(F.col("part") == part).drop("part").write.mode("append").parquet(f"{base}/in")
+        run.start(T.captures_from(spark.readStream.schema(events.schema).parquet(f"{base}/in")), availableNow=True).awaitTermination()
+    run.close()
+    return run
+
+
+@query
+def stream_halves_run(spark, sf_dir):
+    """Sessions of rows in time."""
+    out = capture_run(spark, sf_dir, runs.halves()).results()
+    return out.select("navigation", _minutes("session_start"), "connections", "tls_from", "http2_from")
+
+
+@query
+def stream_sampling_run(spark, sf_dir):
+    """Run windows of rows in time."""
+    out = capture_run(spark, sf_dir, runs.sampling()).results()
+    return out.select("navigation", _minutes("run_start"), "accepted", "completed", "distinct_grease_draws", "distinct_extension_orders")
+
+
+@query
+def stream_late_rows(spark, sf_dir):
+    """Rows that came after their session was closed."""
+    return capture_run(spark, sf_dir, runs.halves()).late().select("navigation", "connection")
+
+
 @query
 def stream_captures(spark, sf_dir):
     """Capture lines written as text, read as a stream and split by status."""

@@ -800,3 +800,18 @@ ORACLES["stream_sampling"] = f"""{CAPS}, w AS (SELECT *, time_bucket(INTERVAL 6
   SELECT navigation, strftime(run, '%Y-%m-%d %H:%M:%S') AS run_start, count(*) AS accepted, count(*) FILTER (done) AS completed,
   count(DISTINCT {G_TEXT}) FILTER (done AND has_tls) AS distinct_grease_draws, count(DISTINCT {E_TEXT}) FILTER (done AND has_tls) AS distinct_extension_orders
   FROM w GROUP BY navigation, run"""
+
+ARRIVE = f"""{CAPS}, ow AS (SELECT *, CAST(floor((dayofmonth(ts) - 1) / 6) AS INT) AS own FROM caps),
+  ar AS (SELECT *, CASE WHEN connection % 17 = 0 THEN 4 WHEN connection % 5 = 0 THEN least(own + 1, 4) ELSE least(own, 4) END AS part FROM ow),
+  mk AS (SELECT part, max(max(ts)) OVER (ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 3 DAY AS mark FROM ar GROUP BY part),
+  am AS (SELECT ar.*, mark FROM ar JOIN mk USING (part))"""
+ORACLES["stream_halves_run"] = f"""{ARRIVE}, it AS (SELECT * FROM am WHERE mark IS NULL OR ts >= mark),
+  g AS (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY navigation ORDER BY ts) < INTERVAL 2 HOUR THEN 0 ELSE 1 END AS opens_session FROM it),
+  s AS (SELECT *, sum(opens_session) OVER (PARTITION BY navigation ORDER BY ts) AS sid FROM g)
+  SELECT navigation, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS session_start, count(*) AS connections, min(connection) FILTER ({COLD}) AS tls_from, min(connection) FILTER ({H2}) AS http2_from
+  FROM s GROUP BY navigation, sid"""
+ORACLES["stream_sampling_run"] = f"""{ARRIVE}, w AS (SELECT *, time_bucket(INTERVAL 6 HOUR, ts) AS run, {DONE} AS done FROM am WHERE mark IS NULL OR time_bucket(INTERVAL 6 HOUR, ts) + INTERVAL 6 HOUR > mark)
+  SELECT navigation, strftime(run, '%Y-%m-%d %H:%M:%S') AS run_start, count(*) AS accepted, count(*) FILTER (done) AS completed,
+  count(DISTINCT {G_TEXT}) FILTER (done AND has_tls) AS distinct_grease_draws, count(DISTINCT {E_TEXT}) FILTER (done AND has_tls) AS distinct_extension_orders
+  FROM w GROUP BY navigation, run"""
+ORACLES["stream_late_rows"] = f"{ARRIVE} SELECT navigation, connection FROM am WHERE ts < mark"
