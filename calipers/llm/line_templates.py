@@ -2,10 +2,13 @@
 
 Every line of MIN_TOKENS or more tokens goes down a tree of fixed depth: first by its number of
 tokens, then by its first LEADING tokens, where a token with a digit counts as the field <*>. Among
-the lines of one leaf, a token that stands at its place in at least MIN_DOCS of them is constant and
-any other is a field too; what remains is the line's template. A template with at least CONSTANT of
-its tokens constant that occurs in MIN_DOCS or more documents, at MIN_PLACES or more different
-places (line number and number of lines), recurs, and its lines are dropped from every document.
+the lines of one leaf, a token that stands at its place in at least MIN_DOCS of them and in a share of
+SHARE or more is constant, and any other is a field too; what remains is the line's template. A share
+keeps a field a field in a table of any size, however often each of its values comes. A template with
+at least CONSTANT of its tokens constant recurs where it occurs in MIN_DOCS or more documents, at
+MIN_PLACES or more different places (line number and number of lines); so does a line by itself, with
+digits masked, that does, as the rarer of several templates of a leaf has no share. Lines of what
+recurs are dropped from every document.
 Places tell boilerplate from copies: copies of a document have a line at the same place, whatever
 their number, and are left to the operators that look for copies.
 
@@ -21,7 +24,7 @@ from pyspark.sql import functions as F
 
 from calipers.llm.common import BLANK_RUN, BLANKS, settle, table
 
-MIN_TOKENS, LEADING, CONSTANT = 4, 4, 0.7
+MIN_TOKENS, LEADING, CONSTANT, SHARE = 4, 4, 0.7, 0.3
 MIN_DOCS = MIN_PLACES = 3
 #: Rows of 8 or 16 bytes up to which a counted table is broadcast; beyond it the join is a shuffle.
 BROADCAST_ROWS = 200_000
@@ -64,14 +67,18 @@ def recurring_lines(documents: DataFrame, id_col: str = "doc_id", text_col: str
     inside = settle(every.join(_hinted(leaves), "leaf", "left_semi").withColumn("line", F.xxhash64("toks")))
     kinds = inside.groupBy("leaf", "line").agg(F.count(F.lit(1)).alias("n"), F.first("toks").alias("toks"))
     tokens = settle(kinds).select("leaf", "line", "n", F.posexplode("toks").alias("at", "tok"))
-    support = tokens.groupBy("leaf", "at", "tok").agg(F.sum("n").alias("support")).filter(F.col("support") >= MIN_DOCS).withColumn("constant", F.col("tok") != "<*>")
-    told = tokens.join(settle(support.select("leaf", "at", "tok", "constant")), ["leaf", "at", "tok"], "left")
-    field = F.when(F.coalesce("constant", F.lit(False)), F.col("tok")).otherwise(F.lit("<*>"))
-    templates = told.groupBy("leaf", "line").agg(F.bit_xor(F.xxhash64("at", field)).alias("template"), F.sum(F.coalesce("constant", F.lit(False)).cast("int")).alias("fixed"), F.count(F.lit(1)).alias("length"))
+    support = settle(tokens.groupBy("leaf", "at", "tok").agg(F.sum("n").alias("support")))
+    lines_of = support.filter("at = 0").groupBy("leaf").agg(F.sum("support").alias("all"))  # each line has one first token
+    often = support.filter((F.col("support") >= MIN_DOCS) & (F.col("tok") != "<*>")).join(_hinted(settle(lines_of)), "leaf")
+    constant = often.filter(F.col("support") >= SHARE * F.col("all")).select("leaf", "at", "tok", F.lit(True).alias("constant"))
+    told = tokens.join(settle(constant), ["leaf", "at", "tok"], "left").withColumn("constant", F.coalesce("constant", F.lit(False)))
+    field = F.when(F.col("constant"), F.col("tok")).otherwise(F.lit("<*>"))
+    templates = told.groupBy("leaf", "line").agg(F.bit_xor(F.xxhash64("at", field)).alias("template"), F.sum(F.col("constant").cast("int")).alias("fixed"), F.count(F.lit(1)).alias("length"))
     templates = settle(templates.filter(F.col("fixed") >= CONSTANT * F.col("length")).select("leaf", "line", "template"))
-    met = inside.groupBy("leaf", "line", "id").agg(F.min("place").alias("place")).join(templates, ["leaf", "line"])
-    kept = settle(recurring(met.select("leaf", "template", "id", "place"), "leaf", "template"))
-    return inside, templates.join(kept, ["leaf", "template"], "left_semi").select("leaf", "line")
+    met = settle(inside.groupBy("leaf", "line", "id").agg(F.min("place").alias("place")))
+    kept = settle(recurring(met.join(templates, ["leaf", "line"]).select("leaf", "template", "id", "place"), "leaf", "template"))
+    drop = templates.join(kept, ["leaf", "template"], "left_semi").select("leaf", "line").unionByName(recurring(met, "leaf", "line"))
+    return inside, drop.distinct()
 
 
 def drop_lines(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -115,15 +122,20 @@ WITH d AS (
 ), u AS (
   SELECT n, ld, toks, c, unnest(toks) AS tok, unnest(range(len(toks))) AS ix FROM k
 ), w AS (
-  SELECT *, sum(c) OVER (PARTITION BY n, ld, ix, tok) >= 3 AND tok <> '<*>' AS fixed FROM u
+  SELECT *, sum(c) OVER (PARTITION BY n, ld, ix, tok) >= greatest(3, 0.3 * sum(c) OVER (PARTITION BY n, ld, ix)) AND tok <> '<*>' AS fixed FROM u
 ), m AS (
   SELECT n, ld, toks, list(CASE WHEN fixed THEN tok ELSE '<*>' END ORDER BY ix) AS template FROM w GROUP BY ALL HAVING count(*) FILTER (fixed) >= 0.7 * count(*)
 ), p AS (
   SELECT n, ld, template, doc_id, min((n_lines, pos)) AS place FROM i JOIN m USING (n, ld, toks) GROUP BY ALL
 ), q AS (
   SELECT n, ld, template FROM p GROUP BY ALL HAVING count(*) >= 3 AND count(DISTINCT place) >= 3
+), z AS (
+  SELECT n, ld, toks, doc_id, min((n_lines, pos)) AS place FROM i GROUP BY ALL
+), y AS (
+  SELECT n, ld, toks FROM z GROUP BY ALL HAVING count(*) >= 3 AND count(DISTINCT place) >= 3
 ), g AS (
   SELECT i.r, i.pos FROM i JOIN m USING (n, ld, toks) SEMI JOIN q USING (n, ld, template)
+  UNION SELECT i.r, i.pos FROM i SEMI JOIN y USING (n, ld, toks)
 ), o AS (
   SELECT e.r, count(*) AS n_lines, count(g.pos) AS n_dropped, string_agg(CASE WHEN g.pos IS NULL THEN l END, chr(10) ORDER BY e.pos) AS kept
   FROM e LEFT JOIN g ON g.r = e.r AND g.pos = e.pos GROUP BY e.r

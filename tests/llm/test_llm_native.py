@@ -56,6 +56,25 @@ def test_recurring_templates_go_and_copies_stay(spark):
     assert line_templates.drop_lines(documents(spark)).count() == 9 and line_templates.drop_lines(empty(spark)).count() == 0
 
 
+def test_a_field_stays_a_field_in_a_table_of_any_size(spark):
+    """The same forms with 1 and 20 times the documents: the same lines go."""
+    def dropped(docs):
+        texts = [
+            (k, "\n".join([f"w{chr(97 + k % 7)} x{chr(97 + k // 7 % 26)}q own{k} words of this text"] * (k % 5 + 1) + [f"dear reader here comes {chr(65 + k % 40)}name from {chr(65 + k % 41)}city with our weekly news again", f"closing words number {'ab'[k % 2] * (1 + k % 9)} end"]))
+            for k in range(docs)
+        ]
+        df = spark.createDataFrame(texts, "doc_id long, text string")
+        return sum("weekly" not in r["text"] for r in line_templates.drop_lines(df).select("text").collect())
+
+    assert (dropped(40), dropped(800)) == (40, 800)
+
+
+def test_the_rarer_of_two_templates_of_a_leaf_goes_too(spark):
+    line = lambda k: "see all the terms below before you buy" if k % 10 else "see all the terms of our partner shops"
+    df = spark.createDataFrame([(k, "\n".join(["x"] * (k % 7) + [line(k)])) for k in range(100)], "doc_id long, text string")
+    assert {r["n_dropped"] for r in line_templates.drop_lines(df).select("n_dropped").collect()} == {1}
+
+
 def test_url_rules(spark):
     urls = [
         "http://a.net/x", "http://a.net", "http://Example.NET/en/1?x", "http://b.example.net/en", "https://notexample.com/de/", "https://m.example.com/de/a#b", "ftp://x.org/fr/", "x.org/fr/",
