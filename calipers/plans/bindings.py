@@ -12,6 +12,7 @@ from calipers.functions import http as H
 from calipers.functions import identity as I
 from calipers.functions import tls as X
 from calipers.functions import versions as V
+from calipers.functions.text import ascii_lower
 from calipers.operators import (
     append,
     captures as C,
@@ -708,13 +709,26 @@ def change_facts(spark, sf_dir):
     return out.select("route", F.col("ordinal").cast("bigint").alias("ordinal"), "fact")
 
 
+def _format_trips(spark, sf_dir):
+    """Profiles written in three formats and read back; the files of two of them lack some rows."""
+    p = T.profiles(spark, sf_dir)
+    routed = p.withColumn("route", I.route_key())
+    files.write_lossless(p.drop("row_key"), lines := shared_folder(spark))
+    back = files.read_lossless(spark, lines, S.ddl(S.PROFILE)).withColumn("route", I.route_key())
+    out = files.round_trips(routed, back, list(S.PROFILE), "ndjson")
+    key = F.concat_ws("/", ascii_lower(F.col("browser")), F.col("channel"), I.platform_token("os", "arch"))
+    flat = lambda df: df.withColumn("route", key)
+    for fmt, sep, m in (("csv", ",", 211), ("tsv", "\t", 307)):
+        files.write_flat(p.where(F.col("row_key") % m != 0).drop("row_key"), path := shared_folder(spark), sep)
+        out = out.unionByName(files.round_trips(flat(p.select(*publish.flat_columns())), flat(files.read_flat(spark, path, sep)), list(S.FLAT_COLUMNS), fmt))
+    return out
+
+
 def _conditions(spark, sf_dir):
     p = T.profiles(spark, sf_dir)
-    found = rules.profile_defects(p, K).agg(F.count("*").alias("findings"))
-    lost = lambda m: F.when(F.col("row_key") % m == 0, 1).otherwise(0)
-    tried = F.array(*[F.struct(F.lit(f).alias("format"), n.alias("lost")) for f, n in (("ndjson", F.lit(0)), ("csv", lost(211)), ("tsv", lost(307)))])
-    formats = p.select(I.route_key().alias("route"), F.explode(tried).alias("t")).groupBy("route", "t.format").agg(F.sum("t.lost").alias("lost"), F.lit(0).alias("invented"))
-    return movements.merge_conditions(_moved(spark, sf_dir), p, found, formats)
+    found = rules.profile_defects(p, K).agg(F.count("*").alias("n")).unionByName(coherence.rollup(p, _checks(), K).agg(F.sum("findings").alias("n")))
+    findings = found.agg(F.sum("n").cast("bigint").alias("findings"))
+    return movements.merge_conditions(_moved(spark, sf_dir), p, findings, _format_trips(spark, sf_dir))
 
 
 @query

@@ -628,14 +628,17 @@ ORACLES["unpredicted_fields"] = f"{MOVED}, {UNPRED} SELECT * FROM up"
 ORACLES["change_facts"] = f"""{MOVED} SELECT route, CAST(0 AS BIGINT) AS ordinal, CASE movement WHEN 'added' THEN 'new: ' || id || ' at ' || to_version ELSE 'advanced: ' || route || ' from ' || from_version || ' to ' || to_version END AS fact FROM mv
   UNION ALL SELECT key, row_number() OVER (PARTITION BY key ORDER BY grp, ord), field FROM ch
   UNION ALL SELECT NULL, 0, (SELECT count(*) FROM prof) || ' profile(s) after this change' WHERE (SELECT count(*) FROM mv) > 0"""
-MERGE = f"""{MOVED}, {UNPRED}, {SOURCES}, fnd AS (SELECT CAST(sum(findings) AS BIGINT) AS n FROM ({ORACLES['defect_totals']})), ft AS (SELECT {ROUTE} AS route, CASE WHEN bool_or(row_key % 211 = 0) THEN 1 ELSE 0 END + CASE WHEN bool_or(row_key % 307 = 0) THEN 1 ELSE 0 END AS failing FROM prof GROUP BY 1), un AS (SELECT route, count(*) AS n FROM up GROUP BY route),
-  base AS (SELECT mv.route AS route, class, coalesce(un.n, 0) AS off, coalesce(rg.n, 0) AS reg, coalesce(cnts.sources, 0) AS srcs, fnd.n AS found, ft.failing AS failing FROM mv LEFT JOIN un ON un.route = mv.route LEFT JOIN rg ON rg.key = mv.route
-    LEFT JOIN cnts ON cnts.browser = mv.name AND cnts.build = array_to_string(string_split(mv.to_version, '.')[1:3], '.') LEFT JOIN ft ON ft.route = mv.route CROSS JOIN fnd),
+MERGE = f"""{MOVED}, {UNPRED}, {SOURCES}, fnd AS (SELECT CAST(sum(n) AS BIGINT) AS n FROM (SELECT sum(findings) AS n FROM ({ORACLES['defect_totals']}) UNION ALL SELECT sum(findings) FROM ({ORACLES['coherence_rollup']}))),
+  ft AS (SELECT {ROUTE} AS route, concat_ws(', ', CASE WHEN bool_or(row_key % 211 = 0) THEN 'csv' END, CASE WHEN bool_or(row_key % 307 = 0) THEN 'tsv' END) AS failing FROM prof GROUP BY 1),
+  un AS (SELECT route, count(*) AS n, string_agg(field, ', ' ORDER BY ordinal) AS names FROM up GROUP BY route), rn AS (SELECT key, string_agg(field || ' became ' || became, '; ' ORDER BY field || ' became ' || became) AS names FROM ({regressed('adv')}) GROUP BY key),
+  sn AS (SELECT browser, build, string_agg(source || ' (' || v || ')', '; ' ORDER BY source) AS names FROM (SELECT browser, build, source, string_agg(version, ', ' ORDER BY version) AS v FROM src GROUP BY ALL) GROUP BY ALL),
+  base AS (SELECT mv.route AS route, class, un.names AS off, rn.names AS reg, coalesce(cnts.sources, 0) AS srcs, sn.names AS named, fnd.n AS found, ft.failing AS failing FROM mv LEFT JOIN un ON un.route = mv.route LEFT JOIN rn ON rn.key = mv.route
+    LEFT JOIN cnts ON cnts.browser = mv.name AND cnts.build = array_to_string(string_split(mv.to_version, '.')[1:3], '.') LEFT JOIN sn ON sn.browser = cnts.browser AND sn.build = cnts.build LEFT JOIN ft ON ft.route = mv.route CROSS JOIN fnd),
   cd AS (SELECT route, 0 AS ordinal, 'the validator passes with no findings' AS condition, found = 0 AS met, found || ' finding(s)' AS detail FROM base
-    UNION ALL SELECT route, 1, 'the capture agrees across two independent sources', srcs >= 2, srcs || ' source(s)' FROM base
-    UNION ALL SELECT route, 2, 'no field regressed to vendor or became unreproducible', reg = 0, reg || ' regression(s)' FROM base
-    UNION ALL SELECT route, 3, 'the diff touches only fields this change class predicts', off = 0, 'class ' || class || ', unpredicted ' || off FROM base
-    UNION ALL SELECT route, 4, 'every generated format round-trips', coalesce(failing = 0, FALSE), CASE WHEN failing IS NULL THEN '0 of 0' ELSE failing || ' of 3' END || ' format(s) differ' FROM base)"""
+    UNION ALL SELECT route, 1, 'the capture agrees across two independent sources', srcs >= 2, coalesce(named, 'no source recorded') FROM base
+    UNION ALL SELECT route, 2, 'no field regressed to vendor or became unreproducible', reg IS NULL, coalesce(reg, 'none') FROM base
+    UNION ALL SELECT route, 3, 'the diff touches only fields this change class predicts', off IS NULL, 'class ' || class || coalesce(', unpredicted: ' || off, ', predicting ' || CASE class WHEN 'new-route' THEN '' ELSE 'browser.version' END) FROM base
+    UNION ALL SELECT route, 4, 'every generated format round-trips', coalesce(failing = '', FALSE), CASE WHEN failing IS NULL THEN 'no format tried' WHEN failing = '' THEN 'every format read back' ELSE 'did not read back: ' || failing END FROM base)"""
 ORACLES["merge_conditions"] = f"{MERGE} SELECT route, CAST(ordinal AS BIGINT) AS ordinal, condition, met, detail FROM cd"
 ORACLES["mergeable_routes"] = f"{MERGE} SELECT route, bool_and(met) AS met FROM cd GROUP BY route"
 ORACLES["batch_conditions"] = f"{MERGE} SELECT CAST(ordinal AS BIGINT) AS ordinal, condition, bool_and(met) AS met, count(*) FILTER (NOT met) AS failing_routes FROM cd GROUP BY ordinal, condition"

@@ -93,6 +93,11 @@ def test_movements_classes_and_conditions(spark):
     met = {(r.route, r.ordinal): r.met for r in conditions.collect()}
     assert met["chrome/stable/linux64", 1] is True and met["chrome/beta/linux64", 1] is False
     assert [met[f"chrome/{c}/linux64", 4] for c in ("stable", "beta", "esr")] == [True, False, False]
+    said = {(r.route, r.ordinal): r.detail for r in conditions.collect()}
+    assert said["chrome/beta/linux64", 4] == "did not read back: csv" and said["chrome/stable/linux64", 4] == "every format read back" and said["chrome/esr/linux64", 4] == "no format tried"
+    two = said["chrome/stable/linux64", 1].split("; ")
+    assert len(two) == 2 and two[1] == "linux64 via other (149.0.1.9)" and two[0].endswith("(149.0.1.1)")
+    assert said["chrome/stable/linux64", 3] == "class patch-bump, predicting browser.version" and said["chrome/stable/linux64", 2] == "none"
     assert {r.route for r in movements.mergeable_routes(conditions).where("met").collect()} == {"chrome/stable/linux64"}
     findings = movements.merge_conditions(moved, frame(spark, after), spark.createDataFrame([(3,)], "findings long"), formats)
     assert {(r.met, r.detail) for r in findings.where("ordinal = 0").collect()} == {(False, "3 finding(s)")}
