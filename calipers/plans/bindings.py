@@ -633,9 +633,8 @@ def source_versions(spark, sf_dir):
 @query
 def vector_check(spark, sf_dir):
     """Three computed strings per profile against the vectors of another snapshot, which has none for unnamed operators."""
-    lists = T.profiles(spark, sf_dir, "after").where("captured.operator <> ''").select("row_key", X.ja4_lists(F.col("tls")).alias("l"))
-    wrong = F.when(F.col("row_key") % 37 == 0, "?").otherwise("")
-    expected = lists.select("row_key", X.ja4(F.col("l")).alias("ja4"), F.concat(X.ja4_r(F.col("l")), wrong).alias("ja4_r"), X.ja4_ro(F.col("l")).alias("ja4_ro"))
+    expected = vectors.written_vectors(T.profiles(spark, sf_dir, "after").where("captured.operator <> ''"), K)
+    expected = expected.withColumn("ja4_r", F.concat("ja4_r", F.when(F.col("row_key") % 37 == 0, "?").otherwise("")))
     return vectors.capture_vectors(T.profiles(spark, sf_dir), expected, K).groupBy("name", "state").agg(F.count("*").alias("profiles"))
 
 
@@ -645,10 +644,9 @@ def vector_sections(spark, sf_dir):
     p = T.profiles(spark, sf_dir).select("row_key", X.ja4_lists(F.col("tls"))["ciphers_sorted"].alias("c"), F.coalesce(F.get("tls.alpn", F.lit(0)), F.lit("")).alias("a"))
     digest_ = F.substring(F.sha2("c", 256), 1, 12)
     wrong = lambda m: F.when(F.col("row_key") % m == 0, "?").otherwise("")
-    alpn = F.when(F.col("a") == "", F.array().cast("array<string>")).otherwise(F.array("a"))
     rows = F.array(
         F.struct(F.lit("ciphers").alias("section"), F.col("c").alias("list"), F.concat(F.when(F.col("c") == "", "0" * 12).otherwise(digest_), wrong(41)).alias("expect")),
-        F.struct(F.lit("alpn").alias("section"), F.col("a").alias("list"), F.concat(X.alpn_code(alpn), wrong(43)).alias("expect")),
+        F.struct(F.lit("alpn").alias("section"), F.col("a").alias("list"), F.concat(F.expr(vectors.alpn_text("a")), wrong(43)).alias("expect")),
     )
     table = p.select(F.explode(rows).alias("r")).select("r.*")
     return vectors.specification_vectors(table).groupBy("section", "matches").agg(F.count("*").alias("vectors"))

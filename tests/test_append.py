@@ -2,9 +2,11 @@
 
 import re
 
+import pytest
 from conftest import BASE, SF, capture, frame, planted
 from pyspark.sql import functions as F
 
+from calipers.functions import tls as tls_functions
 from calipers.operators import append, captures, coherence, movements, pointers, publish, vectors
 from calipers.plans import fixtures as T
 from calipers.sources import files
@@ -91,3 +93,16 @@ def test_sidecars_are_compared_by_digest(spark):
     out = pointers.sidecar_mismatch(rows, sides)
     assert {(r.path, r.problem) for r in out.collect()} == {("b", "unequal"), ("c", "missing"), ("d", "unequal")}
     assert "sha2" in out._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("fault", ["version_code", "alpn_code", "hex_list", "no_grease"])
+def test_a_fault_of_the_functions_is_no_fault_of_the_vectors(spark, monkeypatch, fault):
+    """Vectors are written by a derivation of their own: a planted fault shows as mismatches."""
+    tls = BASE["tls"]
+    grease = {**tls, "cipher_suites": [0x1A1A, *tls["cipher_suites"]], "alpn": ["\u00e9x"], "extensions": [e for e in tls["extensions"] if e["codepoint"] != 43]}
+    df = frame(spark, [BASE, planted(tls=grease)]).withColumn("n", F.monotonically_increasing_id())
+    states = lambda: {r.state for r in vectors.capture_vectors(df, vectors.written_vectors(df, ["n"]), ["n"]).collect()}
+    assert states() == {"match"}
+    wrong = {"version_code": lambda tls: F.lit("00"), "alpn_code": lambda xs: F.lit("zz"), "hex_list": lambda xs: F.lit("dead"), "no_grease": lambda xs: xs}
+    monkeypatch.setattr(tls_functions, fault, wrong[fault])
+    assert "mismatch" in states()
