@@ -36,18 +36,22 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of similar ones: the one with the smallest id, and one row of it.
+    """One document of each group of similar ones: the one with the smallest id (null last), and one row of it.
 
-    What goes is joined, not what stays: it is the smaller side. An id names one document; rows
-    that repeat an id and its text become one.
+    A row is known by its id and hashes of its text: rows that repeat both become one, and unlike texts
+    under one id, or under none, are judged apart. What goes is joined, not what stays: it is the
+    smaller side. An empty table gives an empty one.
     """
-    found = settle(ngram_join.similar(docs))
-    ids = found.groupBy(F.col("doc_id").alias("_id")).agg(F.bool_or(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("stays"), F.count(F.lit(1)).alias("n"))
-    ids = settle(ids.filter("NOT stays OR n > 1"))
-    gone, several = small_side(ids.filter("NOT stays"), ROUTE_ROWS), small_side(ids.filter("stays"), ROUTE_ROWS)
-    named = lambda df, side, how: df.join(side, df["doc_id"].eqNullSafe(side["_id"]), how)
-    kept = named(docs.select(*COLUMNS), gone, "left_anti")
-    return named(kept, several, "left_anti").unionByName(named(kept, several, "left_semi").dropDuplicates(["doc_id", "text"]))
+    key = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", F.xxhash64("text").alias("h"), F.hash("text").alias("g")).alias("key")
+    rows = docs.select(*COLUMNS, key)
+    found = settle(ngram_join.similar(rows, "key"))
+    keys = found.groupBy(F.col("key").alias("_key")).agg(F.bool_or(F.col("key").eqNullSafe(F.col("component_id"))).alias("stays"), F.count(F.lit(1)).alias("n"))
+    keys = settle(keys.filter("NOT stays OR n > 1"))
+    gone, several = small_side(keys.filter("NOT stays"), ROUTE_ROWS), small_side(keys.filter("stays"), ROUTE_ROWS)
+    named = lambda df, side, how: df.join(side, df["key"].eqNullSafe(side["_key"]), how)
+    kept = named(rows, gone, "left_anti")
+    out = named(kept, several, "left_anti").unionByName(named(kept, several, "left_semi").dropDuplicates(["doc_id", "text"]))
+    return out.select(*COLUMNS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -25,3 +25,17 @@ def test_stages_take_nulls_and_nothing(spark):
     for docs in (documents(spark), documents(spark).filter("false")):
         for _, stage in corpus_pipeline.STAGES:
             docs = settle(stage(spark, docs, DIR))
+
+
+def test_unlike_rows_of_one_id_are_judged_apart(spark):
+    words = lambda tag, n=40: " ".join(f"{tag}{i}" for i in range(n))
+    rows = [
+        (5, words("a")), (5, words("b")), (5, words("b")), (2, words("b")), (None, words("c")), (None, words("d")), (None, words("a")),
+        (7, words("d")), (8, words("e")), (8, words("e") + " more"), (9, None), (9, None), (9, ""),
+    ]
+    df = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = [(r["doc_id"], r["text"]) for r in corpus_pipeline.near_duplicates(spark, df, DIR).collect()]
+    texts = {i: [t for j, t in got if j == i] for i in (2, 5, 7, 8, 9, None)}
+    assert texts[2] == [words("b")] and texts[5] == [words("a")] and texts[7] == [words("d")] and texts[None] == [words("c")]
+    assert len(texts[8]) == 1 and sorted(texts[9], key=str) == ["", None]
+    assert len(got) == 7
