@@ -1,10 +1,15 @@
 """Derived tables and files in proportion to their rows."""
 
-from conftest import SF
+import glob
+import os
+
+from conftest import BASE, SF, frame, planted
 from pyspark.sql import functions as F
 
+from calipers import schema as S
 from calipers.plans import fixtures
 from calipers.plans.bindings import QUERIES
+from calipers.sources import files
 
 
 def test_tasks_of_a_derivation_grow_with_its_rows(spark, monkeypatch):
@@ -23,3 +28,21 @@ def test_a_stream_is_dealt_before_it_grows_wide(spark, monkeypatch):
     monkeypatch.setattr(fixtures, "dealt", lambda *a, f=fixtures.dealt: dealt.append(a[0].isStreaming) or f(*a))
     assert QUERIES["stream_conformance"](spark, SF).count() > 0
     assert True in dealt
+
+
+def test_lossless_files_are_small_and_read_back(spark, tmp_path):
+    two = frame(spark, [BASE, planted(**{"browser.name": "Édge\n"})])
+    df = two.select(*S.PROFILE, F.explode(F.sequence(F.lit(1), F.lit(500))).alias("k")).drop("k")
+    files.write_lossless(df, path := str(tmp_path / "lines"))
+    size = sum(os.path.getsize(f) for f in glob.glob(f"{path}/part-*"))
+    text = df.agg(F.sum(F.octet_length(F.to_json(F.struct(*S.PROFILE), {"ignoreNullFields": "false"})))).first()[0]
+    assert size < text / 10
+    r = files.round_trip_check(df, files.read_lossless(spark, path, S.ddl(S.PROFILE)), list(S.PROFILE), "ndjson").first()
+    assert (r.written, r.read, r.lost, r.invented) == (1000, 1000, 0, 0)
+
+
+def test_a_lost_row_is_told_by_its_route(spark):
+    a = spark.createDataFrame([("r", 1), ("r", 1), (None, 2), (None, 3)], "route string, x int")
+    b = spark.createDataFrame([("r", 1), (None, 2), ("s", 3)], "route string, x int")
+    got = {r.route: (r.lost, r.invented) for r in files.round_trips(a, b, ["x"], "f").collect()}
+    assert got == {"r": (1, 0), None: (1, 0), "s": (0, 1)}
