@@ -49,23 +49,31 @@ def walk(text: Column, smallest: int, after, cut) -> Column:
 
     ``after(data, pos)`` is the position behind the entry at ``pos``, null where the list ends; no entry is
     shorter than ``smallest`` bytes. ``data`` holds the hex digits as binary, so that a look at any position
-    costs the same, and starts are gathered in blocks, so that appending copies few of them.
+    costs the same, and starts are gathered in blocks, so that appending copies few of them. Behind the last
+    entry the remaining steps only pass the state on.
     """
     most = F.floor(byte_count(text) / smallest)
 
-    def state(data, pos, starts) -> Column:
-        return F.struct(data.alias("data"), pos.alias("pos"), starts.alias("starts"))
+    def state(data, pos, starts, open_) -> Column:
+        return F.struct(data.alias("data"), pos.alias("pos"), starts.alias("starts"), open_.alias("open"))
 
     def one(acc: Column, _: Column) -> Column:
-        to, pos = after(acc["data"], acc["pos"]), acc["pos"]
-        return state(acc["data"], F.coalesce(to, pos), F.when(to.isNotNull(), F.concat(acc["starts"], F.array(pos))).otherwise(acc["starts"]))
+        pos, starts = acc["pos"], acc["starts"]
+
+        def moved(to: Column) -> Column:
+            there = to.isNotNull()
+            return state(acc["data"], F.coalesce(to, pos), F.when(there, F.concat(starts, F.array(pos))).otherwise(starts), there)
+
+        # through an array of one, so that the position behind is worked out once
+        return F.when(acc["open"], F.get(F.transform(F.array(after(acc["data"], pos)), moved), F.lit(0))).otherwise(acc)
 
     def block(acc: Column, _: Column) -> Column:
         left = F.least(F.lit(WALK_BLOCK), F.floor((byte_count(acc["data"]) - acc["pos"]) / smallest))
-        return F.aggregate(_steps(left), state(acc["data"], acc["pos"], none), one, lambda x: state(x["data"], x["pos"], F.concat(acc["starts"], x["starts"])))
+        more = lambda x: state(x["data"], x["pos"], F.concat(acc["starts"], x["starts"]), x["open"])
+        return F.when(acc["open"], F.aggregate(_steps(left), state(acc["data"], acc["pos"], none, acc["open"]), one, more)).otherwise(acc)
 
     none = F.array().cast("array<bigint>")
-    start = state(text.cast("binary"), F.lit(0).cast("bigint"), none)
+    start = state(text.cast("binary"), F.lit(0).cast("bigint"), none, F.lit(True))
     return F.aggregate(_steps(F.ceil(most / WALK_BLOCK)), start, block, lambda x: cut(x["data"], x["starts"], x["pos"]))
 
 
