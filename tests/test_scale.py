@@ -68,3 +68,26 @@ def test_a_walk_rests_behind_its_last_entry(spark):
     n = 40_000
     rest, full = seconds("ff" + "00" * n, 0), seconds("00" * n, n)
     assert rest < 0.7 * full, (rest, full)
+
+
+def test_a_store_is_written_without_ordering_profiles(spark, monkeypatch, tmp_path):
+    """Source rows are ordered by folder while narrow, so a task writes a folder or two and Spark adds no sort of its own."""
+    monkeypatch.setattr(fixtures, "TASK_ROWS", 50)
+    rows = fixtures.profiles_by_folder(spark, SF)
+    plan = rows._jdf.queryExecution().optimizedPlan()
+    first = plan.outputOrdering().head().child()
+    assert first.name() == "folder" and not first.nullable()  # what a write by folder asks of its rows
+    files.write_profile_store(rows, root := str(tmp_path / "store"))
+    held, pointers = files.read_profile_store(spark, root)
+    written = len(glob.glob(f"{root}/profiles/*/part-*"))
+    assert written <= held.count() // 50 + 2 * held.select("folder").distinct().count()
+    current = fixtures.profiles(spark, SF)
+    assert held.drop("folder").select(F.to_json(F.struct(*current.columns))).exceptAll(current.select(F.to_json(F.struct(*current.columns)))).isEmpty()
+    assert held.count() == current.count()
+    assert {r.folder for r in pointers.collect()} <= {r.folder for r in held.select("folder").distinct().collect()}
+
+
+def test_lookups_derive_no_profiles(spark, monkeypatch):
+    monkeypatch.setattr(fixtures, "_STORED", {})
+    assert QUERIES["select_exact_stored"](spark, SF).count() > 0
+    assert not [k for k in fixtures._STORED if k[2] == "profiles after"]
