@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from calipers import schema as S
 from calipers.functions.decode import walk
 from calipers.functions.text import number_at
+from calipers.operators import diffs, publish, sizing
 from calipers.plans import fixtures
 from calipers.plans.bindings import QUERIES
 from calipers.sources import files
@@ -91,3 +92,29 @@ def test_lookups_derive_no_profiles(spark, monkeypatch):
     monkeypatch.setattr(fixtures, "_STORED", {})
     assert QUERIES["select_exact_stored"](spark, SF).count() > 0
     assert not [k for k in fixtures._STORED if k[2] == "profiles after"]
+
+
+def test_joins_of_profiles_are_dealt_by_their_rows(spark, monkeypatch):
+    """More tasks than shuffle partitions as soon as the rows ask for it, and the same rows."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    p, after = fixtures.profiles(spark, SF), fixtures.profiles(spark, SF, "after")
+    published = publish.property_routes(p, ["row_key"])
+    join = lambda: publish.route_manifest_check(published, after, ["row_key"])
+    pair = lambda: diffs.pairs(p.select("row_key", "browser"), after.select("row_key", "browser"), ["row_key"])
+    want = [sorted(map(repr, make().collect())) for make in (join, pair)]
+    monkeypatch.setattr(sizing, "TASK_ROWS", 50)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        for make, rows in zip((join, pair), want):
+            assert make().select(F.spark_partition_id().alias("t")).distinct().count() > 20 > int(spark.conf.get("spark.sql.shuffle.partitions"))
+            assert sorted(map(repr, make().collect())) == rows
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_routes_without_variant_meet_their_values(spark):
+    p = frame(spark, [BASE, planted(**{"raw.client_hello_hex": "17"})])
+    published = publish.property_routes(p, ["n"]).withColumn("value", F.when(F.col("property") == "alpn", "x").otherwise(F.col("value")))
+    found = publish.route_manifest_check(published, p, ["n"])
+    assert {r.problem for r in found.collect()} == {"value"}
+    assert found.count() == published.where("property = 'alpn'").count() > 0 == published.where("property = 'alpn' AND variant IS NOT NULL").count()
