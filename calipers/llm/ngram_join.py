@@ -19,7 +19,8 @@ argument above holds whatever the bitmap's load; only the buckets' sizes depend
 Buckets are never expanded into all pairs. Each (split by a salt where its token is frequent) proposes
 its first member to the others; every member is verified against the proposal most like it, then
 against its other proposals in other components; and only what is still in different components of
-one bucket is compared member by member. Components grow on components: of all links between two of
+one bucket is compared member by member: PROPOSERS of them (by hash) against the others, then WIDER times
+as many, until the bucket is one component or all have been. Components grow on components: of all links between two of
 them one edge is left. Each text's component holds exactly
 the texts it reaches, since every candidate pair was verified or lies within one component.
 
@@ -55,6 +56,10 @@ BITS = 26
 #: Tokens counted by one task at a time; the token ranges are as many as that takes.
 RANGE_TOKENS = 2_000_000
 SALTS = 64
+#: Members that an open bucket holds against its others first; how many times as many each next time.
+PROPOSERS, WIDER = 8, 4
+#: How many times the sketches of open buckets are doubled: with few bits shared by chance, hardly a pair passes that does not link.
+FINER = 2
 #: Sets compared with one other at a time.
 GROUP = 64
 CHUNK_BYTES = 2_000_000
@@ -136,12 +141,12 @@ def shingle_sets(texts: pa.Array, size: int = SIZE) -> Iterator[np.ndarray]:
             yield np.empty(0, np.uint64)
 
 
-def sketch(tokens: np.ndarray) -> bytes:
-    """A bit per high part of the tokens, as many as the next power of two above their number.
+def sketch(tokens: np.ndarray, finer: int = 0) -> bytes:
+    """A bit per high part of the tokens, as many as the next power of two above their number, doubled `finer` times.
 
     Each bit in which two sketches of one width differ needs a token that only one set has.
     """
-    log = max(8, len(tokens).bit_length())
+    log = max(8, len(tokens).bit_length() + finer)
     bits = np.zeros(1 << log, dtype=np.uint8)
     bits[(tokens >> np.uint64(64 - log)).astype(np.int64)] = 1
     return np.packbits(bits).tobytes()
@@ -324,6 +329,12 @@ def merged(comps: DataFrame, links: DataFrame) -> DataFrame:
     return components(edges.unionByName(comps.select(F.col("h").alias("a"), F.col("comp").alias("b"))).filter("a <> b"))
 
 
+def _open(members: DataFrame) -> DataFrame:
+    """The members of buckets that hold several components, with the bucket's size."""
+    buckets = members.groupBy("key").agg(F.min("h_comp").alias("low"), F.max("h_comp").alias("high"), F.count("*").alias("size"))
+    return members.join(buckets.filter("low <> high").select("key", "size"), "key")
+
+
 def possible(pairs: DataFrame, sketches: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(a, b, unlike) of the pairs that may link for all their sketches say; unlike: bits in which these differ."""
 
@@ -381,10 +392,11 @@ def similar(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             n = [len(s) for s in sets]
             handles = [handle(s) if len(s) else 0 for s in sets]
             sketches = [sketch(s) if len(s) else None for s in sets]
-            yield pa.RecordBatch.from_arrays([own.column(0), pa.array(n, pa.int64()), pa.array(handles, pa.int64()), pa.array(sketches, pa.binary())], ["id", "n", "h", "sketch"])
+            fine = [sketch(s, FINER) if len(s) else None for s in sets]
+            yield pa.RecordBatch.from_arrays([own.column(0), pa.array(n, pa.int64()), pa.array(handles, pa.int64()), pa.array(sketches, pa.binary()), pa.array(fine, pa.binary())], ["id", "n", "h", "sketch", "fine"])
 
     id_type = documents.schema[id_col].dataType.simpleString()
-    docs = settle(documents.select(F.col(id_col), F.col(text_col).cast("string")).mapInArrow(classes, f"id {id_type}, n long, h long, sketch binary"))
+    docs = settle(documents.select(F.col(id_col), F.col(text_col).cast("string")).mapInArrow(classes, f"id {id_type}, n long, h long, sketch binary, fine binary"))
     total = docs.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     bitmap = context.broadcast(frequent_tokens(texts, total, size, frequent))
 
@@ -429,15 +441,21 @@ def similar(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rest = settle(labelled(maybe.select("a", "b").join(best, ["a", "b"], "left_anti"), comps, "a", "b").filter("a_comp <> b_comp").select("a", "b"))
     comps = merged(comps, settle(verified(rest, texts, size, percent)))
 
-    named = settle(labelled(members.select("key", "h", "n").distinct(), comps, "h"))
-    mixed = named.groupBy("key").agg(F.min("h_comp").alias("low"), F.max("h_comp").alias("high")).filter("low <> high").select("key")
-    open_ = settle(named.join(mixed, "key", "left_semi"))
-    one, other = (open_.select("key", F.col("h").alias(x), F.col("n").alias(f"{x}n"), F.col("h_comp").alias(f"{x}_comp")) for x in "ab")
-    cross = one.join(other, "key").filter("a_comp < b_comp").filter(near("an", "bn"))
-    cross = cross.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    known = best.unionByName(rest).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    cross = settle(cross.join(known, ["a", "b"], "left_anti"))
-    comps = merged(comps, settle(verified(settle(possible(cross, sketches, percent)), texts, size, percent)))
+    # whole buckets that still hold several components: more and more of their members are held against the others
+    known = settle(best.unionByName(rest).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+    open_ = _open(settle(labelled(members.select("key", "h", "n").distinct(), comps, "h")))
+    place = F.floor(F.expr("shiftrightunsigned(xxhash64(h), 1)") / 2.0**63 * F.col("size"))
+    open_ = settle(open_.select("key", "h", "n", "h_comp", place.alias("place")))
+    fine = settle(docs.join(open_.select("h").distinct(), "h", "left_semi").groupBy("h").agg(F.first("n").alias("n"), F.first("fine").alias("sketch")))
+    start, width = 0, PROPOSERS
+    while not open_.filter(F.col("place") >= start).isEmpty():
+        one, other = (open_.select("key", F.col("h").alias(x), F.col("n").alias(f"{x}n"), F.col("h_comp").alias(f"{x}_comp"), F.col("place").alias(f"{x}_place")) for x in "ab")
+        cross = one.filter(F.col("a_place").between(start, start + width - 1)).join(other, "key").filter("(a_place < b_place OR a_place = b_place AND a < b) AND a_comp <> b_comp").filter(near("an", "bn"))
+        cross = cross.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        cross = settle(cross.join(known, ["a", "b"], "left_anti"))
+        comps = merged(comps, settle(verified(settle(possible(cross, fine, percent)), texts, size, percent)))
+        start, width, known = start + width, width * WIDER, known.unionByName(cross)
+        open_ = settle(_open(settle(labelled(open_.select("key", "h", "n", "place"), comps, "h"))).drop("size"))
 
     smallest = docs.filter("n > 0").groupBy("h", "n").agg(F.min("id").alias("id"))
     named = settle(smallest.join(comps, "h", "left").select("h", "n", "id", F.coalesce("comp", "h").alias("comp"), F.when(F.col("comp").isNull(), F.col("n")).alias("own")))

@@ -75,3 +75,18 @@ def test_sketches_never_differ_more_than_the_sets():
         x, y = np.sort(tokens[:n]), np.sort(np.concatenate([tokens[:shared], tokens[n : n + m - shared]]))
         unlike = ngram_join.unlike_bits(ngram_join.sketch(x), ngram_join.sketch(y))
         assert unlike <= len(np.setxor1d(x, y))
+
+
+def test_a_group_of_unlinked_near_copies_is_not_compared_whole(spark, monkeypatch):
+    """Texts with a shared half, which no link joins: few of their pairs are verified, in whatever rounds, and links stay."""
+    random.seed(5)
+    shared = [f"s{k}" for k in range(60)]
+    docs = [" ".join(shared + [f"d{i}x{k}" for k in range(14)]) for i in range(60)]
+    docs += [t + " more" for t in docs[::20]]
+    rows = list(enumerate(docs))
+    pairs = []
+    monkeypatch.setattr(ngram_join, "PROPOSERS", 2)
+    monkeypatch.setattr(ngram_join, "verified", lambda p, *a, f=ngram_join.verified: pairs.append(p.count()) or f(p, *a))
+    got = ngram_join.similar(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), frequent=6).collect()
+    assert sorted(map(tuple, got), key=str) == brute(rows)
+    assert len(pairs) > 3 and sum(pairs) < 4 * len(rows), pairs
