@@ -146,6 +146,10 @@ class Bpe:
         for own in cut:
             yield list(chain.from_iterable((special[words[0]],) if k % 2 else chain.from_iterable(map(known, words)) for k, words in enumerate(own)))
 
+    def forget(self) -> None:
+        """Drops the words and pairs met so far: a worker that waits for its next task holds the vocabulary alone."""
+        self.known, self.pairs = {}, {}
+
     def decode(self, ids: Iterable[int]) -> str:
         return b"".join(map(self.tokens.__getitem__, ids)).decode("utf-8", "replace")
 
@@ -186,7 +190,13 @@ def vocabulary(path: str | None = None) -> str:
 def _apply(documents: DataFrame, columns: list[str], kind: str, schema: str, path: str | None, work) -> DataFrame:
     shared = documents.sparkSession.sparkContext.broadcast(vocabulary(path))  # the vocabulary file: its size doesn't depend on the data
     rows = documents.select(columns[0], documents[columns[1]].cast(kind))
-    return rows.mapInArrow(lambda batches: work(_worker(shared), batches), f"`{columns[0]}` {documents.schema[columns[0]].dataType.simpleString()}, {schema}")
+
+    def task(batches):
+        bpe = _worker(shared)
+        yield from work(bpe, batches)
+        bpe.forget()
+
+    return rows.mapInArrow(task, f"`{columns[0]}` {documents.schema[columns[0]].dataType.simpleString()}, {schema}")
 
 
 def encode(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:

@@ -95,11 +95,37 @@ def _blocks(benchmark: DataFrame, id_col: str, text_col: str, most: int) -> Iter
 def search(documents: DataFrame, benchmark: DataFrame, n: int = WINDOW, id_col: str = "doc_id", text_col: str = "text",
            item_col: str = "item_id", item_text_col: str = "text", most: int = BROADCAST_WORDS) -> DataFrame:
     """(row: struct of the input's columns, n_words, hits array<int> of hit word places, items array<string>)."""
+    spark = documents.sparkSession
+    return _searched(documents, [spark.sparkContext.broadcast(Windows(block, n)) for block in _blocks(benchmark, item_col, item_text_col, most)], id_col, text_col)
+
+
+def cleaned(documents: DataFrame, benchmark: DataFrame, n: int = WINDOW, id_col: str = "doc_id", text_col: str = "text",
+            item_col: str = "item_id", item_text_col: str = "text", most: int = BROADCAST_WORDS) -> DataFrame:
+    """(row, text): what `spans_removed` makes of `search`. With one block a text is cut by the worker that searched it, not by a second one behind it."""
+    shared = [documents.sparkSession.sparkContext.broadcast(Windows(block, n)) for block in _blocks(benchmark, item_col, item_text_col, most)]
+    if len(shared) > 1:
+        return spans_removed(_searched(documents, shared, id_col, text_col), text_col)
+    rows = documents.select(F.struct("*").alias("row"), F.col(text_col).cast("string").alias("text"))
+
+    def work(batches):
+        word, own, windows = re.compile(FOLDED_WORD), re.compile(WORD), shared[0].value
+        for batch in batches:
+            texts = []
+            for text in batch.column(1):
+                text = text.as_py()
+                hit, _ = windows.hits(word.findall((text or "").translate(FOLD)))
+                texts.append(_without(text, np.flatnonzero(hit).tolist(), own))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["row", "text"])
+
+    return rows.mapInArrow(work, T.StructType([rows.schema["row"], T.StructField("text", T.StringType())]))
+
+
+def _searched(documents: DataFrame, blocks: list, id_col: str, text_col: str) -> DataFrame:
+    """search with the broadcast windows of each block."""
     rows = documents.select(F.struct("*").alias("row"), F.col(text_col).cast("string").alias("text"))
     kinds = T.StructType([rows.schema["row"], T.StructField("n_words", T.LongType()), T.StructField("hits", T.ArrayType(T.IntegerType())), T.StructField("items", T.ArrayType(T.StringType()))])
     parts = []
-    for block in _blocks(benchmark, item_col, item_text_col, most):
-        shared = documents.sparkSession.sparkContext.broadcast(Windows(block, n))
+    for shared in blocks:
 
         def scan(batches, shared=shared):
             word, windows = re.compile(FOLDED_WORD), shared.value
@@ -132,27 +158,32 @@ def search(documents: DataFrame, benchmark: DataFrame, n: int = WINDOW, id_col:
     return joined.select("row", "n_words", F.coalesce("hits", none("int")).alias("hits"), F.coalesce("items", none("string")).alias("items"))
 
 
+#: The same words before folding.
+WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+
+def _without(text: str | None, hits: list[int], word: re.Pattern) -> str | None:
+    """text without the words at the given places and what stands between two of them."""
+    if text is None or not hits:
+        return text
+    hit, out, end, previous = set(hits), [], 0, False
+    for k, m in enumerate(word.finditer(text)):
+        if k in hit:
+            if not previous:
+                out.append(text[end : m.start()])
+            end, previous = m.end(), True
+        else:
+            previous = False
+    return "".join(out) + text[end:]
+
+
 def spans_removed(found: DataFrame, text_col: str = "text") -> DataFrame:
     """(row, text) of the searched documents without their hit words and what stands between two of them."""
-    word_of = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # the same words before folding
 
     def cut(batches):
-        word = re.compile(word_of)
+        word = re.compile(WORD)
         for batch in batches:
-            texts = []
-            for text, hits in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                if text is None or not hits:
-                    texts.append(text)
-                    continue
-                hit, out, end, previous = set(hits), [], 0, False
-                for k, m in enumerate(word.finditer(text)):
-                    if k in hit:
-                        if not previous:
-                            out.append(text[end : m.start()])
-                        end, previous = m.end(), True
-                    else:
-                        previous = False
-                texts.append("".join(out) + text[end:])
+            texts = [_without(text, hits, word) for text, hits in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["row", "text"])
 
     rows = found.select("row", F.col("row")[text_col].cast("string").alias("text"), "hits")

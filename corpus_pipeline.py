@@ -56,7 +56,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the words of benchmark windows."""
-    return _renewed(decontaminate.spans_removed(decontaminate.search(docs.select(*COLUMNS), table(spark, sf_dir, "benchmark"))))
+    return _renewed(decontaminate.cleaned(docs.select(*COLUMNS), table(spark, sf_dir, "benchmark")))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -39,3 +39,42 @@ def test_unlike_rows_of_one_id_are_judged_apart(spark):
     assert texts[2] == [words("b")] and texts[5] == [words("a")] and texts[7] == [words("d")] and texts[None] == [words("c")]
     assert len(texts[8]) == 1 and sorted(texts[9], key=str) == ["", None]
     assert len(got) == 7
+
+
+def test_python_workers_take_few_bytes_at_a_time_and_forget(spark):
+    """Batches are bounded by bytes unless the session says otherwise, and a waiting tokenizer holds no words."""
+    import json
+
+    import pyarrow as pa
+    from calipers.llm import bpe, common
+
+    before = spark.conf.get(common.BATCH_SETTING, None)
+    spark.conf.unset(common.BATCH_SETTING)
+    try:
+        common.table(spark, DIR, "documents")
+        sizes = lambda batches: (pa.RecordBatch.from_pydict({"n": [b.nbytes]}) for b in batches)
+        wide = spark.range(0, 8_000, 1, 1).selectExpr("repeat('x', 2000) AS text")
+        got = [r["n"] for r in wide.mapInArrow(sizes, "n long").collect()]
+        assert len(got) > 3 and max(got) < 1.5 * common.BATCH_BYTES
+        spark.conf.set(common.BATCH_SETTING, "1000000")
+        common.table(spark, DIR, "documents")
+        assert spark.conf.get(common.BATCH_SETTING) == "1000000"
+    finally:
+        spark.conf.set(common.BATCH_SETTING, before) if before else spark.conf.unset(common.BATCH_SETTING)
+    encoder = bpe.Bpe(json.dumps({"model": {"vocab": {bpe_letter: b for bpe_letter, b in bpe.byte_letters().items()}, "merges": []}, "added_tokens": []}))
+    want = list(encoder.encode(["some words, some more"]))
+    encoder.forget()
+    assert not encoder.known and not encoder.pairs and list(encoder.encode(["some words, some more"])) == want
+
+
+def test_texts_are_searched_and_cut_by_one_worker(spark):
+    """One Python step for a benchmark of one block, the same texts whatever the blocks are."""
+    from calipers.llm import decontaminate
+
+    docs, benchmark = (spark.read.parquet(f"{DIR}/{t}.parquet") for t in ("documents", "benchmark"))
+    found = decontaminate.cleaned(docs, benchmark)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    rows = lambda df: sorted((r["row"]["doc_id"], r["text"] or "") for r in df.collect())
+    want = rows(decontaminate.spans_removed(decontaminate.search(docs, benchmark)))
+    assert rows(found) == want and rows(decontaminate.cleaned(docs, benchmark, most=300)) == want
+    assert want != sorted((r["doc_id"], r["text"] or "") for r in docs.collect())
