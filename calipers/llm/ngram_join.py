@@ -26,7 +26,8 @@ the texts it reaches, since every candidate pair was verified or lies within one
 
 A pair is first held against its sketches: bits in which they differ bound the tokens that only one set
 has from below, so what is dropped there cannot link. The whole sets of the rest decide; only those
-sets ever leave the tasks that read the texts.
+sets ever leave the tasks that read the texts, and only their texts (known by a hash of the text, in a
+bitmap) are cut into shingles again.
 
 Null or wordless texts have no shingles and are alone. Repeated rows are copies. Other columns are
 not read. A null id is never the smallest id unless its component has no other.
@@ -62,7 +63,8 @@ PROPOSERS, WIDER = 8, 4
 FINER = 2
 #: Sets compared with one other at a time.
 GROUP = 64
-CHUNK_BYTES = 2_000_000
+#: Bytes of text hashed at a time: some 45 bytes of numbers stand beside each.
+CHUNK_BYTES = 500_000
 PRIME = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 SHIFT = np.uint64(32)
@@ -188,6 +190,17 @@ def _new_sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[in
                 yield h, tokens
 
 
+def _chosen_sets(batches: Iterator[pa.RecordBatch], packed: np.ndarray, size: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(handle, set) of the sets of those texts whose hash is in the bitmap. batches: (text, hash of the text)."""
+    chosen = (batch.filter(pa.array(_test(packed, batch.column(1).to_numpy().view(np.uint64)))) for batch in batches)
+    return _new_sets(chosen, size)
+
+
+def _text_bits(handles: DataFrame, names: DataFrame) -> np.ndarray:
+    """The bitmap of the texts that have the given handles. names: (h, x), x the hash of one text with handle h."""
+    return _bitmap(names.join(handles.select("h").distinct(), "h", "left_semi").selectExpr(f"shiftrightunsigned(x, {64 - BITS}) AS bit"), "bit")
+
+
 def prefix_length(n: int, k: int, percent: int = PERCENT) -> int:
     return min(n, n - -(-percent * n // 100) + k)
 
@@ -329,6 +342,17 @@ def merged(comps: DataFrame, links: DataFrame) -> DataFrame:
     return components(edges.unionByName(comps.select(F.col("h").alias("a"), F.col("comp").alias("b"))).filter("a <> b"))
 
 
+def grown(comps: DataFrame, links: DataFrame) -> DataFrame:
+    """What `merged` gives, where comps are whole components: only the names of those that meet are searched."""
+    edges = settle(labelled(links, comps, "a", "b").filter("a_comp <> b_comp").select(F.col("a_comp").alias("a"), F.col("b_comp").alias("b")).distinct())
+    if edges.isEmpty():
+        return comps
+    found = components(edges)
+    new = found.join(comps.select("h"), "h", "left_anti")
+    old = comps.join(found.select(F.col("h").alias("comp"), F.col("comp").alias("whole")), "comp", "left")
+    return settle(old.select("h", F.coalesce("whole", "comp").alias("comp")).unionByName(new))
+
+
 def _open(members: DataFrame) -> DataFrame:
     """The members of buckets that hold several components, with the bucket's size."""
     buckets = members.groupBy("key").agg(F.min("h_comp").alias("low"), F.max("h_comp").alias("high"), F.count("*").alias("size"))
@@ -349,21 +373,22 @@ def possible(pairs: DataFrame, sketches: DataFrame, percent: int = PERCENT) -> D
     return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y", F.expr("an + bn").alias("n")).mapInArrow(work, "a long, b long, unlike long")
 
 
-def verified(pairs: DataFrame, texts: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
-    """The pairs (a, b) that link. pairs: a settled table.
+def verified(pairs: DataFrame, texts: DataFrame, names: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
+    """The pairs (a, b) that link. pairs: a settled table; texts: (text, x), x a hash of the text; names: (h, x) of one text of each handle.
 
     Only the sets of these pairs leave the tasks that read the texts. They meet in groups of one a
     and up to GROUP of its b, so a's set moves once per group and each b's once per pair.
     """
+    if pairs.isEmpty():
+        return pairs.select("a", "b")
     place = F.row_number().over(Window.partitionBy("a").orderBy("b"))
     members = settle(pairs.select("a", "b", F.floor((place - 1) / GROUP).cast("int").alias("part")))
     wanted = members.select(F.col("b").alias("h"), "a", "part").unionByName(members.select(F.col("a").alias("h"), "a", "part").distinct())
-    needed = texts.sparkSession.sparkContext.broadcast(_bitmap(wanted.selectExpr(f"shiftrightunsigned(h, {64 - BITS}) AS bit"), "bit"))
+    needed = texts.sparkSession.sparkContext.broadcast(_text_bits(wanted, names))
 
     def kept_sets(batches):
-        for h, tokens in _new_sets(batches, size):
-            if _test(needed.value, np.array([h], dtype=np.int64).view(np.uint64))[0]:
-                yield pa.RecordBatch.from_arrays([pa.array([h], pa.int64()), pa.array([tokens.astype("<u8").tobytes()], pa.binary())], ["h", "tokens"])
+        for h, tokens in _chosen_sets(batches, needed.value, size):
+            yield pa.RecordBatch.from_arrays([pa.array([h], pa.int64()), pa.array([tokens.astype("<u8").tobytes()], pa.binary())], ["h", "tokens"])
 
     def compare(group):
         a = group.column("a")[0].as_py()
@@ -386,17 +411,17 @@ def similar(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     spark = documents.sparkSession
     context = spark.sparkContext
     texts = documents.select(F.col(text_col).cast("string").alias("text"))
+    known_texts = texts.select("text", F.xxhash64("text").alias("x"))
 
     def classes(batches):
         for own, sets in _sets(batches, size, 1):
             n = [len(s) for s in sets]
             handles = [handle(s) if len(s) else 0 for s in sets]
             sketches = [sketch(s) if len(s) else None for s in sets]
-            fine = [sketch(s, FINER) if len(s) else None for s in sets]
-            yield pa.RecordBatch.from_arrays([own.column(0), pa.array(n, pa.int64()), pa.array(handles, pa.int64()), pa.array(sketches, pa.binary()), pa.array(fine, pa.binary())], ["id", "n", "h", "sketch", "fine"])
+            yield pa.RecordBatch.from_arrays([own.column(0), pa.array(n, pa.int64()), pa.array(handles, pa.int64()), pa.array(sketches, pa.binary()), own.column(2)], ["id", "n", "h", "sketch", "x"])
 
     id_type = documents.schema[id_col].dataType.simpleString()
-    docs = settle(documents.select(F.col(id_col), F.col(text_col).cast("string")).mapInArrow(classes, f"id {id_type}, n long, h long, sketch binary, fine binary"))
+    docs = settle(documents.select(F.col(id_col), F.col(text_col).cast("string"), F.xxhash64(F.col(text_col).cast("string"))).mapInArrow(classes, f"id {id_type}, n long, h long, sketch binary, x long"))
     total = docs.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     bitmap = context.broadcast(frequent_tokens(texts, total, size, frequent))
 
@@ -422,6 +447,17 @@ def similar(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def packed(*columns):
         return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in columns], ["key", "h", "n", "salt"])
 
+    def finer(members):
+        """(h, n, sketch) of the members (h), from their texts: sketches doubled FINER times."""
+        needed = context.broadcast(_text_bits(members, names))
+
+        def work(batches):
+            for h, tokens in _chosen_sets(batches, needed.value, size):
+                yield pa.RecordBatch.from_arrays([pa.array([h], pa.int64()), pa.array([len(tokens)], pa.int64()), pa.array([sketch(tokens, FINER)], pa.binary())], ["h", "n", "sketch"])
+
+        found = known_texts.mapInArrow(work, "h long, n long, sketch binary")  # copies from several tasks fall together
+        return settle(found.groupBy("h").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch")))
+
     index = texts.mapInArrow(postings, "key long, h long, n int, salt byte")
     bucket = "PARTITION BY key, salt ORDER BY n, h"
     members = index.selectExpr("key", "salt", "h", "n", f"lag(h) OVER ({bucket}) AS before", f"lead(h) OVER ({bucket}) AS after", f"first(struct(h, n)) OVER ({bucket}) AS first")
@@ -433,28 +469,34 @@ def similar(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     heads = members.filter("salt >= 0 AND first.h = h").selectExpr("h AS b", "n AS bn", "first(struct(h, n)) OVER (PARTITION BY key ORDER BY n, h) AS first")
     across = heads.filter("first.h <> b").select(F.col("first.h").alias("a"), F.col("first.n").alias("an"), "b", "bn")
     stars = settle(within.unionByName(across).filter(near("an", "bn")).select("a", "b").distinct())
-    sketches = docs.join(members.select("h").distinct(), "h", "left_semi").groupBy("h").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    sketches = docs.join(members.select("h").distinct(), "h", "left_semi").groupBy("h").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.min("x").alias("x"))
     sketches = settle(sketches)
+    names = sketches.select("h", "x")
     maybe = settle(possible(stars, sketches, percent))
     best = settle(maybe.groupBy("b").agg(F.min(F.struct("unlike", "a")).alias("best")).select(F.col("best.a").alias("a"), "b"))
-    comps = roots(settle(verified(best, texts, size, percent)))
+    comps = roots(settle(verified(best, known_texts, names, size, percent)))
     rest = settle(labelled(maybe.select("a", "b").join(best, ["a", "b"], "left_anti"), comps, "a", "b").filter("a_comp <> b_comp").select("a", "b"))
-    comps = merged(comps, settle(verified(rest, texts, size, percent)))
+    comps = merged(comps, settle(verified(rest, known_texts, names, size, percent)))
 
     # whole buckets that still hold several components: more and more of their members are held against the others
     known = settle(best.unionByName(rest).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
     open_ = _open(settle(labelled(members.select("key", "h", "n").distinct(), comps, "h")))
     place = F.floor(F.expr("shiftrightunsigned(xxhash64(h), 1)") / 2.0**63 * F.col("size"))
     open_ = settle(open_.select("key", "h", "n", "h_comp", place.alias("place")))
-    fine = settle(docs.join(open_.select("h").distinct(), "h", "left_semi").groupBy("h").agg(F.first("n").alias("n"), F.first("fine").alias("sketch")))
     start, width = 0, PROPOSERS
     while not open_.filter(F.col("place") >= start).isEmpty():
         one, other = (open_.select("key", F.col("h").alias(x), F.col("n").alias(f"{x}n"), F.col("h_comp").alias(f"{x}_comp"), F.col("place").alias(f"{x}_place")) for x in "ab")
         cross = one.filter(F.col("a_place").between(start, start + width - 1)).join(other, "key").filter("(a_place < b_place OR a_place = b_place AND a < b) AND a_comp <> b_comp").filter(near("an", "bn"))
         cross = cross.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         cross = settle(cross.join(known, ["a", "b"], "left_anti"))
-        comps = merged(comps, settle(verified(settle(possible(cross, fine, percent)), texts, size, percent)))
+        pairs = settle(possible(cross, sketches, percent))
+        if not pairs.isEmpty():
+            pairs = settle(possible(pairs, finer(pairs.select(F.explode(F.array("a", "b")).alias("h"))), percent))
+        links = settle(verified(pairs, known_texts, names, size, percent))
         start, width, known = start + width, width * WIDER, known.unionByName(cross)
+        if links.isEmpty():
+            continue
+        comps = grown(comps, links)
         open_ = settle(_open(settle(labelled(open_.select("key", "h", "n", "place"), comps, "h"))).drop("size"))
 
     smallest = docs.filter("n > 0").groupBy("h", "n").agg(F.min("id").alias("id"))

@@ -90,3 +90,31 @@ def test_a_group_of_unlinked_near_copies_is_not_compared_whole(spark, monkeypatc
     got = ngram_join.similar(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), frequent=6).collect()
     assert sorted(map(tuple, got), key=str) == brute(rows)
     assert len(pairs) > 3 and sum(pairs) < 4 * len(rows), pairs
+
+
+def test_only_chosen_texts_are_cut_again(spark):
+    """A text is known by its hash: the rest are not cut into shingles, and a pass without pairs reads none."""
+    import numpy as np
+    import pyarrow as pa
+
+    texts = [" ".join(f"t{i}w{k}" for k in range(20)) for i in range(40)]
+    batch = pa.RecordBatch.from_pydict({"text": texts + texts[:3], "x": np.array([(i * 2**58 // 3) for i in [*range(40), 0, 1, 2]], dtype=np.int64)})
+    packed = np.zeros((1 << ngram_join.BITS) // 8, dtype=np.uint8)
+    for i in (1, 7):
+        bit = int(batch.column(1)[i].as_py()) >> (64 - ngram_join.BITS)
+        packed[bit >> 3] |= 1 << (7 - (bit & 7))
+    got = [h for h, _ in ngram_join._chosen_sets(iter([batch]), packed, 5)]
+    sets = list(ngram_join.shingle_sets(pa.array(texts)))
+    assert got == [ngram_join.handle(sets[i]) for i in (1, 7)]
+    none = spark.createDataFrame([], "a long, b long")
+    assert ngram_join.verified(none, None, None).collect() == []
+
+
+def test_grown_components_equal_merged_ones(spark):
+    random.seed(3)
+    for n, more in ((30, 0), (30, 12), (80, 60)):
+        edges = [(random.randrange(n), random.randrange(n)) for _ in range(n // 2)]
+        comps = ngram_join.components(spark.createDataFrame([e for e in edges if e[0] != e[1]], "a long, b long"))
+        links = spark.createDataFrame([(random.randrange(2 * n), random.randrange(2 * n)) for _ in range(more)], "a long, b long").filter("a <> b")
+        groups = lambda df: sorted(sorted(r["h"] for r in df.collect() if r["comp"] == c) for c in {r["comp"] for r in df.collect()})
+        assert groups(ngram_join.grown(comps, links)) == groups(ngram_join.merged(comps, links))
