@@ -5,7 +5,10 @@ the lengths of their common beginnings that is their trie in depth-first order.
 one branch on a stack, and for every node (a beginning of words) the last token of that beginning's
 encoding. A node's last token t is the one that ends there and may stand behind the last token of
 the node where t starts; so a shared beginning is worked out once for all words below it, and a
-word's tokens are read back along its branch. Words met before come from a bounded memory.
+word's tokens are read back along its branch. Which tokens may end at a node is looked up by its last
+ENDING bytes. No word reaches over a single space between two other characters, so texts are cut there
+first, and only pieces that were not met before are cut into words; both come from a bounded memory, as
+packed ids.
 
 Null texts are empty: no tokens. Special tokens written out in a text become their id, as the
 library does it. Repeated rows are encoded each; other columns are not read; empty tables give
@@ -30,8 +33,12 @@ SPACE = r"\t-\r \x85\xa0" + "".join(map(chr, (0x1680, 0x2028, 0x2029, 0x202F, 0x
 PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 #: Characters of text whose words are gathered before the next traversal.
 CHUNK_CHARS = 2_000_000
-#: Words and token pairs remembered by one Python worker; beyond it the memory starts anew.
-WORDS_KEPT, PAIRS_KEPT = 300_000, 1_000_000
+#: Pieces, words, token pairs and endings remembered by one Python worker; beyond it the memory starts anew.
+PIECES_KEPT, WORDS_KEPT, PAIRS_KEPT, ENDINGS_KEPT = 400_000, 400_000, 1_000_000, 200_000
+#: Bytes before a place that say which tokens may end there.
+ENDING = 4
+#: A space with other white space beside it. isspace() also takes some control characters, which only keeps a piece longer.
+SPACED = re.compile(r" \s|\s ")
 NEVER = 1 << 60
 
 
@@ -68,12 +75,13 @@ class Bpe:
                 self.made_at[made], left[made], right[made] = rank, vocab[a], vocab[b]
         self.left_edge = {t: self._edge(t, left) for t in self.tokens}
         self.right_edge = {t: self._edge(t, right) for t in self.tokens}
-        lengths: dict[bytes, set[int]] = {}
+        longer: dict[bytes, set[int]] = {}
         for b in self.ids:
-            lengths.setdefault(b[-2:], set()).add(len(b))
-        self.lengths = {k: sorted(v, reverse=True) for k, v in lengths.items()}
-        self.known: dict[str, tuple[int, ...]] = {}
-        self.pairs: dict[tuple[int, int], bool] = {}
+            if len(b) > ENDING:
+                longer.setdefault(b[-ENDING:], set()).add(len(b))
+        self.longer = {k: sorted(v, reverse=True) for k, v in longer.items()}
+        self.packed = {i: i.to_bytes(4, "little") for i in self.tokens}
+        self.forget()
 
     @staticmethod
     def _edge(token: int, inner: dict[int, int]) -> list[int]:
@@ -102,53 +110,98 @@ class Bpe:
             else:
                 j += 1
 
+    def _ending(self, tail: bytes) -> list[tuple[int, int]]:
+        """(length, token) of what may end behind tail, the longest first; -1 for tokens longer than it, which are looked up."""
+        found = [(n, -1) for n in self.longer.get(tail, ())] if len(tail) == ENDING else []
+        found += [(n, self.ids[tail[-n:]]) for n in range(len(tail), 0, -1) if tail[-n:] in self.ids]
+        self.endings[tail] = found
+        return found
+
     def traverse(self, words: Iterable[str]) -> None:
-        """Depth-first over the trie of `words`; puts the encoding of each into `known`."""
-        ids, pairs, lengths, adjacent = self.ids, self.pairs, self.lengths, self._adjacent
+        """Depth-first over the trie of `words`; puts the packed encoding of each into `known`."""
+        ids, pairs, endings, adjacent, tokens, packed = self.ids, self.pairs, self.endings, self._adjacent, self.tokens, self.packed
         last = [-1]  # last[d]: last token of the branch's first d bytes
         before = b""
-        for word, raw in sorted(((w, w.encode()) for w in words), key=lambda x: x[1]):
-            shared, most = 0, min(len(before), len(raw))
-            while shared < most and before[shared] == raw[shared]:
-                shared += 1
+        for raw, word in sorted((w.encode(), w) for w in words):
+            if before and raw.startswith(before):
+                shared = len(before)
+            else:
+                shared, most = 0, min(len(before), len(raw))
+                while shared < most and before[shared] == raw[shared]:
+                    shared += 1
             del last[shared + 1 :]
             for end in range(shared + 1, len(raw) + 1):
-                for n in lengths.get(raw[end - 2 : end] if end > 1 else raw[:1], ()):
-                    if n <= end and (token := ids.get(raw[end - n : end])) is not None:
-                        if end == n:
-                            break
-                        pair = (last[end - n], token)
-                        if (ok := pairs.get(pair)) is None:
-                            ok = pairs[pair] = adjacent(*pair)
-                        if ok:
-                            break
+                tail = raw[end - ENDING : end] if end > ENDING else raw[:end]
+                for n, token in endings.get(tail) or self._ending(tail):
+                    if token < 0 and (n > end or (token := ids.get(raw[end - n : end], -1)) < 0):
+                        continue
+                    if end == n:
+                        break
+                    pair = last[end - n] << 32 | token
+                    if (ok := pairs.get(pair)) is None:
+                        ok = pairs[pair] = adjacent(last[end - n], token)
+                    if ok:
+                        break
                 else:  # a byte alone always ends an encoding
                     token = ids[raw[end - 1 : end]]
                 last.append(token)
             out, end = [], len(raw)
             while end:
-                out.append(last[end])
-                end -= len(self.tokens[last[end]])
-            self.known[word] = tuple(out[::-1])
+                token = last[end]
+                out.append(packed[token])
+                end -= len(tokens[token])
+            out.reverse()
+            self.known[word] = b"".join(out)
             before = raw
         if len(pairs) > PAIRS_KEPT:
             pairs.clear()
-
-    def encode(self, texts: list[str]) -> Iterator[list[int]]:
-        find, special = self.words.findall, self.special
-        pieces = [self.cut.split(t) if self.cut and any(s in t for s in special) else [t] for t in texts]
-        cut = [[[p] if k % 2 else find(p) for k, p in enumerate(own)] for own in pieces]
+        if len(endings) > ENDINGS_KEPT:
+            endings.clear()
+
+    def pieces(self, text: str) -> list[str]:
+        """The text cut before every space; a piece is a run of whole words but where spaces meet white space."""
+        first, *others = text.split(" ")
+        own = [first, *[" " + x for x in others]]
+        if "  " in text or SPACED.search(text):
+            joined, at = [], 0
+            while at < len(own):  # a space beside other white space is of one run with it
+                end = at + 1
+                while end < len(own) and (own[end] == " " or own[end][1].isspace() or own[end - 1][-1:].isspace()):
+                    end += 1
+                joined.append("".join(own[at:end]) if end - at > 1 else own[at])
+                at = end
+            return joined
+        return own
+
+    def encode_packed(self, texts: list[str]) -> Iterator[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit integers."""
+        special, packed = self.special, self.packed
+        parts = [self.cut.split(t) if self.cut and any(s in t for s in special) else [t] for t in texts]
+        cut = [[[p] if k % 2 else self.pieces(p) for k, p in enumerate(own)] for own in parts]
+        if len(self.met) > PIECES_KEPT:
+            self.met.clear()
         if len(self.known) > WORDS_KEPT:
             self.known.clear()
-        new = {w for own in cut for words in own[::2] for w in words}
-        self.traverse(new.difference(self.known))
-        known = self.known.__getitem__
+        find = self.words.findall
+        new = {p: find(p) for p in {p for own in cut for pieces in own[::2] for p in pieces}.difference(self.met)}
+        self.traverse({w for words in new.values() for w in words}.difference(self.known))
+        known, met = self.known.__getitem__, self.met
+        for p, words in new.items():
+            met[p] = known(words[0]) if len(words) == 1 else b"".join(map(known, words))
+        get = met.__getitem__
         for own in cut:
-            yield list(chain.from_iterable((special[words[0]],) if k % 2 else chain.from_iterable(map(known, words)) for k, words in enumerate(own)))
+            yield b"".join(chain.from_iterable((packed[special[pieces[0]]],) if k % 2 else map(get, pieces) for k, pieces in enumerate(own)))
+
+    def encode(self, texts: list[str]) -> Iterator[list[int]]:
+        for ids in self.encode_packed(texts):
+            yield np.frombuffer(ids, dtype="<u4").tolist()
 
     def forget(self) -> None:
-        """Drops the words and pairs met so far: a worker that waits for its next task holds the vocabulary alone."""
-        self.known, self.pairs = {}, {}
+        """Drops what was met so far: a worker that waits for its next task holds the vocabulary alone."""
+        self.met: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}
+        self.pairs: dict[int, bool] = {}
+        self.endings: dict[bytes, list[tuple[int, int]]] = {}
 
     def decode(self, ids: Iterable[int]) -> str:
         return b"".join(map(self.tokens.__getitem__, ids)).decode("utf-8", "replace")
@@ -204,7 +257,7 @@ def encode(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def work(bpe, batches):
         for key, texts in _chunks(batches):
-            ids = pa.array([np.array(x, dtype=np.int32) for x in bpe.encode(texts)], type=pa.list_(pa.int32()))
+            ids = pa.array([np.frombuffer(x, dtype="<i4") for x in bpe.encode_packed(texts)], type=pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([key, ids], [id_col, "ids"])
 
     return _apply(documents, [id_col, text_col], "string", "ids array<int>", path, work)
@@ -227,10 +280,10 @@ def round_trip(documents: DataFrame, id_col: str = "doc_id", text_col: str = "te
     def work(bpe, batches):
         for key, texts in _chunks(batches):
             n, packed, decoded = [], [], []
-            for ids in bpe.encode(texts):
-                n.append(len(ids))
-                packed.append(hashlib.sha256(np.array(ids, dtype="<u4").tobytes()).hexdigest())
-                decoded.append(hashlib.sha256(bpe.decode(ids).encode()).hexdigest())
+            for ids in bpe.encode_packed(texts):
+                n.append(len(ids) // 4)
+                packed.append(hashlib.sha256(ids).hexdigest())
+                decoded.append(hashlib.sha256(bpe.decode(np.frombuffer(ids, dtype="<u4").tolist()).encode()).hexdigest())
             yield pa.RecordBatch.from_arrays([key, pa.array(n, pa.int64()), pa.array(packed, pa.string()), pa.array(decoded, pa.string())], [id_col, "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return _apply(documents, [id_col, text_col], "string", "n_tokens long, ids_sha256 string, decoded_sha256 string", path, work)

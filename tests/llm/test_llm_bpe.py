@@ -58,3 +58,25 @@ def test_rows(spark, library):
     assert bpe.round_trip(empty(spark)).count() == 0
     decoded = bpe.decode(bpe.encode(documents(spark))).collect()
     assert sorted(r["text"] for r in decoded) == sorted(t or "" for _, t in TEXTS)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=" \n\t\x0b\x1c\x85\u3000 ab'stREve.!?129é日", max_size=80))
+def test_pieces_are_whole_words(own, text):
+    pieces = own.pieces(text)
+    assert "".join(pieces) == text
+    assert [w for p in pieces for w in own.words.findall(p)] == own.words.findall(text)
+
+
+def test_a_piece_met_before_is_not_cut_again():
+    own, cut = bpe.Bpe(bpe.vocabulary()), []
+
+    class Words:
+        def findall(self, text, find=own.words.findall):
+            cut.append(text)
+            return find(text)
+
+    own.words = Words()
+    one, two, more = own.encode(["so much the better, ", "the better the much", "so much  the\n better"])
+    assert sorted(cut) == sorted(set(cut)) and len(cut) == 8, cut
+    assert own.decode(more) == "so much  the\n better" and list(own.encode(["so much the better, "])) == [one] and len(cut) == 8
