@@ -28,13 +28,15 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from calipers.llm.common import give_back, table
+
 #: Fixed value: the word pattern of byte-level BPE, with the white space of the Unicode standard spelled out.
 SPACE = r"\t-\r \x85\xa0" + "".join(map(chr, (0x1680, 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))) + chr(0x2000) + "-" + chr(0x200A)
 PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 #: Characters of text whose words are gathered before the next traversal.
-CHUNK_CHARS = 2_000_000
+CHUNK_CHARS = 1_000_000
 #: Pieces, words, token pairs and endings remembered by one Python worker; beyond it the memory starts anew.
-PIECES_KEPT, WORDS_KEPT, PAIRS_KEPT, ENDINGS_KEPT = 400_000, 400_000, 1_000_000, 200_000
+PIECES_KEPT, WORDS_KEPT, PAIRS_KEPT, ENDINGS_KEPT = 200_000, 300_000, 500_000, 100_000
 #: Bytes before a place that say which tokens may end there.
 ENDING = 4
 #: A space with other white space beside it. isspace() also takes some control characters, which only keeps a piece longer.
@@ -197,7 +199,7 @@ class Bpe:
             yield np.frombuffer(ids, dtype="<u4").tolist()
 
     def forget(self) -> None:
-        """Drops what was met so far: a worker that waits for its next task holds the vocabulary alone."""
+        """Drops what was met so far."""
         self.met: dict[str, bytes] = {}
         self.known: dict[str, bytes] = {}
         self.pairs: dict[int, bool] = {}
@@ -207,19 +209,6 @@ class Bpe:
         return b"".join(map(self.tokens.__getitem__, ids)).decode("utf-8", "replace")
 
 
-_LOADED: dict[int, Bpe] = {}
-
-
-def _worker(shared) -> Bpe:
-    """The encoder of this Python worker, kept for its next tasks."""
-    spec = shared.value
-    key = hash(spec)
-    if key not in _LOADED:
-        _LOADED.clear()
-        _LOADED[key] = Bpe(spec)
-    return _LOADED[key]
-
-
 def _chunks(batches: Iterator[pa.RecordBatch], text_at: int = 1) -> Iterator[tuple[pa.Array, list[str]]]:
     """(ids, texts) in slices of about CHUNK_CHARS."""
     for batch in batches:
@@ -245,9 +234,8 @@ def _apply(documents: DataFrame, columns: list[str], kind: str, schema: str, pat
     rows = documents.select(columns[0], documents[columns[1]].cast(kind))
 
     def task(batches):
-        bpe = _worker(shared)
-        yield from work(bpe, batches)
-        bpe.forget()
+        yield from work(Bpe(shared.value), batches)  # made anew by each task: a worker that waits holds nothing
+        give_back()
 
     return rows.mapInArrow(task, f"`{columns[0]}` {documents.schema[columns[0]].dataType.simpleString()}, {schema}")
 
@@ -290,6 +278,4 @@ def round_trip(documents: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def op1_bpe(spark, sf_dir: str) -> DataFrame:
-    from calipers.llm.common import table
-
     return round_trip(table(spark, sf_dir, "documents"))

@@ -44,7 +44,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from calipers.llm.common import settle, table
+from calipers.llm.common import give_back, settle, table
 from calipers.operators.sizing import ROUTE_ROWS, small_side
 
 SIZE, PERCENT = 5, 80
@@ -188,6 +188,7 @@ def _new_sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[in
             if len(tokens) and (h := handle(tokens)) not in met:
                 met.add(h)
                 yield h, tokens
+    give_back()
 
 
 def _chosen_sets(batches: Iterator[pa.RecordBatch], packed: np.ndarray, size: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -235,7 +236,7 @@ def _bitmap(rows: DataFrame, bit: str) -> np.ndarray:
     # distinct bits first: however many rows set a bit, it is one row a task
     parts = rows.select(F.col(bit).cast("int").alias("bit")).distinct().withColumn("part", F.expr(f"bit div {per}").cast("int"))
     packed = np.zeros((1 << BITS) // 8, dtype=np.uint8)
-    for row in parts.groupBy("part").applyInArrow(pack, "part int, packed binary").toLocalIterator():
+    for row in parts.groupBy("part").applyInArrow(pack, "part int, packed binary").collect():  # in one job, not one for each partition
         packed[row["part"] * per // 8 : (row["part"] + 1) * per // 8] = np.frombuffer(row["packed"], dtype=np.uint8)
     return packed
 
@@ -272,18 +273,20 @@ def frequent_tokens(texts: DataFrame, total: int, size: int = SIZE, least: int =
         for _, tokens in _new_sets(batches, size):
             held.append(tokens)
             count += len(tokens)
-            if count >= 2 * RANGE_TOKENS:
+            if count >= RANGE_TOKENS:
                 yield dealt(held)
-                held, count = [], 0
+                count = 0
         if held:
             yield dealt(held)
 
     def dealt(held):
-        tokens = np.sort(np.concatenate(held))
-        ranges = (tokens >> np.uint64(64 - log)).astype(np.int64)
-        low = ((tokens << np.uint64(log)) >> SHIFT).astype("<u4")
-        found, starts = np.unique(ranges, return_index=True)
-        blobs = [_packed(low[a:b]) for a, b in zip(starts, [*starts[1:], len(low)])]
+        """The sets of `held`, which is emptied: one array of tokens stands at a time, and numbers beside it for one range."""
+        tokens = np.concatenate(held)
+        held.clear()
+        tokens.sort()
+        edges = [*np.searchsorted(tokens, np.arange(1 << log, dtype=np.uint64) << np.uint64(64 - log)), len(tokens)]
+        found = [r for r in range(1 << log) if edges[r] < edges[r + 1]]
+        blobs = [_packed(((tokens[edges[r] : edges[r + 1]] << np.uint64(log)) >> SHIFT).astype("<u4")) for r in found]
         return pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array(blobs, pa.binary())], ["range", "low"])
 
     def count(group):
@@ -491,7 +494,7 @@ def similar(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         cross = settle(cross.join(known, ["a", "b"], "left_anti"))
         pairs = settle(possible(cross, sketches, percent))
         if not pairs.isEmpty():
-            pairs = settle(possible(pairs, finer(pairs.select(F.explode(F.array("a", "b")).alias("h"))), percent))
+            pairs = settle(possible(pairs, finer(pairs.select(F.col("a").alias("h")).distinct().unionByName(pairs.select(F.col("b").alias("h")).distinct())), percent))
         links = settle(verified(pairs, known_texts, names, size, percent))
         start, width, known = start + width, width * WIDER, known.unionByName(cross)
         if links.isEmpty():

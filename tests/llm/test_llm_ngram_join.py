@@ -118,3 +118,34 @@ def test_grown_components_equal_merged_ones(spark):
         links = spark.createDataFrame([(random.randrange(2 * n), random.randrange(2 * n)) for _ in range(more)], "a long, b long").filter("a <> b")
         groups = lambda df: sorted(sorted(r["h"] for r in df.collect() if r["comp"] == c) for c in {r["comp"] for r in df.collect()})
         assert groups(ngram_join.grown(comps, links)) == groups(ngram_join.merged(comps, links))
+
+
+def test_a_bitmap_is_one_job_whatever_the_partitions(spark):
+    """Bits come back in one job, not in one for each partition."""
+    tracker, context = spark.sparkContext.statusTracker(), spark.sparkContext
+    bits = [k * 40_009 for k in range(1500)]
+    rows = spark.createDataFrame([(b,) for b in bits], "bit int").repartition(4)
+    before, adaptive = spark.conf.get("spark.sql.shuffle.partitions"), spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "40")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        context.setJobGroup("bitmap", "bitmap")
+        packed = ngram_join._bitmap(rows, "bit")
+    finally:
+        context._jsc.clearJobGroup()
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", adaptive)
+    import numpy as np
+
+    assert np.flatnonzero(np.unpackbits(packed)).tolist() == bits
+    assert len(tracker.getJobIdsForGroup("bitmap")) < 10
+
+
+def test_tokens_are_counted_alike_however_few_are_dealt_at_a_time(spark, monkeypatch):
+    """Sets are handed on in arrays of RANGE_TOKENS or just more; the frequent tokens are the same."""
+    import numpy as np
+
+    texts = spark.createDataFrame([(" ".join(f"w{(i * 7 + k) % 90}" for k in range(40)),) for i in range(60)], "text string").repartition(3)
+    want = ngram_join.frequent_tokens(texts, 2_000, least=5)
+    monkeypatch.setattr(ngram_join, "RANGE_TOKENS", 50)
+    assert want.any() and np.array_equal(ngram_join.frequent_tokens(texts, 2_000, least=5), want)
