@@ -4,6 +4,7 @@ import glob
 import os
 import time
 
+import pytest
 from conftest import BASE, SF, frame, planted
 from pyspark.sql import functions as F
 
@@ -118,3 +119,22 @@ def test_routes_without_variant_meet_their_values(spark):
     found = publish.route_manifest_check(published, p, ["n"])
     assert {r.problem for r in found.collect()} == {"value"}
     assert found.count() == published.where("property = 'alpn'").count() > 0 == published.where("property = 'alpn' AND variant IS NOT NULL").count()
+
+
+def in_full(spark, monkeypatch, name):
+    """Rows of a query over its derived tables as they are made, and over whole stored ones."""
+    rows = lambda: sorted(map(repr, QUERIES[name](spark, SF).collect()))
+    monkeypatch.setattr(fixtures, "_STORED", {})
+    made = rows()
+    stored = {k[2] for k in fixtures._STORED}
+    for snapshot in ("current", "after"):
+        fixtures.profiles(spark, SF, snapshot)
+    return made, rows(), stored
+
+
+@pytest.mark.parametrize("name", ["provenance_regressions"])
+def test_a_query_derives_the_columns_it_reads(spark, monkeypatch, name):
+    """No whole profile is written first, and the rows are those of whole profiles."""
+    made, whole, stored = in_full(spark, monkeypatch, name)
+    assert made == whole and made
+    assert not [s for s in stored if s.startswith("profiles")]
