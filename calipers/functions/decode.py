@@ -44,11 +44,12 @@ def _steps(n: Column) -> Column:
     return F.sequence(F.lit(1), F.greatest(n, F.lit(1)).cast("int"))
 
 
-def walk(text: Column, smallest: int, after, cut) -> Column:
+def walk(text: Column, smallest: int, after, cut, within: bool = False) -> Column:
     """``cut(data, starts, pos)`` for the entries of a list: where each starts, and where the walk ended.
 
-    ``after(data, pos)`` is the position behind the entry at ``pos``, null where the list ends; no entry is
-    shorter than ``smallest`` bytes. ``data`` holds the hex digits as binary, so that a look at any position
+    ``after(data, pos)`` is the position behind the entry at ``pos``, null where the list ends; ``within``
+    ends it also before an entry that overruns the text. No entry is shorter than ``smallest`` bytes.
+    ``text`` is read twice, so it should be a column that is there. ``data`` holds the hex digits as binary, so that a look at any position
     costs the same, and starts are gathered in blocks, so that appending copies few of them. Behind the last
     entry the remaining steps only pass the state on.
     """
@@ -61,8 +62,8 @@ def walk(text: Column, smallest: int, after, cut) -> Column:
         pos, starts = acc["pos"], acc["starts"]
 
         def moved(to: Column) -> Column:
-            there = to.isNotNull()
-            return state(acc["data"], F.coalesce(to, pos), F.when(there, F.concat(starts, F.array(pos))).otherwise(starts), there)
+            there = to.isNotNull() & (to <= byte_count(acc["data"])) if within else to.isNotNull()
+            return state(acc["data"], F.when(there, to).otherwise(pos), F.when(there, F.concat(starts, F.array(pos))).otherwise(starts), there)
 
         # through an array of one, so that the position behind is worked out once
         return F.when(acc["open"], F.get(F.transform(F.array(after(acc["data"], pos)), moved), F.lit(0))).otherwise(acc)
@@ -86,67 +87,59 @@ def with_header(body: Column, n_bytes: int = 2) -> Column:
     )
 
 
-def u16_list_with_header(body: Column) -> Column:
-    return u16_list(with_header(body))
+def end_of(starts: Column, i: Column, pos: Column) -> Column:
+    """Where the entry at index ``i`` ends: where the next one starts, or the walk ended."""
+    return F.coalesce(F.get(starts, i + 1), pos)
 
 
 def walk_extensions(text: Column) -> Column:
     """``struct(items, bad)`` over code point / length / body entries; stops at the first that overruns."""
 
-    def after(t: Column, pos: Column) -> Column:
-        end = pos + 4 + number_at(t, pos + 2, 2)
-        return F.when(end <= byte_count(t), end)
-
-    def item(t: Column, pos: Column) -> Column:
-        n = number_at(t, pos + 2, 2)
-        return F.struct(
-            number_at(t, pos, 2).cast("int").alias("codepoint"), n.cast("int").alias("length"), bytes_at(t, pos + 4, n).alias("body_hex")
-        )
+    def item(t: Column, at: Column, end: Column) -> Column:
+        n = end - at - 4
+        return F.struct(number_at(t, at, 2).cast("int").alias("codepoint"), n.cast("int").alias("length"), bytes_at(t, at + 4, n).alias("body_hex"))
 
     def cut(t: Column, starts: Column, pos: Column) -> Column:
         overrun = _note(
             F.concat(F.lit("extensions.0x"), hex_of(number_at(t, pos, 2), 4)), _text("declares ", number_at(t, pos + 2, 2), " bytes and the list ends first")
         )
         return F.struct(
-            F.transform(starts, lambda at: item(t, at)).alias("items"), F.when(pos + 4 <= byte_count(t), overrun).alias("bad")
+            F.transform(starts, lambda at, i: item(t, at, end_of(starts, i, pos))).alias("items"), F.when(pos + 4 <= byte_count(t), overrun).alias("bad")
         )
 
-    return walk(text, 4, after, cut)
+    return walk(text, 4, lambda t, pos: pos + 4 + number_at(t, pos + 2, 2), cut, within=True)
 
 
-def alpn_list(body: Column) -> Column:
+def alpn_list(text: Column) -> Column:
     """One-byte-length-prefixed names; a name that overruns ends the list."""
 
-    def after(t: Column, pos: Column) -> Column:
-        end = pos + 1 + number_at(t, pos, 1)
-        return F.when(end <= byte_count(t), end)
-
-    def name(t: Column, pos: Column) -> Column:
-        return F.make_valid_utf8(F.unhex(bytes_at(t, pos + 1, number_at(t, pos, 1))).cast("string"))
+    def name(t: Column, at: Column, end: Column) -> Column:
+        return F.make_valid_utf8(F.unhex(bytes_at(t, at + 1, end - at - 1)).cast("string"))
 
-    return walk(with_header(body), 1, after, lambda t, starts, _: F.transform(starts, lambda at: name(t, at)))
+    names = lambda t, starts, pos: F.transform(starts, lambda at, i: name(t, at, end_of(starts, i, pos)))
+    return walk(text, 1, lambda t, pos: pos + 1 + number_at(t, pos, 1), names, within=True)
 
 
-def key_share_list(body: Column) -> Column:
+def key_share_list(text: Column) -> Column:
     """(group, entry_len) pairs; the one that overruns is still listed, then the walk ends."""
 
     def entry(t: Column, pos: Column) -> Column:
         return F.struct(number_at(t, pos, 2).cast("int").alias("group"), number_at(t, pos + 2, 2).cast("int").alias("entry_len"))
 
     return walk(
-        with_header(body), 4, lambda t, pos: pos + 4 + number_at(t, pos + 2, 2), lambda t, starts, _: F.transform(starts, lambda at: entry(t, at))
+        text, 4, lambda t, pos: pos + 4 + number_at(t, pos + 2, 2), lambda t, starts, _: F.transform(starts, lambda at: entry(t, at))
     )
 
 
-def hello_layout(text: Column) -> Column:
-    """Offsets and fixed fields of a ClientHello record, and why it is refused (null when it is not)."""
-    n = byte_count(text)
-    sid_len = number_at(text, 43, 1)
-    cipher_at = 44 + sid_len
-    cipher_len = number_at(text, cipher_at, 2)
-    comp_at = cipher_at + 2 + cipher_len
-    comp_len = number_at(text, comp_at, 1)
-    ext_at = comp_at + 1 + comp_len
+def hello_layout_stages(text: Column) -> list[dict[str, Column]]:
+    """Column stages ending in ``_lay``: offsets and fixed fields of a ClientHello record, and why it is refused (null when it is not).
+
+    Each offset follows from the one before, so each is a stage: written out in one expression, the
+    last would read the first dozens of times.
+    """
+    n, sid_len, cipher_at, cipher_len, comp_at, comp_len, ext_at, declared = map(
+        F.col, ("_n", "_sid_len", "_cipher_at", "_cipher_len", "_comp_at", "_comp_len", "_ext_at", "_declared")
+    )
     refused = (
         F.when(~is_hex(text), "not hex")
         .when(n < 1, "empty input")
@@ -165,10 +158,9 @@ def hello_layout(text: Column) -> Column:
         .when(n < comp_at + 1, "compression length")
         .when(n < ext_at, "compression methods")
     )
-    declared = number_at(text, ext_at, 2)
     rest = F.substr(text, (ext_at * 2 + 5).cast("int"))
     ext_bytes = F.when(declared * 2 <= F.length(rest), F.substring(rest, F.lit(1), (declared * 2).cast("int"))).otherwise("")
-    return F.struct(
+    lay = F.struct(
         refused.alias("refused"),
         n.alias("n"),
         sid_len.cast("int").alias("sid_len"),
@@ -178,30 +170,39 @@ def hello_layout(text: Column) -> Column:
         declared.alias("ext_declared"),
         F.when(declared.isNotNull(), ext_bytes).otherwise("").alias("ext"),
     )
+    return [
+        {"_n": byte_count(text), "_sid_len": number_at(text, 43, 1)},
+        {"_cipher_at": 44 + sid_len},
+        {"_cipher_len": number_at(text, cipher_at, 2)},
+        {"_comp_at": cipher_at + 2 + cipher_len},
+        {"_comp_len": number_at(text, comp_at, 1)},
+        {"_ext_at": comp_at + 1 + comp_len},
+        {"_declared": number_at(text, ext_at, 2)},
+        {"_lay": lay},
+    ]
 
 
 def decode_hello_stages(text: Column) -> list[dict[str, Column]]:
     """Column stages ending in ``_tls``, ``_refused`` and ``_notes``.
 
-    Staged so that the layout and the extension walk are each computed once per row.
+    Staged so that each offset, walk and extension body is computed once per row.
     """
-    lay, walk, body = F.col("_lay"), F.col("_walk"), F.col("_ext")
-    ext_body = lambda code: X.extension(body, code)["body_hex"]
-    ech = ext_body(X.ENCRYPTED_CLIENT_HELLO)
-    drawn = F.filter(body, lambda e: X.is_grease(e["codepoint"]))
-    values = X.codepoints(drawn)
+    lay, walk, body, ech, drawn, values = map(F.col, ("_lay", "_walk", "_ext", "_ech", "_drawn", "_values"))
     no_ints = F.array().cast("array<int>")
     record_declared = number_at(text, 3, 2)
     ech_value = F.when(
         byte_count(ech) >= 3,
         F.struct(number_at(ech, 0, 1).cast("int").alias("mode"), number_at(ech, 1, 2).cast("int").alias("kem_id")),
     )
+    listed = {
+        "_groups": X.SUPPORTED_GROUPS, "_sigs": X.SIGNATURE_ALGORITHMS, "_cert": X.SIGNATURE_ALGORITHMS_CERT, "_alpn": X.ALPN, "_shares": X.KEY_SHARE,
+    }
     lists = {
-        "_groups": F.coalesce(u16_list_with_header(ext_body(X.SUPPORTED_GROUPS)), no_ints),
-        "_sigs": F.coalesce(u16_list_with_header(ext_body(X.SIGNATURE_ALGORITHMS)), no_ints),
-        "_cert": u16_list_with_header(ext_body(X.SIGNATURE_ALGORITHMS_CERT)),
-        "_alpn": F.coalesce(alpn_list(ext_body(X.ALPN)), F.array().cast("array<string>")),
-        "_shares": F.coalesce(key_share_list(ext_body(X.KEY_SHARE)), F.array().cast("array<struct<group:int,entry_len:int>>")),
+        "_groups": F.coalesce(u16_list(F.col("_groups")), no_ints),
+        "_sigs": F.coalesce(u16_list(F.col("_sigs")), no_ints),
+        "_cert": u16_list(F.col("_cert")),
+        "_alpn": F.coalesce(alpn_list(F.col("_alpn")), F.array().cast("array<string>")),
+        "_shares": F.coalesce(key_share_list(F.col("_shares")), F.array().cast("array<struct<group:int,entry_len:int>>")),
     }
     tls = F.struct(
         number_at(text, 1, 2).cast("int").alias("record_version"),
@@ -239,9 +240,13 @@ def decode_hello_stages(text: Column) -> list[dict[str, Column]]:
     )
     readable = text.isNotNull() & lay["refused"].isNull()
     return [
-        {"_lay": hello_layout(text)},
-        {"_walk": walk_extensions(F.when(lay["refused"].isNull(), lay["ext"]).otherwise(""))},
+        *hello_layout_stages(text),
+        {"_walk": F.when(lay["refused"].isNull(), lay["ext"]).otherwise("")},
+        {"_walk": walk_extensions(walk)},
         {"_ext": walk["items"]},
+        {name: X.extension(body, code)["body_hex"] for name, code in listed.items()}
+        | {"_ech": X.extension(body, X.ENCRYPTED_CLIENT_HELLO)["body_hex"], "_drawn": F.filter(body, lambda e: X.is_grease(e["codepoint"]))},
+        {name: with_header(F.col(name)) for name in listed} | {"_values": X.codepoints(drawn)},
         lists,
         {
             "_tls": F.when(readable, tls),
@@ -277,26 +282,27 @@ def settings_entries(payload: Column) -> Column:
 def split_frames(text: Column) -> Column:
     """Frames of the bytes of one connection (preface removed): ``struct(frames, trailing)``."""
 
-    def arrived(t: Column, pos: Column) -> Column:
-        return F.least(number_at(t, pos, 3), byte_count(t) - pos - 9)
+    def after(t: Column, pos: Column) -> Column:
+        return F.when(pos + 9 <= byte_count(t), F.least(pos + 9 + number_at(t, pos, 3), byte_count(t)))
 
-    def frame(t: Column, pos: Column) -> Column:
-        word = number_at(t, pos + 5, 4)
-        got = arrived(t, pos)
+    def frame(t: Column, at: Column, end: Column) -> Column:
+        word = number_at(t, at + 5, 4)
+        got = end - at - 9
         return F.struct(
-            number_at(t, pos, 3).alias("declared_length"),
+            number_at(t, at, 3).alias("declared_length"),
             got.alias("bytes_arrived"),
-            number_at(t, pos + 3, 1).cast("int").alias("frame_type"),
-            number_at(t, pos + 4, 1).cast("int").alias("flags"),
+            number_at(t, at + 3, 1).cast("int").alias("frame_type"),
+            number_at(t, at + 4, 1).cast("int").alias("flags"),
             word.bitwiseAND(0x7FFFFFFF).alias("stream_id"),
             (word >= 2147483648).alias("reserved_bit"),
-            bytes_at(t, pos + 9, got).alias("payload_hex"),
+            bytes_at(t, at + 9, got).alias("payload_hex"),
         )
 
     def cut(t: Column, starts: Column, pos: Column) -> Column:
-        return F.struct(F.transform(starts, lambda at: frame(t, at)).alias("frames"), (byte_count(t) - pos).alias("trailing"))
+        frames = F.transform(starts, lambda at, i: frame(t, at, end_of(starts, i, pos)))
+        return F.struct(frames.alias("frames"), (byte_count(t) - pos).alias("trailing"))
 
-    return walk(text, 9, lambda t, pos: F.when(pos + 9 <= byte_count(t), pos + 9 + arrived(t, pos)), cut)
+    return walk(text, 9, after, cut)
 
 
 def model_frame(f: Column) -> Column:
@@ -320,11 +326,10 @@ def model_frame(f: Column) -> Column:
     )
 
 
-def headers_priority(f: Column) -> Column:
-    """Priority block of a HEADERS frame: after the pad byte, if it is padded."""
+def headers_block(f: Column) -> Column:
+    """Hex digits of a HEADERS frame from its priority block on: after the pad byte, if it is padded. Null without the flag."""
     skip = F.when(f["flags"].bitwiseAND(0x08) != 0, 2).otherwise(0)
-    block = F.substr(f["payload_hex"], skip + 1)
-    return F.when(f["flags"].bitwiseAND(0x20) != 0, priority_block(block))
+    return F.when(f["flags"].bitwiseAND(0x20) != 0, F.substr(f["payload_hex"], skip + 1))
 
 
 def decode_frames_stages(frames_hex: Column) -> list[dict[str, Column]]:
@@ -336,7 +341,7 @@ def decode_frames_stages(frames_hex: Column) -> list[dict[str, Column]]:
     hexes_ok = (F.size(frames_hex) > 0) & F.forall(frames_hex, is_hex)
     fr = F.col("_raw_frames")
     model = F.transform(fr, model_frame)
-    first_headers = first_where(fr, lambda f: f["frame_type"] == 1)
+    first_headers = F.col("_first_headers")
     prio = F.filter(
         F.transform(
             F.filter(fr, lambda f: f["frame_type"] == 2),
@@ -367,7 +372,7 @@ def decode_frames_stages(frames_hex: Column) -> list[dict[str, Column]]:
 
     trailing = F.col("_split.trailing")
     first_note = F.when(
-        (first_headers["flags"].bitwiseAND(0x20) != 0) & headers_priority(first_headers).isNull(),
+        (first_headers["flags"].bitwiseAND(0x20) != 0) & priority_block(F.col("_first_priority")).isNull(),
         _note("http2.stream_priority", "the priority flag is set and the block is not all there"),
     )
     notes = F.concat(
@@ -378,12 +383,15 @@ def decode_frames_stages(frames_hex: Column) -> list[dict[str, Column]]:
     )
     return [
         {"_wire": F.when(hexes_ok, F.array_join(frames_hex, ""))},
-        {"_split": split_frames(F.coalesce(F.col("_wire"), F.lit("")))},
+        {"_bytes": F.coalesce(F.col("_wire"), F.lit(""))},
+        {"_split": split_frames(F.col("_bytes"))},
         {"_raw_frames": F.col("_split.frames")},
+        {"_first_headers": first_where(fr, lambda f: f["frame_type"] == 1)},
+        {"_first_priority": headers_block(first_headers)},
         {
             "_h2": F.when(
                 F.col("_wire").isNotNull(),
-                F.struct(model.alias("frames"), headers_priority(first_headers).alias("stream_priority"), prio.alias("priority_frames")),
+                F.struct(model.alias("frames"), priority_block(F.col("_first_priority")).alias("stream_priority"), prio.alias("priority_frames")),
             ),
             "_h2_notes": F.when(F.col("_wire").isNotNull(), notes).otherwise(F.array().cast(NOTES)),
         },
