@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from calipers import schema as S
 from calipers.functions.decode import walk
 from calipers.functions.text import number_at
-from calipers.operators import diffs, publish, sizing
+from calipers.operators import diffs, movements, publish, sizing
 from calipers.plans import fixtures
 from calipers.plans.bindings import QUERIES
 from calipers.sources import files
@@ -132,9 +132,21 @@ def in_full(spark, monkeypatch, name):
     return made, rows(), stored
 
 
-@pytest.mark.parametrize("name", ["provenance_regressions", "uncontrolled", "header_position_diff", "decode_hello", "rebuild_audit"])
+@pytest.mark.parametrize("name", ["provenance_regressions", "uncontrolled", "header_position_diff", "decode_hello", "rebuild_audit", "conformance_counts"])
 def test_a_query_derives_the_columns_it_reads(spark, monkeypatch, name):
     """No whole profile is written first, and the rows are those of whole profiles."""
     made, whole, stored = in_full(spark, monkeypatch, name)
     assert made == whole and made
     assert not [s for s in stored if s.startswith("profiles")]
+
+
+def test_few_winners_are_asked_for_by_name(spark, monkeypatch):
+    """Wide columns are made or read for the winners alone, and the rows are those of the plain join; equal ids and nulls too."""
+    rows = [planted(**{"browser.version": v, "id": i}) for v, i in (("1.2", "a"), ("1.10", "b"), ("1.10", "b"), ("1.9", "c"), ("2.0", None))]
+    rows += [planted(**{"platform.os": "mac", "id": "b"}), planted(**{"platform.os": "windows", "id": None})]
+    df = frame(spark, rows)
+    best = lambda: movements.newest_per_route(df, "id", ("id", "browser"))
+    few = best()
+    assert ".id = b)" in few._jdf.queryExecution().optimizedPlan().toString()
+    monkeypatch.setattr(movements, "FEW_WINNERS", 0)
+    assert sorted(map(repr, few.collect())) == sorted(map(repr, best().collect())) != []
