@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from calipers import schema as S
 from calipers.functions.decode import walk
 from calipers.functions.text import number_at
-from calipers.operators import diffs, movements, publish, sizing
+from calipers.operators import coherence, diffs, movements, publish, sizing
 from calipers.plans import fixtures
 from calipers.plans.bindings import QUERIES
 from calipers.sources import files
@@ -150,3 +150,19 @@ def test_few_winners_are_asked_for_by_name(spark, monkeypatch):
     assert ".id = b)" in few._jdf.queryExecution().optimizedPlan().toString()
     monkeypatch.setattr(movements, "FEW_WINNERS", 0)
     assert sorted(map(repr, few.collect())) == sorted(map(repr, best().collect())) != []
+
+
+def test_checks_look_a_header_up_once(spark):
+    p = frame(spark, [BASE, planted(**{"http.variants": []})])
+    spark.conf.set("spark.sql.debug.maxToStringFields", 10_000)
+    try:
+        plan = coherence.rollup(p, coherence.all_checks(decodes=["br"]), ["n"])._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
+    assert [plan.count(f"= {name})") for name in ("user-agent", "sec-ch-ua", "sec-ch-ua-platform")] == [1, 1, 1]
+
+
+def test_a_snapshot_of_movements_is_not_stored(spark, monkeypatch):
+    monkeypatch.setattr(fixtures, "_STORED", {})
+    assert QUERIES["batch_conditions"](spark, SF).count() == 5
+    assert {k[2] for k in fixtures._STORED} == {"profiles current"}
