@@ -132,7 +132,7 @@ def in_full(spark, monkeypatch, name):
     return made, rows(), stored
 
 
-@pytest.mark.parametrize("name", ["provenance_regressions", "uncontrolled", "header_position_diff", "decode_hello", "rebuild_audit", "conformance_counts"])
+@pytest.mark.parametrize("name", ["provenance_regressions", "uncontrolled", "header_position_diff", "decode_hello", "rebuild_audit", "conformance_counts", "stream_conformance"])
 def test_a_query_derives_the_columns_it_reads(spark, monkeypatch, name):
     """No whole profile is written first, and the rows are those of whole profiles."""
     made, whole, stored = in_full(spark, monkeypatch, name)
