@@ -162,7 +162,9 @@ def test_checks_look_a_header_up_once(spark):
     assert [plan.count(f"= {name})") for name in ("user-agent", "sec-ch-ua", "sec-ch-ua-platform")] == [1, 1, 1]
 
 
-def test_a_snapshot_of_movements_is_not_stored(spark, monkeypatch):
+@pytest.mark.parametrize("name, rows", [("batch_conditions", 5), ("mergeable_routes", None)])
+def test_a_snapshot_of_movements_is_not_stored(spark, monkeypatch, name, rows):
     monkeypatch.setattr(fixtures, "_STORED", {})
-    assert QUERIES["batch_conditions"](spark, SF).count() == 5
+    found = QUERIES[name](spark, SF).count()
+    assert found == rows if rows else found > 0
     assert {k[2] for k in fixtures._STORED} == {"profiles current"}
